@@ -7,73 +7,40 @@ last price before (0 for a new symbol), and ``l - a`` one window later, when it
 Steps are summed per window and accumulated over time.
 
 Neither the look-back nor the accumulation puts one symbol, or all windows, into one task: both run inside
-chunks of ``chunk`` windows, and only one row per chunk crosses chunk borders.
+chunks of ``chunk`` windows, and only one row per chunk (and symbol) crosses chunk borders. Everything is
+computed once: the two uses of the rows, and of the sums per window, share their shuffles.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tickloom.functions import fixed_point
+from tickloom.functions import fixed_point, time_bucket
 
 CHUNK = 86_400
 
 
-def _step(at: Column, change: Column, new: int | Column = 0, traded: int = 0) -> Column:
-    new = F.lit(new) if isinstance(new, int) else new
+def _step(at: Column, change: Column, *, new: Column | None = None, traded: int = 0) -> Column:
+    """One change of the total; ``new`` is 1 where its symbol becomes known."""
     return F.struct(
-        at.alias("timestamp"),
+        at.alias("at"),
         change.alias("change"),
-        new.cast("bigint").alias("new"),
+        (F.lit(0) if new is None else new).cast("bigint").alias("new"),
         F.lit(traded).cast("bigint").alias("traded"),
     )
 
 
-def _fall_back(row: str, size_ms: int) -> Column:
-    """The step from the average of a window to its last price, one window later."""
-    at = F.col(f"{row}.timestamp") + F.lit(size_ms)
-    return _step(at, F.col(f"{row}.last") - F.col(f"{row}.avg"))
+def _inline(df: DataFrame, *steps: Column) -> DataFrame:
+    """One row per step that is not null; ``seen`` is the symbol that becomes known with it."""
+    seen = F.when(F.col("new") > 0, F.col("symbol")).alias("seen")
+    rows = df.select("symbol", F.inline(F.array(*steps))).where("at IS NOT NULL")
+    return rows.select(F.col("at").alias("timestamp"), "change", "new", "traded", seen)
 
 
-def _steps(rows: DataFrame, heads: DataFrame, size_ms: int, carry: DataFrame | None) -> DataFrame:
-    """All steps: those inside chunks, and those that need the neighbouring chunk."""
-    before = F.lag(F.struct("timestamp", "avg", "last")).over(W.partitionBy("symbol", "chunk").orderBy("timestamp"))
-    first = F.col("before").isNull()
-    inside = rows.withColumn("before", before).select(
-        F.inline(
-            F.filter(
-                F.array(
-                    _step(
-                        F.col("timestamp"),
-                        F.col("avg") - F.coalesce(F.col("before.last"), F.lit(0)),
-                        first.cast("int"),
-                        1,
-                    ),
-                    F.when(~first, _fall_back("before", size_ms)),
-                ),
-                lambda s: s.isNotNull() & ((s["change"] != 0) | (s["traded"] > 0)),
-            )
-        )
-    )
-    # The first row of a chunk was taken for a new symbol: take back its predecessor's price.
-    known = F.col("before").isNotNull()
-    across = heads.where("tail IS NOT NULL OR before IS NOT NULL").select(
-        F.inline(
-            F.filter(
-                F.array(
-                    F.when(known, _step(F.col("head"), -F.col("before"), -1)),
-                    F.when(F.col("tail").isNotNull(), _fall_back("tail", size_ms)),
-                ),
-                lambda s: s.isNotNull() & ((s["change"] != 0) | (s["new"] != 0)),
-            )
-        )
-    )
-    parts = [inside, across]
-    if carry is not None:
-        parts.append(carry.select(F.inline(F.array(_step(F.col("timestamp"), F.col("last"), 1)))))
-    return reduce(DataFrame.unionAll, parts)
+def _fall_back(row: str, size_ms: int) -> Column:
+    """The step from the average of a window to its last price, one window later, if they differ."""
+    change = F.col(f"{row}.last") - F.col(f"{row}.avg")
+    return F.when(change != 0, _step(F.col(f"{row}.timestamp") + F.lit(size_ms), change))
 
 
 def _heads(rows: DataFrame, carry: DataFrame | None) -> DataFrame:
@@ -82,86 +49,72 @@ def _heads(rows: DataFrame, carry: DataFrame | None) -> DataFrame:
         rows.groupBy("symbol", "chunk")
         .agg(
             F.min("timestamp").alias("head"),
-            F.max("timestamp").alias("tail_timestamp"),
-            F.max_by("avg", "timestamp").alias("tail_avg"),
+            F.max("timestamp").alias("timestamp"),
+            F.max_by("avg", "timestamp").alias("avg"),
             F.max_by("last", "timestamp").alias("last"),
         )
-        .select(
-            "symbol",
-            "head",
-            "last",
-            F.struct(
-                F.col("tail_timestamp").alias("timestamp"), F.col("tail_avg").alias("avg"), F.col("last")
-            ).alias("tail"),
-        )
+        .select("symbol", "head", "last", F.struct("timestamp", "avg", "last").alias("tail"))
     )
     if carry is not None:
-        earlier = carry.select("symbol", F.col("timestamp").alias("head"), "last")
-        heads = heads.unionByName(earlier, allowMissingColumns=True)
+        carried = carry.select("symbol", F.col("timestamp").alias("head"), "last")
+        heads = heads.unionByName(carried, allowMissingColumns=True)
     return heads.withColumn("before", F.lag("last").over(W.partitionBy("symbol").orderBy("head")))
 
 
-def _accumulate(steps: DataFrame, span_ms: int) -> DataFrame:
-    """Running totals over windows, two-level: inside a chunk, plus what all earlier chunks add up to."""
+def _steps(rows: DataFrame, size_ms: int, carry: DataFrame | None) -> DataFrame:
+    """All steps: those inside chunks, and those that need the neighbouring chunk."""
+    before = F.lag(F.struct("timestamp", "avg", "last")).over(W.partitionBy("symbol", "chunk").orderBy("timestamp"))
+    inside = _inline(
+        rows.withColumn("before", before),
+        _step(F.col("timestamp"), F.col("avg") - F.coalesce(F.col("before.last"), F.lit(0)), traded=1),
+        _fall_back("before", size_ms),
+    )
+    # A chunk's first row took its symbol for a new one, so its price before the chunk is taken off here. A
+    # carried price has no row of its own and enters here.
+    new = F.col("before").isNull()
+    own = F.when(F.col("tail").isNull(), F.col("last")).otherwise(F.lit(0))
+    change = own - F.coalesce(F.col("before"), F.lit(0))
+    heads = _heads(rows, carry)
+    first = _inline(heads, _step(F.col("head"), change, new=new.cast("int")), _fall_back("tail", size_ms))
+    return inside.unionAll(first)
+
+
+def _accumulate(steps: DataFrame, span_ms: int, symbols: bool) -> DataFrame:
+    """Running totals over windows, two-level: inside a chunk, plus what all earlier chunks add up to.
+
+    A list of known symbols is accumulated in the same way; each symbol enters it once.
+    """
+    sums = [F.sum(name).alias(name) for name in ("change", "new", "traded")]
     per_window = (
         steps.groupBy("timestamp")
-        .agg(F.sum("change").alias("change"), F.sum("new").alias("new"), F.sum("traded").alias("traded"))
+        .agg(*sums, *([F.collect_list("seen").alias("seen")] if symbols else []))
         .where("change <> 0 OR new <> 0 OR traded > 0")
-        .withColumn("chunk", F.floor(F.col("timestamp") / F.lit(span_ms)))
+        .withColumn("chunk", time_bucket(F.col("timestamp"), span_ms))
+    )
+    so_far = W.partitionBy("chunk").orderBy("timestamp").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = {"total": F.sum("change").over(so_far), "known": F.sum("new").over(so_far)}
+    if symbols:
+        running["recent"] = F.flatten(F.collect_list("seen").over(so_far))
+    windows = per_window.withColumns(running).where("traded > 0")
+
+    # One row per chunk: as many as the time range has chunks, which fits one task.
+    per_chunk = per_window.groupBy("chunk").agg(
+        *sums[:2], *([F.flatten(F.collect_list("seen")).alias("seen")] if symbols else [])
     )
-    inside = W.partitionBy("chunk").orderBy("timestamp")
-    running = per_window.withColumns(
-        {"total": F.sum("change").over(inside), "known": F.sum("new").over(inside)}
-    ).where("traded > 0")
-    # One row per chunk, so its size is the time range divided by the chunk's; it fits one task.
     earlier = W.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    base = (
-        per_window.groupBy("chunk")
-        .agg(F.sum("change").alias("change"), F.sum("new").alias("new"))
-        .select(
-            "chunk",
-            F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("base_total"),
-            F.coalesce(F.sum("new").over(earlier), F.lit(0)).alias("base_known"),
-        )
+    base = per_chunk.select(
+        "chunk",
+        F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("base_total"),
+        F.coalesce(F.sum("new").over(earlier), F.lit(0)).alias("base_known"),
+        *([F.flatten(F.collect_list("seen").over(earlier)).alias("older")] if symbols else []),
     )
-    return running.join(base, "chunk").select(
+    # A left join: an inner one would add a filter to one use of per_window, and its shuffle would no
+    # longer be shared.
+    return windows.join(base, "chunk", "left").select(
         "timestamp",
-        "chunk",
         (F.col("total") + F.col("base_total")).cast("double").alias("total"),
         (F.col("known") + F.col("base_known")).cast("bigint").alias("known"),
-    )
-
-
-def _with_symbols(totals: DataFrame, heads: DataFrame, span_ms: int) -> DataFrame:
-    """Add the list of known symbols. Its size is the answer's own: one list per window."""
-    seen = (
-        heads.groupBy("symbol")
-        .agg(F.min("head").alias("timestamp"))
-        .withColumn("chunk", F.floor(F.col("timestamp") / F.lit(span_ms)))
-    )
-    fresh = seen.groupBy("timestamp").agg(F.collect_list("symbol").alias("fresh"))
-    inside = W.partitionBy("chunk").orderBy("timestamp")
-    in_chunk = (
-        totals.select("timestamp", "chunk")
-        .unionByName(seen.select("timestamp", "chunk"))
-        .distinct()
-        .join(fresh, "timestamp", "left")
-        .withColumn("recent", F.flatten(F.collect_list("fresh").over(inside)))
-        .select("timestamp", "recent")
-    )
-    last = totals.agg(F.max("chunk").alias("last")).scalar()
-    older = (
-        seen.where(F.col("chunk") < last)
-        .select("symbol", F.explode(F.sequence(F.col("chunk") + 1, last)).alias("chunk"))
-        .groupBy("chunk")
-        .agg(F.collect_list("symbol").alias("older"))
-    )
-    empty = F.array().cast("array<" + dict(heads.dtypes)["symbol"] + ">")
-    lists = F.array_sort(F.concat(F.coalesce("older", empty), F.coalesce("recent", empty)))
-    return (
-        totals.join(in_chunk, "timestamp", "left")
-        .join(older, "chunk", "left")
-        .select("timestamp", "total", "known", lists.alias("all_symbols"))
+        *([F.array_sort(F.concat("older", "recent")).alias("all_symbols")] if symbols else []),
     )
 
 
@@ -182,18 +135,21 @@ def completed_total(
     timestamp, last_price) known from earlier windows, all before the first one in ``stats``.
     """
     span_ms = size_ms * chunk
-    rows = stats.where("avg_price IS NOT NULL").select(
-        "symbol",
-        "timestamp",
-        fixed_point(F.col("avg_price"), digits).alias("avg"),
-        fixed_point(F.col("last_price"), digits).alias("last"),
-        F.floor(F.col("timestamp") / F.lit(span_ms)).alias("chunk"),
+    rows = (
+        stats.where("avg_price IS NOT NULL")
+        .select(
+            "symbol",
+            "timestamp",
+            fixed_point(F.col("avg_price"), digits).alias("avg"),
+            fixed_point(F.col("last_price"), digits).alias("last"),
+            time_bucket(F.col("timestamp"), span_ms).alias("chunk"),
+        )
+        # One shuffle for both the look-back and the heads.
+        .repartition("symbol", "chunk")
     )
     if carry is not None:
         carry = carry.select("symbol", "timestamp", fixed_point(F.col("last_price"), digits).alias("last"))
-    heads = _heads(rows, carry)
-    totals = _accumulate(_steps(rows, heads, size_ms, carry), span_ms)
-    return _with_symbols(totals, heads, span_ms) if symbols else totals.drop("chunk")
+    return _accumulate(_steps(rows, size_ms, carry), span_ms, symbols)
 
 
 def last_prices(stats: DataFrame) -> DataFrame:
