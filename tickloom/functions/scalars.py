@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 # The control characters U+0000 to U+001F.
-CONTROL_CHARS = "[\\x00-\\x1F]"
+CONTROL_CHARS = "[\\x00-\\x1F]+"
 
 # Texts read as "no value" in a cached CSV.
 NULL_TOKENS = (

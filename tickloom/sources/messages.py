@@ -9,15 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.operators.frames import rename
 from tickloom.schemas import MESSAGE, TRADE_COLUMNS
 
-# A single JSON object and nothing after it, as a strict JSON reader demands.
-_ENDS_AS_OBJECT = "\\}\\s*$"
+JSON_SPACE = " \t\n\r"
 
 
 def parse(messages: DataFrame, text: str = "value") -> DataFrame:
-    """Add ``message``, the parsed envelope. A field of the wrong type is null; a malformed text is all null."""
+    """Add ``message``, the parsed envelope. A field of the wrong type is null; a malformed text is all null.
+
+    The envelope goes through a one-element ``explode``: a plain column would be copied into every filter
+    and projection that uses it, and the text parsed again in each.
+    """
     options = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     envelope = F.from_json(F.col(text), MESSAGE, options)
-    return messages.withColumn("message", F.when(F.col(text).rlike(_ENDS_AS_OBJECT), envelope))
+    # Nothing may follow the object, as a strict JSON reader demands; Spark's own reader would ignore it.
+    complete = F.when(F.endswith(F.rtrim(F.col(text), F.lit(JSON_SPACE)), F.lit("}")), envelope)
+    return messages.select("*", F.explode(F.array(complete)).alias("message"))
 
 
 def _is_ping() -> Column:

@@ -143,6 +143,11 @@ def start_market(
     def work(closed: DataFrame, batch: int) -> None:
         spark: SparkSession = closed.sparkSession
         rows = tables.stats.write(closed, batch)
+        if rows.isEmpty():
+            for table in (tables.summary, tables.totals):
+                table.write(spark.createDataFrame([], table.schema), batch)
+            tables.prices.upsert(spark.createDataFrame([], tables.prices.schema), batch)
+            return
         tables.summary.write(summary(rows, size_ms, digits=total_digits), batch)
         carry = tables.prices.at(spark, batch - 1)
         totals = completed_total(rows, size_ms, digits=total_digits, carry=carry, symbols=listed)
