@@ -364,7 +364,7 @@ def topic_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_topics(spark, paths)
     routed = [
         frames.route(records, topic)
-        .withColumn("row", decode(F.col("value"), DATASETS[topic].schema))
+        .withColumn("row", decode(F.col("value"), DATASETS[topic]))
         .select(
             "topic",
             "key",

@@ -58,6 +58,17 @@ PROFILE_COLUMNS = {
 }
 
 
+_AVRO = {_str: "string", _dbl: "double", _long: "long"}
+
+
+def _avro_type(data_type: T.DataType, nullable: bool) -> object:
+    if isinstance(data_type, T.ArrayType):
+        kind = {"type": "array", "items": _avro_type(data_type.elementType, data_type.containsNull)}
+    else:
+        kind = _AVRO[data_type]
+    return [kind, "null"] if nullable else kind
+
+
 @dataclass(frozen=True)
 class Dataset:
     """A named record layout. ``key`` is the partitioning column of its topic."""
@@ -71,6 +82,12 @@ class Dataset:
     def required(self) -> list[str]:
         return [f.name for f in self.schema.fields if not f.nullable]
 
+    @property
+    def avro_schema(self) -> dict:
+        """The layout as an Avro record, for a transport that carries Avro."""
+        fields = [{"name": f.name, "type": _avro_type(f.dataType, f.nullable)} for f in self.schema.fields]
+        return {"type": "record", "name": self.name, "fields": fields}
+
 
 DATASETS = {
     d.name: d

@@ -31,7 +31,7 @@ def records(df: DataFrame, topic: str, dataset: Dataset, *, codec: str = "json")
     return df.where(contract(df, dataset)).select(
         F.lit(topic).alias("topic"),
         F.col(dataset.key).cast("string").alias("key"),
-        encode(row, codec).alias("value"),
+        encode(row, codec, dataset).alias("value"),
         offset.alias("offset"),
     )
 

@@ -6,9 +6,10 @@ Kafka and Avro modules are separate Spark packages, so both are choices of the c
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.schemas import DATASETS, Dataset
 
@@ -52,31 +53,31 @@ def _check(topics: Iterable[str]) -> None:
         raise ValueError("topics must be a non-empty collection of names")
 
 
-def encode(row: Column, codec: str = "json", avro_schema: str | None = None) -> Column:
+def encode(row: Column, codec: str = "json", dataset: Dataset | None = None) -> Column:
     """SCL-10: a struct as a record value."""
     if codec == "json":
         return F.to_json(row)
     if codec == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        return to_avro(row, avro_schema or "")
+        return to_avro(row, json.dumps(dataset.avro_schema)) if dataset else to_avro(row)
     raise ValueError(f"unknown codec {codec!r}")
 
 
-def decode(value: Column, schema: T.StructType, codec: str = "json", avro_schema: str | None = None) -> Column:
+def decode(value: Column, dataset: Dataset, codec: str = "json") -> Column:
     """SCL-10: a record value as a struct."""
     if codec == "json":
-        return F.from_json(value.cast("string"), schema)
+        return F.from_json(value.cast("string"), dataset.schema)
     if codec == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        return from_avro(value, avro_schema)
+        return from_avro(value, json.dumps(dataset.avro_schema))
     raise ValueError(f"unknown codec {codec!r}")
 
 
 def stream_of(records: DataFrame, dataset: Dataset, columns: Sequence[str], codec: str = "json") -> DataFrame:
     """SRC-1, SRC-2, PRJ-1: the chosen columns of a topic's live records, with their offset."""
-    row = decode(F.col("value"), dataset.schema, codec)
+    row = decode(F.col("value"), dataset, codec)
     arrival = [c for c in ("arrival",) if c in records.columns]
     live = records.where(F.col("value").isNotNull()).withColumn("row", row)
     return live.select("offset", *arrival, *[F.col(f"row.{c}").alias(c) for c in columns])
