@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tickloom.functions import fixed_point, time_bucket
+from tickloom.functions import fixed_point, from_fixed_point, time_bucket
 
-CHUNK = 86_400
+# A window function keeps a group of up to 4096 rows in memory; larger ones go through a spillable sorter.
+CHUNK = 4_096
 
 
 def _step(at: Column, change: Column, *, new: Column | None = None, traded: int = 0) -> Column:
@@ -31,10 +32,9 @@ def _step(at: Column, change: Column, *, new: Column | None = None, traded: int
 
 
 def _inline(df: DataFrame, *steps: Column) -> DataFrame:
-    """One row per step that is not null; ``seen`` is the symbol that becomes known with it."""
-    seen = F.when(F.col("new") > 0, F.col("symbol")).alias("seen")
-    rows = df.select("symbol", F.inline(F.array(*steps))).where("at IS NOT NULL")
-    return rows.select(F.col("at").alias("timestamp"), "change", "new", "traded", seen)
+    """One row per step that is not null."""
+    rows = df.select(F.inline(F.array(*steps))).where("at IS NOT NULL")
+    return rows.withColumnRenamed("at", "timestamp")
 
 
 def _fall_back(row: str, size_ms: int) -> Column:
@@ -61,7 +61,7 @@ def _heads(rows: DataFrame, carry: DataFrame | None) -> DataFrame:
     return heads.withColumn("before", F.lag("last").over(W.partitionBy("symbol").orderBy("head")))
 
 
-def _steps(rows: DataFrame, size_ms: int, carry: DataFrame | None) -> DataFrame:
+def _steps(rows: DataFrame, heads: DataFrame, size_ms: int) -> DataFrame:
     """All steps: those inside chunks, and those that need the neighbouring chunk."""
     before = F.lag(F.struct("timestamp", "avg", "last")).over(W.partitionBy("symbol", "chunk").orderBy("timestamp"))
     inside = _inline(
@@ -74,23 +74,28 @@ def _steps(rows: DataFrame, size_ms: int, carry: DataFrame | None) -> DataFrame:
     new = F.col("before").isNull()
     own = F.when(F.col("tail").isNull(), F.col("last")).otherwise(F.lit(0))
     change = own - F.coalesce(F.col("before"), F.lit(0))
-    heads = _heads(rows, carry)
     first = _inline(heads, _step(F.col("head"), change, new=new.cast("int")), _fall_back("tail", size_ms))
     return inside.unionAll(first)
 
 
-def _accumulate(steps: DataFrame, span_ms: int, symbols: bool) -> DataFrame:
+def _first_seen(heads: DataFrame) -> DataFrame:
+    """Per window, the symbols that become known in it."""
+    new = heads.where("before IS NULL")
+    return new.groupBy(F.col("head").alias("timestamp")).agg(F.collect_list("symbol").alias("seen"))
+
+
+def _accumulate(steps: DataFrame, span_ms: int, digits: int, first_seen: DataFrame | None) -> DataFrame:
     """Running totals over windows, two-level: inside a chunk, plus what all earlier chunks add up to.
 
     A list of known symbols is accumulated in the same way; each symbol enters it once.
     """
+    symbols = first_seen is not None
     sums = [F.sum(name).alias(name) for name in ("change", "new", "traded")]
-    per_window = (
-        steps.groupBy("timestamp")
-        .agg(*sums, *([F.collect_list("seen").alias("seen")] if symbols else []))
-        .where("change <> 0 OR new <> 0 OR traded > 0")
-        .withColumn("chunk", time_bucket(F.col("timestamp"), span_ms))
-    )
+    per_window = steps.groupBy("timestamp").agg(*sums).where("change <> 0 OR new <> 0 OR traded > 0")
+    if symbols:
+        per_window = per_window.join(first_seen, "timestamp", "left")
+    per_window = per_window.withColumn("chunk", time_bucket(F.col("timestamp"), span_ms))
+
     so_far = W.partitionBy("chunk").orderBy("timestamp").rowsBetween(W.unboundedPreceding, W.currentRow)
     running = {"total": F.sum("change").over(so_far), "known": F.sum("new").over(so_far)}
     if symbols:
@@ -112,7 +117,7 @@ def _accumulate(steps: DataFrame, span_ms: int, symbols: bool) -> DataFrame:
     # longer be shared.
     return windows.join(base, "chunk", "left").select(
         "timestamp",
-        (F.col("total") + F.col("base_total")).cast("double").alias("total"),
+        from_fixed_point(F.col("total") + F.col("base_total"), digits).alias("total"),
         (F.col("known") + F.col("base_known")).cast("bigint").alias("known"),
         *([F.array_sort(F.concat("older", "recent")).alias("all_symbols")] if symbols else []),
     )
@@ -131,8 +136,9 @@ def completed_total(
 
     ``stats`` has one row per symbol and window with ``avg_price`` and ``last_price``, both null when none
     of its trades had a price; such a row counts as no trade. Event time decides between windows, the
-    offset decides inside one. Sums are exact in decimals with ``digits`` places. ``carry`` holds (symbol,
-    timestamp, last_price) known from earlier windows, all before the first one in ``stats``.
+    offset decides inside one. Sums are exact at ``digits`` decimal places; up to 9 they run on integers.
+    ``carry`` holds (symbol, timestamp, last_price) known from earlier windows, all before the first one in
+    ``stats``.
     """
     span_ms = size_ms * chunk
     rows = (
@@ -149,7 +155,9 @@ def completed_total(
     )
     if carry is not None:
         carry = carry.select("symbol", "timestamp", fixed_point(F.col("last_price"), digits).alias("last"))
-    return _accumulate(_steps(rows, size_ms, carry), span_ms, symbols)
+    heads = _heads(rows, carry)
+    first_seen = _first_seen(heads) if symbols else None
+    return _accumulate(_steps(rows, heads, size_ms), span_ms, digits, first_seen)
 
 
 def last_prices(stats: DataFrame) -> DataFrame:

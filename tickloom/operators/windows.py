@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions import fixed_point, tick_units, time_bucket
+from tickloom.functions import fixed_point, from_fixed_point, tick_units, time_bucket
 from tickloom.operators.latest import latest_value
 
 SECOND_MS = 1_000
@@ -62,9 +62,12 @@ def summary(stats: DataFrame, size_ms: int = SECOND_MS, *, digits: int | None =
     """STR-3: (timestamp, total_price, symbols) per window over the symbols that traded in it.
 
     The input has one row per symbol and window, so the list is as long as the set of symbols in the
-    window and has no repeats. It is sorted: arrival order is lost in any shuffle.
+    window and has no repeats. It is sorted: arrival order is lost in any shuffle. With ``digits`` the
+    averages are summed at that many decimal places, so row order cannot change the total.
     """
-    average = F.col("avg_price") if digits is None else fixed_point(F.col("avg_price"), digits)
+    total = F.sum("avg_price")
+    if digits is not None:
+        total = from_fixed_point(F.sum(fixed_point(F.col("avg_price"), digits)), digits)
     if stats.isStreaming:
         groups = [F.window(F.window_time("window"), f"{size_ms} milliseconds"), F.col("timestamp")]
     else:
@@ -72,7 +75,7 @@ def summary(stats: DataFrame, size_ms: int = SECOND_MS, *, digits: int | None =
     return (
         stats.groupBy(*groups)
         .agg(
-            F.sum(average).cast("double").alias("total_price"),
+            total.alias("total_price"),
             F.array_sort(F.collect_list("symbol")).alias("symbols"),
         )
         .select("timestamp", "total_price", "symbols")

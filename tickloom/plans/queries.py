@@ -109,13 +109,19 @@ def _sql_stats(symbol: str, size_ms: int) -> str:
         GROUP BY symbol, ms - ms % {size_ms}"""
 
 
+def _sql_total(price: str) -> str:
+    """The sum at ``TOTAL_DIGITS`` decimal places, whatever the order of the rows."""
+    units = 10**TOTAL_DIGITS
+    return f"CAST(sum(CAST(floor({price} * {units} + 0.5) AS BIGINT)) AS DOUBLE) / CAST({units} AS DOUBLE)"
+
+
 def _sql_closed(size_ms: int) -> str:
     return f"timestamp + {size_ms} <= (SELECT max({_MS}) - {DELAY_MS} FROM events)"
 
 
 def _sql_summary(symbol: str, size_ms: int) -> str:
     return f"""
-        SELECT timestamp, CAST(sum(CAST(avg_price AS DECIMAL(38, {TOTAL_DIGITS}))) AS DOUBLE) AS total_price,
+        SELECT timestamp, {_sql_total('avg_price')} AS total_price,
                string_agg(symbol, ',' ORDER BY symbol) AS symbols
         FROM ({_sql_stats(symbol, size_ms)}) GROUP BY timestamp"""
 
@@ -129,7 +135,7 @@ def _sql_completed(symbol: str, size_ms: int) -> str:
         prices AS (SELECT g.timestamp, g.symbol,
                           CASE WHEN p.timestamp = g.timestamp THEN p.avg_price ELSE p.last_price END AS price
                    FROM grid g ASOF JOIN stats p ON g.symbol = p.symbol AND g.timestamp >= p.timestamp)
-        SELECT timestamp, CAST(sum(CAST(price AS DECIMAL(38, {TOTAL_DIGITS}))) AS DOUBLE) AS total,
+        SELECT timestamp, {_sql_total('price')} AS total,
                count(*) AS known, string_agg(symbol, ',' ORDER BY symbol) AS all_symbols
         FROM prices GROUP BY timestamp"""
 
@@ -464,7 +470,7 @@ def missing_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "company_pattern",
-    """SELECT replace(string_agg(s_name || ' Inc.', '|' ORDER BY s_name), 'Inc.', 'Inc') AS pattern
+    """SELECT replace(coalesce(string_agg(s_name || ' Inc.', '|' ORDER BY s_name), ''), 'Inc.', 'Inc') AS pattern
        FROM supplier WHERE s_nationkey = 1""",
 )
 def company_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: obje
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
+        # Integer sums raise on overflow instead of wrapping round.
+        .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
