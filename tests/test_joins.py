@@ -1,11 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.brute import as_of as brute_as_of
 from tickloom.operators import dimension
 from tickloom.operators.asof import as_of
-from tickloom.operators.joins import fits_broadcast, hot_keys, keyed_join, known, unknown, with_company_symbols
+from tickloom.operators.joins import fits_broadcast, hot_keys, keyed_join, known, measured_bytes, unknown, with_company_symbols
 
 
 def rows_of(df):
@@ -54,6 +55,13 @@ def test_broadcast_needs_a_size_under_the_threshold(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_derived_table_is_measured(spark, table):
+    # A frame made from rows has no estimate.
+    assert measured_bytes(table) == 4 * 32 + len("hotk1k2other")
+    assert measured_bytes(table.select(F.array("symbol"))) is None
+    assert fits_broadcast(table)
+
+
 def test_left_join_keeps_every_trade(skewed, table):
     joined = with_company_symbols(skewed, table)
     assert joined.count() == skewed.count()

@@ -1,25 +1,45 @@
 """Equi-joins with a keyed table (JOIN-1..4): left, semi and anti.
 
-The table side has one row per key. When the optimizer's size estimate puts it under Spark's broadcast
-threshold, the plain join is left to Spark. Beyond that the join shuffles, and a key that holds a large
+The table side has one row per key. If it is measured to be under Spark's broadcast threshold it is
+broadcast and the left side stays where it is. Beyond that the join shuffles, and a key that holds a large
 share of the left rows would end up in one task; such keys are joined apart, against a broadcast of at
 most ``HOT_KEYS`` table rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 HOT_ROWS = 10_000_000
 HOT_KEYS = 10_000
 
 
+def measured_bytes(table: DataFrame) -> int | None:
+    """The size of the table's values, from one aggregate over it; None for nested columns."""
+    fixed, texts = 0, []
+    for field in table.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            texts.append(F.sum(F.octet_length(field.name)))
+        elif isinstance(field.dataType, T.AtomicType):
+            fixed += 16
+        else:
+            return None
+    count, *lengths = table.agg(F.count("*"), *texts).first()
+    return count * (fixed + 16 * len(texts)) + sum(length or 0 for length in lengths)
+
+
 def fits_broadcast(table: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is under the session's broadcast threshold."""
-    spark = table.sparkSession
-    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= threshold
+    """Whether the table is under the session's broadcast threshold.
+
+    The optimizer's estimate decides where it is small enough: it is an upper bound for filters and
+    aggregates. Otherwise the table is measured, which is cheap next to a shuffle of the other side.
+    """
+    threshold = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) <= threshold:
+        return True
+    size = measured_bytes(table) if threshold > 0 else None
+    return size is not None and size <= threshold
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS) -> DataFrame:
@@ -42,11 +62,17 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int =
 def keyed_join(
     left: DataFrame, table: DataFrame, key: str, how: str, *, hot_rows: int = HOT_ROWS, split: bool | None = None
 ) -> DataFrame:
-    """``left``, ``left_semi`` or ``left_anti`` join with a table that is unique per ``key``."""
+    """``left``, ``left_semi`` or ``left_anti`` join with a table that is unique per ``key``.
+
+    ``split`` overrides the size check: True joins hot keys apart, False broadcasts. On a stream the choice
+    is Spark's, made anew for the table of each micro-batch.
+    """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
-    if left.isStreaming or not (split if split is not None else not fits_broadcast(table)):
+    if left.isStreaming:
         return left.join(table, key, how)
+    if not (split if split is not None else not fits_broadcast(table)):
+        return left.join(F.broadcast(table), key, how)
 
     hot = hot_keys(left, key, hot_rows).withColumn("_hot", F.lit(True))
     marked = left.join(F.broadcast(hot), key, "left")
