@@ -3,6 +3,7 @@ from pyspark.sql import functions as F, types as T
 
 from tickloom.catalog import Catalog, Kind
 from tickloom.operators import frames
+from tickloom.operators.dimension import rename_profile_columns
 from tickloom.schemas import COMPANY_PROFILES, DATASETS, PROFILE_COLUMNS
 from tickloom.sinks.publish import Delivery, publish, records, stamped, tombstones, write_csv
 from tickloom.sources import files, messages as feed, topics
@@ -169,6 +170,11 @@ def test_rename_keeps_other_columns(spark):
     assert frames.rename(df, PROFILE_COLUMNS).columns == ["market_capitalization", "other"]
 
 
+def test_profile_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "name int, vendorIndustry int, shareOutstanding int, Symbol int")
+    assert rename_profile_columns(df).columns == ["name", "industry", "share_outstanding", "symbol"]
+
+
 def test_union_by_name(spark):
     left = spark.createDataFrame([(1, "a")], "x int, y string")
     right = spark.createDataFrame([("b", 2.0)], "y string, z double")

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions import name_regex
-from tickloom.operators.frames import union_by_name
+from tickloom.operators.frames import rename, union_by_name
 from tickloom.operators.joins import keyed_join, known, unknown
+from tickloom.schemas import PROFILE_COLUMNS
 
 MAX_PATTERN_NAMES = 10_000
 
 
+def rename_profile_columns(responses: DataFrame) -> DataFrame:
+    """PRJ-2 for profile responses; the industry field carries a vendor's name in front."""
+    industry = {c: "industry" for c in responses.columns if c.endswith("Industry")}
+    return rename(responses, {**PROFILE_COLUMNS, **industry})
+
+
 def new_companies(company_list: DataFrame, profiles: DataFrame | None, key: str = "symbol") -> DataFrame:
     """JOIN-2: listed companies without a cached profile; all of them when there is no cache."""
     return company_list if profiles is None else unknown(company_list, profiles, key)
