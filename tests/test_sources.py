@@ -4,6 +4,8 @@ from pyspark.sql import functions as F, types as T
 from tickloom.catalog import Catalog, Kind
 from tickloom.operators import frames
 from tickloom.operators.dimension import rename_profile_columns
+from tickloom.operators.latest import latest_prices
+from tickloom.plans.market import prices_from_messages
 from tickloom.schemas import COMPANY_PROFILES, DATASETS, PROFILE_COLUMNS
 from tickloom.sinks.publish import Delivery, publish, records, stamped, tombstones, write_csv
 from tickloom.sources import files, messages as feed, topics
@@ -62,6 +64,17 @@ def test_message_limit_counts_data_messages(parsed):
     assert sorted(first(None)) == sorted(first(0)) == [1, 2, 3, 11, 12]
 
 
+def test_prices_from_messages_keep_arrival_order(spark):
+    raw = spark.createDataFrame(
+        [(1, '{"type":"trade","data":[{"p":1.0,"s":"A","t":5,"v":1},{"p":2.0,"s":"A","t":5,"v":1}]}'),
+         (0, '{"type":"trade","data":[{"p":9.0,"s":"A","t":9,"v":1}]}')],
+        "offset bigint, value string",
+    )
+    prices = prices_from_messages(raw)
+    assert sorted(r["offset"] for r in prices.collect()) == [0, 1_000_000, 1_000_001]
+    assert latest_prices(prices).collect() == [("A", 2.0, 5)]
+
+
 def test_message_stream(spark, folder):
     spark.createDataFrame(MESSAGES, "offset bigint, value string").select("value").where("value NOT LIKE '% \n'").write.text(folder + "/in")
     trades = feed.trades_from_messages(spark.readStream.text(folder + "/in"))

@@ -18,6 +18,7 @@ from tickloom.operators.completed import completed_total
 from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import company_symbols, latest_prices
 from tickloom.operators.windows import summary, window_stats
+from tickloom.plans.market import prices_from_messages
 from tickloom.schemas import DATASETS, LATEST_PRICES
 from tickloom.session import shared_dir
 from tickloom.sinks.publish import publish, tombstones, write_csv
@@ -319,6 +320,19 @@ def first_n_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("offset", F.size("message.data").alias("trades"))
 
 
+@register(
+    "latest_prices_from_messages",
+    f"""SELECT symbol, arg_max(value, event_id) AS last_price, arg_max(ms, event_id) AS timestamp
+        FROM (SELECT event_id, value, {_MS} AS ms, CASE position WHEN 0 THEN event_type
+                       ELSE 'user_' || CAST(user_id AS VARCHAR) END AS symbol
+              FROM events CROSS JOIN (VALUES (0), (1)) p(position)
+              WHERE {_SQL_DATA} AND NOT ({_SQL_EMPTY}))
+        GROUP BY symbol""",
+)
+def latest_prices_from_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_prices(prices_from_messages(_messages(spark, sf_dir)))
+
+
 def _uneven_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades as they come in: NaN prices in errors, no symbol in signups."""
     nan = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
