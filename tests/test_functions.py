@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from tickloom import functions as fn
@@ -56,6 +57,19 @@ def test_tick_units(spark):
         assert one(spark, fn.tick_units(F.col("t"), 2), t=("double", price)) == units
 
 
+@pytest.mark.parametrize("price", [1e17, -1e17, float("nan"), float("inf")])
+def test_units_out_of_range_raise(spark, price):
+    with pytest.raises(ArithmeticException):
+        one(spark, fn.tick_units(F.col("t"), 2), t=("double", price))
+
+
+@pytest.mark.parametrize("digits", [2, 6, 9, 12, 18])
+def test_fixed_point_round_trip(spark, digits):
+    there = fn.fixed_point(F.col("t"), digits)
+    assert one(spark, fn.from_fixed_point(there, digits), t=("double", 1234.56)) == 1234.56
+    assert one(spark, fn.from_fixed_point(there, digits), t=("double", None)) is None
+
+
 def test_name_regex_quotes_on_request():
     assert fn.name_regex("A.B|C") == "(?i)A.B|C"
     assert fn.name_regex("A.B|C", quote=True) == "(?i)\\QA.B\\E|\\QC\\E"

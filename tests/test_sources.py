@@ -67,7 +67,8 @@ def test_message_limit_counts_data_messages(parsed):
 def test_prices_from_messages_keep_arrival_order(spark):
     raw = spark.createDataFrame(
         [(1, '{"type":"trade","data":[{"p":1.0,"s":"A","t":5,"v":1},{"p":2.0,"s":"A","t":5,"v":1}]}'),
-         (0, '{"type":"trade","data":[{"p":9.0,"s":"A","t":9,"v":1}]}')],
+         (0, '{"type":"trade","data":[{"p":9.0,"s":"A","t":9,"v":1}]}'),
+         (2, '{"type":"trade","data":[{"p":NaN,"s":"A","t":9,"v":1}]}')],
         "offset bigint, value string",
     )
     prices = prices_from_messages(raw)

@@ -125,7 +125,7 @@ def test_a_repeated_batch_changes_nothing(spark, folder):
 @pytest.mark.parametrize("listed", [True, False])
 def test_market_over_restarts_equals_brute_force(spark, feed, listed):
     rows = in_order(5, 100, step=900)
-    tables = MarketTables.under(feed.base + "/market", symbols=listed)
+    tables = MarketTables.under(feed.base + "/market", symbols=listed, snapshot_every=3)
     for start in range(0, 100, 25):
         part = rows[start : start + 25]
         random.Random(start).shuffle(part)

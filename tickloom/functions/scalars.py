@@ -73,9 +73,10 @@ def name_regex(pattern: str, quote: bool = False) -> str:
 def tick_units(value: Column, digits: int) -> Column:
     """A price as a whole number of ``10**-digits`` units; sums of it do not depend on row order.
 
-    Out-of-range values raise in ANSI mode, so a sum is exact or an error, never wrong.
+    The cast checks its range in ANSI mode: a price that does not fit, or NaN, raises, as does a sum that
+    overflows. Make NaN null first (``null_if_nan``).
     """
-    return F.floor(value * F.lit(float(10**digits)) + F.lit(0.5)).cast("bigint")
+    return F.rint(value * F.lit(float(10**digits))).cast("bigint")
 
 
 def fixed_point(value: Column, digits: int) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators.completed import completed_total
-from tickloom.operators.frames import valid
+from tickloom.operators.frames import normalise_nulls, valid
 from tickloom.operators.latest import company_symbols, latest_prices
 from tickloom.operators.windows import SECOND_MS, summary, window_stats
 from tickloom.schemas import DATASETS
@@ -30,10 +30,11 @@ class Market:
 def prices_from_messages(messages: DataFrame, text: str = "value") -> DataFrame:
     """Raw feed texts with an ``offset`` to the (offset, symbol, price, timestamp) of their valid trades.
 
-    Each trade gets an offset of its own: the message's offset, then its place in the message. A message
+    A NaN, which JSON readers let through, counts as no value. Each trade gets an offset of its own: the message's offset, then its place in the message. A message
     of ``MESSAGE_SLOTS`` trades or more is an error.
     """
-    trades = valid(trades_from_messages(messages, text, keep=["offset"]), DATASETS["trades"])
+    trades = normalise_nulls(trades_from_messages(messages, text, keep=["offset"]))
+    trades = valid(trades, DATASETS["trades"])
     place = F.when(F.col("position") < MESSAGE_SLOTS, F.col("position")).otherwise(
         F.raise_error(F.lit("too many trades in one message")).cast("int")
     )

@@ -103,7 +103,7 @@ _MS = "epoch_us(ts) // 1000"
 def _sql_stats(symbol: str, size_ms: int) -> str:
     return f"""
         SELECT symbol, count(*) AS count,
-               CAST(sum(CAST(floor(price * 100 + 0.5) AS BIGINT)) AS DOUBLE)
+               CAST(sum(CAST(price * 100 AS BIGINT)) AS DOUBLE)
                  / (count(price) * CAST(100 AS DOUBLE)) AS avg_price,
                arg_max(price, event_id) AS last_price, ms - ms % {size_ms} AS timestamp
         FROM (SELECT event_id, CAST({symbol} AS VARCHAR) AS symbol, value AS price, {_MS} AS ms FROM events)
@@ -111,9 +111,9 @@ def _sql_stats(symbol: str, size_ms: int) -> str:
 
 
 def _sql_total(price: str) -> str:
-    """The sum at ``TOTAL_DIGITS`` decimal places, whatever the order of the rows."""
+    """The sum at ``TOTAL_DIGITS`` decimal places, whatever the order of the rows; the cast rounds."""
     units = 10**TOTAL_DIGITS
-    return f"CAST(sum(CAST(floor({price} * {units} + 0.5) AS BIGINT)) AS DOUBLE) / CAST({units} AS DOUBLE)"
+    return f"CAST(sum(CAST({price} * {units} AS BIGINT)) AS DOUBLE) / CAST({units} AS DOUBLE)"
 
 
 def _sql_closed(size_ms: int) -> str:

@@ -89,7 +89,9 @@ class MarketTables:
     prices: KeyedTable
 
     @classmethod
-    def under(cls, base: str, key: T.DataType = T.StringType(), *, symbols: bool = False) -> MarketTables:
+    def under(
+        cls, base: str, key: T.DataType = T.StringType(), *, symbols: bool = False, snapshot_every: int = 100
+    ) -> MarketTables:
         long, double = T.LongType(), T.DoubleType()
         listed = [T.StructField("all_symbols", T.ArrayType(key))] if symbols else []
         return cls(
@@ -114,7 +116,12 @@ class MarketTables:
                     *listed,
                 ]),
             ),
-            KeyedTable(f"{base}/last_prices", _fields(key, ("timestamp", long), ("last_price", double)), "symbol"),
+            KeyedTable(
+                f"{base}/last_prices",
+                _fields(key, ("timestamp", long), ("last_price", double)),
+                "symbol",
+                snapshot_every,
+            ),
         )
 
 
