@@ -4,9 +4,9 @@ Three steps that the near-duplicate operators share. Nothing here emits the pair
 
 - ``key_links`` turns (key, node) rows into one link per node and shared key, to the smallest node of the key;
 - ``connected`` finds the components of a link table in rounds of joins, each written to the shared folder;
-- ``verified_links`` brings the sets of each cluster together and keeps the links that an exact test accepts. A
-  cluster beyond ``TASK_TOKENS`` is cut into blocks, and every pair of blocks is a task of its own, so that a
-  task's memory is bounded and no pair is lost.
+- ``comparisons`` and ``verified_links`` bring the sets of each cluster together and keep the links that an exact
+  test accepts. A cluster beyond ``TASK_TOKENS`` is cut into blocks, and every pair of blocks is a task of its own,
+  so that a task's memory is bounded and no pair is lost.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from tickloom.llm.common import materialise
 
 #: Set elements that one task compares at most (8 bytes each), unless a single block pair is larger.
 TASK_TOKENS = 4_000_000
+#: Bits of the table that says which keys may be members: 2^17 words of 64.
+KEY_BITS = 1 << 23
 
 
 def key_links(keys: DataFrame) -> DataFrame:
@@ -79,11 +81,25 @@ def connected(links: DataFrame) -> DataFrame:
         edges = materialise(small.where("a <> b").distinct(), "links")
 
 
-def verified_links(members: DataFrame, test: Callable[[list[np.ndarray]], list[tuple[int, int]]]) -> DataFrame:
-    """(a, b) links between members of the same cluster that ``test`` accepts.
+def likely(rows: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
+    """rows without most of those whose keys are not among the members'.
 
-    members: cluster, node, n (elements), elements (binary, 64-bit numbers in ascending order), one row per node.
-    test gets sets and returns index pairs that connect all sets it would link.
+    A table of ``KEY_BITS`` bits, of which the members' hashes set some, is broadcast: 2 MB, whatever the input. Only a
+    join tells for certain, but it then moves few rows in vain.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(KEY_BITS))
+    word, bit = F.floor(place / 64), (place % 64).cast("int")
+    marks = members.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word")
+    marks = marks.agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    found = rows.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marks), "__word")
+    return found.where("getbit(__bits, __bit) = 1").select(*rows.columns)
+
+
+def comparisons(members: DataFrame) -> DataFrame:
+    """members (cluster, node, n, more) with the tasks (i, j) that each takes part in.
+
+    A cluster of at most ``TASK_TOKENS`` elements is one task; a larger one is cut into blocks of half of it, and a
+    member goes to a task for each other block. Clusters of one member are left out.
     """
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("count")).where("count > 1")
     blocks = F.ceil(F.col("total") * 2 / TASK_TOKENS).cast("int")
@@ -91,9 +107,14 @@ def verified_links(members: DataFrame, test: Callable[[list[np.ndarray]], list[t
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = members.join(sizes, "cluster").withColumn("block", block).withColumn("other", others)
-    spread = spread.where("blocks = 1 or other <> block").select(
-        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "elements"
-    )
+    spread = spread.where("blocks = 1 or other <> block")
+    spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    return spread.drop("blocks", "block", "other")
+
+
+def verified_links(elements: DataFrame, test: Callable[[list[np.ndarray]], list[tuple[int, int]]]) -> DataFrame:
+    """(a, b) links that ``test`` accepts between nodes of a task: columns cluster, i, j, node, elements (64-bit
+    numbers in ascending order). test gets the sets and returns index pairs that connect all it would link."""
 
     def compare(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_numpy()
@@ -103,4 +124,4 @@ def verified_links(members: DataFrame, test: Callable[[list[np.ndarray]], list[t
         b = nodes[[x for _, x in found]] if found else np.zeros(0, np.int64)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+    return elements.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")

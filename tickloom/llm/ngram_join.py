@@ -1,20 +1,19 @@
 """N-gram Jaccard join: a prefix-tree join of documents on their sets of five-word shingles.
 
-1. Each document's set is its distinct shingle hashes in ascending order, the global order. Equal sets are one
-   class; only classes are compared.
-2. Classes that can be similar are brought together without loss. Sizes fall into buckets that grow by a quarter,
-   so partners lie in the same or neighbouring buckets. For a pair of buckets at most ``d`` elements can differ,
-   so the order is cut into more than ``d`` segments: partners agree on a whole segment, and its elements are the
-   key that they share. A class with so many empty segments that only those might agree shares its prefix as
-   well: the first fifth of its elements, one of which any partner has in its own prefix.
-3. Classes connected by shared keys form a cluster. Inside, the sets are stored in a prefix tree. A search walks
-   it with an overlap that all sets below a node share, and leaves a subtree when the remaining lengths cannot
-   reach the threshold, or when all its candidates are in the searcher's component already.
+1. A document's set is its distinct shingle hashes. Equal sets are one class; only classes are compared.
+2. The global order puts the shingles of many documents last; a table of fixed size counts them by a part of their
+   hash. In that order two similar sets share one of the first fifth of their elements, their prefixes. Classes that
+   share a prefix element are candidates if sizes and counts per hash class, which bound the overlap from above,
+   allow the threshold. Connected candidates form a cluster.
+3. Inside a cluster, the sets are stored in a prefix tree. A search walks it with an overlap that all sets below
+   a node share, and leaves a subtree when the remaining lengths cannot reach the threshold, or when all its
+   candidates are in the searcher's component already.
 4. Components of the links found are components of all links: a link is skipped only inside a component.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,88 +22,185 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
-from tickloom.llm.components import connected, key_links, verified_links
-from tickloom.llm.shingles import class_counts, mix, shingle_sets, signature
+from tickloom.llm.components import comparisons, connected, likely, verified_links
+from tickloom.llm.shingles import class_counts, pieces, shingle_sets, signature
 
 #: Similar: 100 * intersection >= 80 * union, which is 9 * intersection >= 4 * (size + size).
 _PART, _SIZES = 9, 4
+#: Smaller sets are similar to equal ones only.
+_LEAST = 4
+#: Counters of shingles, and their pieces; a shingle is frequent if its counter is so many times the mean.
+HEAT_BITS, HEAT_PIECES, FREQUENT = 21, 32, 4
+#: A prefix element of more classes than this makes them one cluster without a look at bounds.
+CROWD = 1_000
+_MANY = 255
 
 
-def _buckets(top: int = 2**40) -> np.ndarray:
-    bounds = [1]
-    while bounds[-1] < top:
-        bounds.append(-(-bounds[-1] * 5 // 4) if bounds[-1] >= 4 else bounds[-1] + 1)
-    return np.array(bounds, np.int64)
+def _small_counts(own: np.ndarray) -> np.ndarray:
+    """Counts per hash class in a byte each; the highest value stands for any larger count. There is a class for about
+    every four elements, and their number is a power of two, so that neighbouring halves add up to fewer classes."""
+    classes = 32
+    while 5 * classes < len(own):
+        classes *= 2
+    return np.minimum(class_counts(own, classes), _MANY).astype(np.uint8)
 
 
-_BOUNDS = _buckets()
-
-
-def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple[int, np.ndarray]]]]:
-    for batch in batches:
-        yield batch, shingle_sets(batch.column(batch.schema.get_field_index("text")))
-
-
-def set_signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and a 128-bit signature of each document's set."""
+def _profiles(docs: DataFrame) -> DataFrame:
+    """A row for each document: size, signature and class counts of its set; and, with a piece, rows of counters."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _by_row(batches):
-            found = [(len(own), *signature(own)) for _, own in sets]
-            n, one, two = (pa.array([x[k] for x in found], pa.int64()) for k in range(3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, one, two], names=["doc_id", "n_shingles", "one", "two"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, one long, two long"
-    )
+        heat = np.zeros(1 << HEAT_BITS, np.uint32)
+        names = ["doc_id", "n_shingles", "one", "two", "counts", "piece"]
+        for batch in pieces(batches):
+            found = []
+            for _, own in shingle_sets(batch.column(1)):
+                found.append((len(own), *signature(own), _small_counts(own).tobytes()))
+                places = (own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)
+                np.add.at(heat, places, np.uint32(1))
+            columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(3)]
+            columns += [pa.array([x[3] for x in found], pa.binary()), pa.nulls(len(found), pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+        parts = [zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in np.split(heat, HEAT_PIECES)]
+        empty = [pa.nulls(HEAT_PIECES, pa.int64())] * 4
+        columns = [*empty, pa.array(parts, pa.binary()), pa.array(range(HEAT_PIECES), pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, counts binary, piece int")
+
+
+def _frequent(profiles: DataFrame) -> bytes:
+    """A bit for each counter: whether it is far above the mean. 2^21 bits, whatever the input."""
+    shingles = profiles.agg(F.sum("n_shingles")).first()[0] or 0
+    bound = max(32, FREQUENT * shingles / (1 << HEAT_BITS))
+
+    def total(group: pa.Table) -> pa.Table:
+        heat = sum(np.frombuffer(zlib.decompress(x.as_py()), np.uint16).astype(np.uint64) for x in group.column("counts"))
+        return pa.table({"piece": group.column("piece")[:1], "bits": pa.array([np.packbits(heat >= bound).tobytes()], pa.binary())})
+
+    heat = profiles.where("piece is not null").select("piece", "counts").groupBy("piece")
+    found = {r["piece"]: r["bits"] for r in heat.applyInArrow(total, "piece int, bits binary").collect()}
+    none = bytes((1 << HEAT_BITS) // HEAT_PIECES // 8)
+    return b"".join(bytes(found.get(k, none)) for k in range(HEAT_PIECES))
+
+
+def prefix(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first elements of a set in the global order: any similar set has one of them among its own first."""
+    last = frequent[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)]
+    return np.concatenate([own[~last], own[last]])[: len(own) - (4 * len(own) + 4) // 5 + 1]
+
+
+def _crowds(docs: DataFrame, frequent: bytes) -> DataFrame:
+    """The documents that share a prefix element: nodes (array) and crowded, one row for each different list. Of
+    equal sets in a piece of a batch one is enough. A list beyond ``CROWD`` comes as pairs with its first node."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
+        for batch in pieces(batches):
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            seen, keys, nodes = set(), [], []
+            for i, own in shingle_sets(batch.column(1)):
+                if len(own) >= _LEAST and (name := signature(own)) not in seen:
+                    seen.add(name)
+                    keys.append(prefix(own, flags))
+                    nodes.append(np.full(len(keys[-1]), ids[i], np.int64))
+            if keys:
+                columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node"])
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, open_nodes, crowd = None, np.zeros(0, np.int64), False
+        seen: set[bytes] = set()
+
+        def batch_of(found: list[np.ndarray], crowded: list[bool]) -> pa.RecordBatch:
+            columns = [pa.array(found, pa.list_(pa.int64())), pa.array(crowded, pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns, names=["nodes", "crowded"])
+
+        def close(nodes: np.ndarray, crowded: bool, out: list, marks: list) -> None:
+            nodes = np.unique(nodes)
+            if len(nodes) < 2:
+                return
+            if crowded or len(nodes) > CROWD:
+                for other in nodes[1:]:
+                    out.append(np.array([nodes[0], other]))
+                    marks.append(True)
+            elif (name := nodes.tobytes()) not in seen:
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen.add(name)
+                out.append(nodes)
+                marks.append(False)
 
-def candidate_keys(own: np.ndarray) -> np.ndarray:
-    """The keys of a set: any two sets that are similar and differ have one in common."""
-    n = len(own)
-    bucket = int(np.searchsorted(_BOUNDS, n, "right")) - 1
+        for batch in batches:
+            k = batch.column(0).to_numpy(zero_copy_only=False)
+            v = batch.column(1).to_numpy(zero_copy_only=False)
+            if not len(k):
+                continue
+            starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            ends = np.append(starts[1:], len(k))
+            out, marks = [], []
+            if open_key is not None and k[0] == open_key:
+                open_nodes = np.concatenate([open_nodes, v[: ends[0]]])
+                if len(open_nodes) > CROWD:
+                    # too long to hold: pairs with its first node, which goes on to stand for the list
+                    close(open_nodes, True, out, marks)
+                    open_nodes, crowd = open_nodes[:1], True
+                starts, ends = starts[1:], ends[1:]
+            if len(starts):
+                close(open_nodes, crowd, out, marks)
+                for i in np.flatnonzero(ends[:-1] - starts[:-1] > 1):
+                    close(v[starts[i] : ends[i]], False, out, marks)
+                open_key, open_nodes, crowd = k[-1], v[starts[-1] :], False
+            if out:
+                yield batch_of(out, marks)
+        out, marks = [], []
+        close(open_nodes, crowd, out, marks)
+        if out:
+            yield batch_of(out, marks)
+
+    keys = docs.mapInArrow(rows, "key long, node long").repartition("key").sortWithinPartitions("key", "node")
+    return keys.mapInArrow(lists, "nodes array<long>, crowded boolean").distinct()
+
+
+def bounded_links(size: np.ndarray, counts: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Index pairs that connect all sets whose sizes and class counts do not rule out the threshold."""
+    component = np.arange(len(size))
+    classes = np.array([len(x) for x in counts])
+    # for each number of classes, the counts of all sets that have so many or more, added up to that number
+    folded, place = {}, {}
+    for c in np.unique(classes).tolist():
+        rows = np.flatnonzero(classes >= c)
+        wide = [np.where(counts[i] == _MANY, 1 << 20, counts[i].astype(np.int32)).reshape(-1, c).sum(axis=0) for i in rows]
+        folded[c], place[c] = np.stack(wide), np.zeros(len(size), np.int64)
+        place[c][rows] = np.arange(len(rows))
     found = []
-    for level in (bucket - 1, bucket):
-        differ = 2 * int(_BOUNDS[level + 2] - 1) // _PART if level >= 0 else 0
-        if not differ:
-            continue
-        segments = differ + 1 + -(-(differ + 1) * 3 // 20)
-        segment = ((own >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
-        starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
-        sums = np.add.reduceat(mix(own, 3), starts)
-        found.append(mix(sums + segment[starts] * np.uint64(0x9E3779B97F4A7C15), 16 + level))
-        if len(starts) <= differ:
-            found.append(mix(own[: n - (4 * n + 4) // 5 + 1], 4))
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    for i in range(len(size) - 1):
+        near = (5 * size[i + 1 :] >= 4 * size[i]) & (4 * size[i + 1 :] <= 5 * size[i])
+        late = i + 1 + np.flatnonzero((component[i + 1 :] != component[i]) & near)
+        shared = np.minimum(classes[late], classes[i])
+        for c in np.unique(shared).tolist():
+            some = late[shared == c]
+            bound = np.minimum(folded[c][place[c][some]], folded[c][place[c][i]]).sum(axis=1)
+            for j in some[_PART * bound >= _SIZES * (size[i] + size[some])].tolist():
+                if component[j] != component[i]:
+                    found.append((i, j))
+                    component[component == component[j]] = component[i]
+    return found
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    """(key, node) rows, a node being half of a set's signature. Nodes that share a key inside an Arrow batch are
-    joined to the smallest of them there, so a hot key sends one row per batch."""
+def _candidates(crowds: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(a, b) links between documents whose sets may be similar."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _by_row(batches):
-            seen, keys, nodes = set(), [], []
-            for _, own in sets:
-                one = signature(own)[0]
-                if len(own) > 4 and one not in seen:
-                    seen.add(one)
-                    keys.append(candidate_keys(own))
-                    nodes.append(np.full(len(keys[-1]), one, np.int64))
-            if not keys:
-                continue
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            new = np.append(True, key[1:] != key[:-1])
-            hub = node[np.flatnonzero(new)][np.cumsum(new) - 1]
-            star = np.unique(np.stack([hub, node], axis=1)[hub != node], axis=0)
-            hubs = np.unique(star[:, 0])
-            key = np.concatenate([key[new], mix(star[:, 0].view(np.uint64), 5), mix(hubs.view(np.uint64), 5)])
-            node = np.concatenate([node[new], star[:, 1], hubs])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node)], names=["key", "node"])
+    def links(group: pa.Table) -> pa.Table:
+        nodes = group.column("doc_id").to_numpy()
+        counts = [np.frombuffer(x.as_py(), np.uint8) for x in group.column("counts")]
+        found = np.array(bounded_links(group.column("n_shingles").to_numpy(), counts), np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(nodes[found[:, 0]]), "b": pa.array(nodes[found[:, 1]])})
 
-    return docs.select("text").mapInArrow(rows, "key long, node long")
+    lists = crowds.where("not crowded").select(F.xxhash64("nodes", F.lit(1)).alias("list"), F.explode("nodes").alias("doc_id"))
+    known = profiles.where("piece is null").select("doc_id", "n_shingles", "counts")
+    pairs = lists.join(known, "doc_id").groupBy("list").applyInArrow(links, "a long, b long")
+    hot = crowds.where("crowded").select(F.get("nodes", F.lit(0)).alias("a"), F.get("nodes", F.lit(1)).alias("b"))
+    return pairs.unionByName(hot)
 
 
 def tree_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -182,39 +278,49 @@ def similar_components(docs: DataFrame) -> DataFrame:
     empty result. Rows without a doc_id keep a null component and link nothing.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spark = docs.sparkSession
-    rows = materialise(set_signatures(docs), "sets")
+    named = docs.where("doc_id is not null")
+    profiles = materialise(_profiles(docs), "profiles")
+    rows = profiles.where("piece is null").select("doc_id", "n_shingles", "one", "two")
     linkable = rows.where("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("one", "two").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"))
-    clusters = connected(key_links(_keys(docs.where("doc_id is not null"))))
-    clusters = clusters.select(F.col("node").alias("one"), F.col("root").alias("cluster"))
-    members = materialise(classes.join(clusters, "one"), "members")
+    crowds = materialise(_crowds(named, _frequent(profiles)), "crowds")
+    clusters = connected(_candidates(crowds, profiles))
+    clusters = rows.join(clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id")
+    clusters = clusters.groupBy("one", "two").agg(F.min("cluster").alias("cluster"))
+    members = materialise(comparisons(classes.join(clusters, ["one", "two"])), "members")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The member's own set; a row that only shares its doc_id with the member is left out."""
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            one, two = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        for batch in pieces(batches):
+            one, two = batch.column(4).to_numpy(), batch.column(5).to_numpy()
             kept, elements = [], []
-            for i, own in shingle_sets(texts):
+            for i, own in shingle_sets(batch.column(6)):
                 if signature(own) == (one[i], two[i]):
                     kept.append(i)
                     elements.append(own.tobytes())
             few = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [few.column(0), few.column(1), few.column(2), pa.array(elements, pa.binary())],
-                names=["cluster", "node", "n", "elements"],
-            )
-
-    texts = docs.join(members, docs.doc_id == members.node)
-    elements = texts.select("cluster", "node", "n", "one", "two", "text").mapInArrow(
-        sets, "cluster long, node long, n long, elements binary"
+            columns = [few.column(k) for k in range(4)] + [pa.array(elements, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["cluster", "i", "j", "node", "elements"])
+
+    ids = members.select(F.col("node").alias("doc_id"))
+    texts = likely(named, ids, ["doc_id"]).join(members, F.col("doc_id") == F.col("node"))
+    elements = texts.select("cluster", "i", "j", "node", "one", "two", "text").mapInArrow(
+        sets, "cluster long, i int, j int, node long, elements binary"
     )
-    links = verified_links(elements, tree_links)
-    roots = connected(links)
-    named = classes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("root"))
-    named = rows.join(named, ["one", "two"], "left")
+    roots = connected(verified_links(elements, tree_links))
+    rooted = classes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("root"))
     alone = F.col("n_shingles") == 0
-    return named.select(
+    return rows.join(rooted, ["one", "two"], "left").select(
         "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("root")).alias("component_id")
     )
+
+
+def without_similar(docs: DataFrame) -> DataFrame:
+    """docs, all columns, with one document of each component: that of the smallest doc_id. Of rows that share a doc_id
+    one stays for each different text; rows without a doc_id all stay."""
+    found = similar_components(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__doc_id"))
+    found = materialise(found.agg(F.count("*").alias("__rows")), "kept")
+    kept = docs.join(found, F.col("doc_id").cast("long") == F.col("__doc_id"))
+    once = kept.where("__rows = 1").select(*docs.columns)
+    several = kept.where("__rows > 1").dropDuplicates(["__doc_id", "text"]).select(*docs.columns)
+    return once.unionByName(several).unionByName(docs.where("doc_id is null"))

@@ -14,7 +14,9 @@ import pyarrow as pa
 
 WIDTH = 5
 #: Text bytes that are hashed at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
+#: Texts whose sets are held at once.
+CHUNK_TEXTS = 1_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -96,6 +98,13 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield base + i, own
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to ``CHUNK_TEXTS`` rows, so that what is made from one is small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, CHUNK_TEXTS):
+            yield batch.slice(first, CHUNK_TEXTS)
+
+
 def signature(own: np.ndarray) -> tuple[int, int]:
     """128 bits that are equal for equal sets, as two signed numbers."""
     one, two = mix(own, 1).sum(), mix(own, 2).sum()
