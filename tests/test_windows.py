@@ -135,3 +135,25 @@ def test_backfill_composes_the_chain(spark):
     assert market.window_stats.count() == 3
     assert rows_of(market.summary, "timestamp", "total_price") == [(0, 16.0), (1000, 14.0)]
     assert totals_of(market.completed_total) == [(0, 16.0, ["a", "b"]), (1000, 19.0, ["a", "b"])]
+
+
+NAN = float("nan")
+UNPRICED = [("a", 10.0, 0, 1), ("b", 5.0, 10, 2), ("b", NAN, 1000, 3), ("a", 10.0, 2000, 4), ("b", 7.0, 3000, 5), ("a", 10.0, 4000, 6)]
+
+
+@pytest.mark.parametrize("digits", [2, 6, 9, 18])
+def test_nan_is_no_price(spark, digits):
+    market = backfill(frame(spark, UNPRICED), frame(spark, UNPRICED).select("symbol", "timestamp", "offset"), total_digits=digits)
+    totals = sorted((r["timestamp"], r["total"]) for r in market.completed_total.collect())
+    assert totals == [(0, 15.0), (2000, 15.0), (3000, 17.0), (4000, 17.0)]
+    assert rows_of(market.latest_prices, "symbol", "last_price") == [("a", 10.0), ("b", 7.0)]
+    exact = window_stats(frame(spark, UNPRICED), digits=digits if digits <= 9 else None)
+    assert ("b", 1, None, 1000) in rows_of(exact, "symbol", "count", "avg_price", "timestamp")
+
+
+@pytest.mark.parametrize("digits", [9, 18])
+def test_a_price_that_does_not_fit_is_an_error(spark, digits):
+    rows = [("a", 1e25, 0, 1)]
+    stats = window_stats(frame(spark, rows), with_last=True)
+    with pytest.raises(Exception):
+        completed_total(stats, 1000, digits=digits).collect()

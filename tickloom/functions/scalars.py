@@ -74,7 +74,7 @@ def tick_units(value: Column, digits: int) -> Column:
     """A price as a whole number of ``10**-digits`` units; sums of it do not depend on row order.
 
     The cast checks its range in ANSI mode: a price that does not fit, or NaN, raises, as does a sum that
-    overflows. Make NaN null first (``null_if_nan``).
+    overflows. NaN is no price: operators make it null first (``null_if_nan``).
     """
     return F.rint(value * F.lit(float(10**digits))).cast("bigint")
 
@@ -83,11 +83,14 @@ def fixed_point(value: Column, digits: int) -> Column:
     """A double with ``digits`` decimal places, for exact sums; ``from_fixed_point`` turns sums back.
 
     Up to ``INTEGER_DIGITS`` places it is a whole number of units, which is several times faster to add;
-    beyond that a 38-digit decimal.
+    beyond that a 38-digit decimal. In both forms a value that cannot be kept, NaN too, raises.
     """
     if digits <= INTEGER_DIGITS:
         return tick_units(value, digits)
-    return value.cast(T.DecimalType(38, digits))
+    kind = T.DecimalType(38, digits)
+    kept = value.try_cast(kind)
+    lost = F.raise_error(F.lit("a price does not fit its decimal places")).cast(kind)
+    return F.when(value.isNotNull() & kept.isNull(), lost).otherwise(kept)
 
 
 def from_fixed_point(total: Column, digits: int) -> Column:

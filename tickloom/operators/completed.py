@@ -134,15 +134,15 @@ def completed_total(
 ) -> DataFrame:
     """(timestamp, total, known) for every window with trades; ``symbols`` adds ``all_symbols``.
 
-    ``stats`` has one row per symbol and window with ``avg_price`` and ``last_price``, both null when none
-    of its trades had a price; such a row counts as no trade. Event time decides between windows, the
+    ``stats`` has one row per symbol and window with ``avg_price`` and ``last_price``, both null (or NaN) when
+    none of its trades had a price; such a row counts as no trade. Event time decides between windows, the
     offset decides inside one. Sums are exact at ``digits`` decimal places; up to 9 they run on integers.
     ``carry`` holds (symbol, timestamp, last_price) known from earlier windows, all before the first one in
     ``stats``.
     """
     span_ms = size_ms * chunk
     rows = (
-        stats.where("avg_price IS NOT NULL")
+        stats.where("avg_price IS NOT NULL AND NOT isnan(avg_price)")
         .select(
             "symbol",
             "timestamp",
@@ -162,6 +162,6 @@ def completed_total(
 
 def last_prices(stats: DataFrame) -> DataFrame:
     """(symbol, timestamp, last_price) after the windows in ``stats``: the carry for what follows."""
-    return stats.where("last_price IS NOT NULL").groupBy("symbol").agg(
+    return stats.where("last_price IS NOT NULL AND NOT isnan(last_price)").groupBy("symbol").agg(
         F.max_by("last_price", "timestamp").alias("last_price"), F.max("timestamp").alias("timestamp")
     )

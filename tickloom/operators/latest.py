@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickloom.functions import null_if_nan
+
 
 def latest_value(value: str, offset: str = "offset") -> Column:
     """AGG-1: the non-null value with the highest offset (a null order key is ignored by ``max_by``)."""
@@ -34,11 +36,12 @@ def company_symbols(symbols: DataFrame) -> DataFrame:
 
 
 def latest_prices(prices: DataFrame, default: float = 0.0) -> DataFrame:
-    """AGG-3: (symbol, last_price, timestamp); columns are resolved independently.
+    """AGG-3: (symbol, last_price, timestamp); columns are resolved independently, and NaN is no price.
 
     The defining query also left-joins the company symbols, selects none of their columns and has one
     such row per symbol. That join cannot change the result, so it is left out here;
     ``joins.with_company_symbols`` is the join itself.
     """
+    prices = prices.withColumn("price", null_if_nan(F.col("price")))
     latest = latest_by_offset(prices, ["symbol"], {"price": "last_price", "timestamp": "timestamp"})
     return latest.withColumn("last_price", F.coalesce("last_price", F.lit(default)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions import fixed_point, from_fixed_point, tick_units, time_bucket
+from tickloom.functions import fixed_point, from_fixed_point, null_if_nan, tick_units, time_bucket
 from tickloom.operators.latest import latest_value
 
 SECOND_MS = 1_000
@@ -31,11 +31,11 @@ def window_stats(
 ) -> DataFrame:
     """STR-2: (symbol, count, avg_price, timestamp) per symbol and window, ``timestamp`` the window start.
 
-    ``count`` counts rows with a null price too. ``with_last`` adds the highest-offset price of the window.
+    ``count`` counts rows without a price too; a NaN price is none. ``with_last`` adds the highest-offset price of the window.
     A stream needs ``event_time`` and the watermark ``delay`` (STR-7); its result keeps the ``window``
     column so that ``summary`` can be chained to it without another read (SRC-3).
     """
-    prices = prices.where(F.col("symbol").isNotNull())
+    prices = prices.where(F.col("symbol").isNotNull()).withColumn("price", null_if_nan(F.col("price")))
     aggregates = [F.count("*").alias("count"), _average(F.col("price"), digits).alias("avg_price")]
     if with_last:
         aggregates.append(latest_value("price").alias("last_price"))
