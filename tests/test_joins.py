@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.brute import as_of as brute_as_of
 from tickloom.operators import dimension
 from tickloom.operators.asof import as_of
-from tickloom.operators.joins import fits_broadcast, hot_keys, keyed_join, known, measured_bytes, unknown, with_company_symbols
+from tickloom.operators.joins import keyed_join, known, unique_per, unknown, with_company_symbols
 
 
 def rows_of(df):
@@ -26,17 +26,12 @@ def table(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [1, 20, 50, 1000])
-def test_hot_key_split_equals_the_plain_join(skewed, table, how, hot_rows):
-    split = keyed_join(skewed, table, "symbol", how, hot_rows=hot_rows, split=True)
+def test_keyed_join_equals_the_plain_join(skewed, table, how):
+    joined = keyed_join(skewed, table, "symbol", how)
     plain = skewed.join(table, "symbol", how)
-    assert split.columns == plain.columns
-    assert rows_of(split) == rows_of(plain)
-
-
-def test_hot_keys_are_bounded(skewed):
-    assert [r[0] for r in hot_keys(skewed, "symbol", 20).collect()] == ["hot", "warm"]
-    assert [r[0] for r in hot_keys(skewed, "symbol", 20, max_keys=1).collect()] == ["hot"]
+    assert joined.columns == plain.columns
+    assert rows_of(joined) == rows_of(plain)
+    assert rows_of(keyed_join(skewed, table.unionAll(table), "symbol", how)) == rows_of(plain)
 
 
 def test_join_types_are_checked(skewed, table):
@@ -44,22 +39,23 @@ def test_join_types_are_checked(skewed, table):
         keyed_join(skewed, table, "symbol", "full")
 
 
-def test_broadcast_needs_a_size_under_the_threshold(spark, folder):
-    spark.range(100).write.parquet(folder + "/t")
-    stored = spark.read.parquet(folder + "/t")
-    assert fits_broadcast(stored)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert not fits_broadcast(stored)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_a_table_has_one_row_per_key(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("a", 1, "z"), ("b", None, "y")], "symbol string, n int, s string")
+    assert rows_of(unique_per(rows, "symbol")) == [("a", 2, None), ("b", None, "y")]
+    assert rows_of(unique_per(rows.select("symbol"), "symbol")) == [("a",), ("b",)]
 
 
-def test_a_derived_table_is_measured(spark, table):
-    # A frame made from rows has no estimate.
-    assert measured_bytes(table) == 4 * 32 + len("hotk1k2other")
-    assert measured_bytes(table.select(F.array("symbol"))) is None
-    assert fits_broadcast(table)
+def test_a_compressible_table_is_not_broadcast(spark, folder):
+    """Its files are small, its rows are not: the measured size decides, and the left side is read once."""
+    text = F.repeat(F.lit("x"), 1_000)
+    spark.range(30_000).select(F.col("id").cast("string").alias("symbol"), text.alias("text")).write.parquet(folder + "/t")
+    spark.range(1_000).select((F.col("id") % 7).cast("string").alias("symbol"), "id").write.parquet(folder + "/l")
+    joined = keyed_join(spark.read.parquet(folder + "/l"), spark.read.parquet(folder + "/t"), "symbol", "left")
+    assert joined.where("text IS NULL").count() == 0
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" not in plan
+    assert plan.count("FileScan") == 2
 
 
 def test_left_join_keeps_every_trade(skewed, table):
@@ -95,6 +91,25 @@ def test_as_of_includes_a_change_at_the_same_offset(spark):
     assert rows_of(as_of(left, right, "symbol", ["v"])) == [("a", 4, None), ("a", 5, "x")]
 
 
+@pytest.mark.parametrize("base, step", [(10**16, 1), (0, 1_000_000), (2**53, 3)])
+@pytest.mark.parametrize("chunk", [1_000_000, 7, None])
+def test_as_of_with_large_and_sparse_offsets(spark, base, step, chunk):
+    events = [("a", base + step * o) for o in range(0, 60, 2)] + [("b", base + step * 3), (None, base), ("a", None)]
+    changes = [("a", base + step * o, o) for o in (1, 17, 40)] + [("b", base + step * 4, 9), ("b", None, 8)]
+    left = spark.createDataFrame(events, "symbol string, offset bigint")
+    right = spark.createDataFrame(changes, "symbol string, offset bigint, v bigint")
+    found = [(r["symbol"], r["offset"], r["v"]) for r in as_of(left, right, "symbol", ["v"], chunk=chunk).collect()]
+    brute = lambda k, o: max(((c[1], c[2]) for c in changes if k and o is not None and c[0] == k and c[1] is not None and c[1] <= o), default=(0, None))[1]
+    assert sorted(found, key=str) == sorted(((k, o, brute(k, o)) for k, o in events), key=str)
+
+
+def test_as_of_by_message_and_place(spark):
+    left = spark.createDataFrame([("a", 1, 0), ("a", 1, 2), ("a", 2, 0)], "symbol string, offset bigint, position int")
+    right = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 3, "y")], "symbol string, offset bigint, position int, v string")
+    found = as_of(left, right, "symbol", ["v"], order=["offset", "position"], chunk=1)
+    assert rows_of(found) == [("a", 1, 0, None), ("a", 1, 2, "x"), ("a", 2, 0, "y")]
+
+
 # Dimension refresh
 
 
@@ -127,6 +142,20 @@ def test_refresh_without_a_cache(listing, responses):
     assert rows_of(missing) == [("A", "Alpha"), ("D", "Delta")]
 
 
+def test_repeated_responses_count_once(spark, listing, cached):
+    twice = spark.createDataFrame([("A", "x", "1"), ("B", "Beta", "1"), ("B", "Beta", "2")], "symbol string, name string, logo string")
+    refreshed, missing = dimension.refresh(listing, cached, twice)
+    assert rows_of(refreshed.select("symbol", "name", "logo")) == [("A", "Alpha Inc", None), ("B", "Beta", "2")]
+    assert rows_of(missing.select("symbol")) == [("C",), ("D",)]
+
+
+def test_refreshed_profiles_rename_and_clean(spark, listing):
+    cached = spark.createDataFrame([("A", "Metals", float("nan"))], "symbol string, industry string, share_outstanding double")
+    answers = spark.createDataFrame([("B", "Paper", 2.0)], "Symbol string, vendorIndustry string, shareOutstanding double")
+    refreshed, _ = dimension.refreshed_profiles(listing, cached, answers, industry="vendorIndustry")
+    assert rows_of(refreshed) == [("A", "Metals", None), ("B", "Paper", 2.0)]
+
+
 COMPANIES = [("Apple Inc.", "US"), ("Meta (US)", "US"), ("SAP", "DE"), ("Amazon.com", "US")]
 PROFILES = [("APPLE INC", 1), ("apple incorporated", 2), ("AmazonXcom", 3), ("Sap AG", 4), (None, 5), ("meta us", 6)]
 
@@ -138,14 +167,12 @@ def test_company_pattern(spark):
     assert dimension.company_pattern(companies, None).first()[0].endswith("|SAP")
 
 
-def test_match_names(spark, monkeypatch):
+def test_match_names(spark):
     companies = spark.createDataFrame(COMPANIES, "company string, country string")
     profiles = spark.createDataFrame(PROFILES, "name string, id int")
     ids = lambda df: sorted(r["id"] for r in df.collect())
     # Names are regexes: a dot matches any character and parentheses group.
     assert ids(dimension.match_companies(profiles, companies)) == [1, 2, 3, 6]
-    monkeypatch.setattr(dimension, "MAX_PATTERN_NAMES", 2)
-    assert ids(dimension.match_companies(profiles, companies)) == [1, 2, 3, 6]
     assert ids(dimension.match_names(profiles, "Amazon.com|Meta (US)", quote=True)) == []
     assert ids(dimension.match_names(profiles, "")) == [1, 2, 3, 4, 6]
     with pytest.raises(KeyError):

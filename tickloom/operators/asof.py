@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-CHUNK_OFFSETS = 1_000_000
+# Rows of a key that one task sorts, where the chunk is measured; message numbers of a chunk where it is not.
+CHUNK_ROWS = 1_000_000
+UNPLACED_GROUPS = 1024
 
 
 def as_of(
@@ -15,43 +17,61 @@ def as_of(
     key: str,
     values: Sequence[str],
     *,
-    order: str = "offset",
-    chunk: int = CHUNK_OFFSETS,
+    order: str | Sequence[str] = "offset",
+    chunk: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """Each event with ``values`` of the latest change of its key at or before it; null before the first.
 
+    ``order`` names whole-number columns of both sides, compared one after the other: for example
+    (offset, position) for trades in messages, or (time, topic, partition, offset) for records of several
+    topics. An event or change that lacks one has no place: such an event gets nulls, such a change is left out.
+
     Events and changes are laid in one sequence per key and the last change is carried forward. The
-    sequence is cut into chunks of ``chunk`` offsets; offsets are unique, so no task sorts more than that
-    many events and changes of a key, however hot it is. A chunk starts with the change carried over from
-    earlier chunks, found on one row per key and chunk.
+    sequence is cut by the first order column into chunks of ``chunk`` values, so that a hot key is many
+    groups; a chunk starts with the change carried over from earlier chunks, found on one row per key and
+    chunk. Where the values are not used densely, ``chunk=None`` measures their spacing first (one aggregate
+    over both sides, part of the same plan) and makes chunks of about ``CHUNK_ROWS`` rows.
+
+    Each side is read once, or twice if the spacing is measured, and moved once.
     """
-    changes = changes.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    slot = F.floor(F.col(order) / F.lit(chunk)).alias("chunk")
-    change = F.struct(*values)
-
-    tails = (
-        changes.groupBy(key, slot)
-        .agg(F.max(order).alias("_at"), *[F.max_by(v, order).alias(v) for v in values])
-        .select(key, "chunk", change.alias("change"))
-    )
-    occupied = events.where(F.col(key).isNotNull()).select(key, slot).distinct()
-    earlier = W.partitionBy(key).orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        tails.unionByName(occupied, allowMissingColumns=True)
-        .groupBy(key, "chunk")
-        .agg(F.first("change", ignorenulls=True).alias("change"))
-        .withColumn("change", F.last("change", ignorenulls=True).over(earlier))
-        .where("change IS NOT NULL")
-        .select(key, "chunk", (F.col("chunk") * chunk).alias(order), F.lit(0).alias("side"), "change")
-    )
-    arrivals = changes.select(key, slot, order, F.lit(1).alias("side"), change.alias("change"))
-    asked = events.select(key, slot, order, F.lit(2).alias("side"), F.struct(*events.columns).alias("event"))
-
-    so_far = W.partitionBy(key, "chunk").orderBy(order, "side").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        asked.unionByName(arrivals, allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
-        .withColumn("change", F.last("change", ignorenulls=True).over(so_far))
-        .where("side = 2")
-        .select("event.*", *[F.col(f"change.{v}").alias(v) for v in values])
-    )
+    order = [order] if isinstance(order, str) else list(order)
+    placed = _all(F.col(c).isNotNull() for c in [key, *order])
+    change = F.struct(*values).alias("change")
+    name = F.when(placed, F.col(key)).alias("_key")
+    at = [F.when(placed, F.col(c).cast("bigint")).alias(f"_{i}") for i, c in enumerate(order)]
+    asked = events.select(name, *at, F.lit(1).alias("_side"), F.struct(*events.columns).alias("event"))
+    arrivals = changes.where(placed).select(name, *at, F.lit(0).alias("_side"), change)
+    laid = asked.unionByName(arrivals, allowMissingColumns=True)
+    # Events without a place find nothing, in whichever group they are.
+    anywhere = F.floor(F.rand(7) * UNPLACED_GROUPS)
+    laid = laid.withColumn("_chunk", F.when(F.col("_key").isNull(), anywhere).otherwise(_slot(laid, chunk)))
+    laid = laid.repartition("_key", "_chunk")
+
+    place = [f"_{i}" for i in range(len(order))]
+    so_far = W.partitionBy("_key", "_chunk").orderBy(*place, "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = laid.withColumn("change", F.last("change", ignorenulls=True).over(so_far)).where("_side = 1")
+
+    newest = F.when(F.col("change").isNotNull(), F.struct(*place))
+    tails = laid.where("_key IS NOT NULL").groupBy("_key", "_chunk").agg(F.max_by("change", newest).alias("tail"))
+    earlier = W.partitionBy("_key").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = tails.select("_key", "_chunk", F.last("tail", ignorenulls=True).over(earlier).alias("carried"))
+    found = inside.join(carried, ["_key", "_chunk"], "left")
+    found = found.withColumn("change", F.coalesce("change", "carried"))
+    return found.select("event.*", *[F.col(f"change.{v}").alias(v) for v in values])
+
+
+def _all(conditions) -> Column:
+    result = F.lit(True)
+    for condition in conditions:
+        result = result & condition
+    return result
+
+
+def _slot(laid: DataFrame, chunk: int | None) -> Column:
+    """The chunk of a row, in whole numbers: offsets may lie above 2^53."""
+    if chunk is not None:
+        return F.expr(f"_0 div {chunk}L - if(_0 % {chunk}L < 0, 1, 0)")
+    span = F.expr("CAST(max(_0) AS DECIMAL(38, 0)) - min(_0) + 1")
+    width = F.greatest(F.lit(1), F.ceil(span * CHUNK_ROWS / F.greatest(F.count("*"), F.lit(1)))).cast("bigint")
+    measured = laid.agg(width.alias("width")).scalar()
+    return F.floor(F.col("_0") - F.pmod(F.col("_0"), measured))

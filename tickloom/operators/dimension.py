@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import name_regex
-from tickloom.operators.frames import rename, union_by_name
-from tickloom.operators.joins import keyed_join, known, unknown
+from tickloom.operators.frames import normalise_nulls, rename
+from tickloom.operators.joins import known, unknown
 from tickloom.schemas import PROFILE_COLUMNS
 
-MAX_PATTERN_NAMES = 10_000
 
-
-def rename_profile_columns(responses: DataFrame) -> DataFrame:
-    """PRJ-2 for profile responses; the industry field carries a vendor's name in front."""
-    industry = {c: "industry" for c in responses.columns if c.endswith("Industry")}
-    return rename(responses, {**PROFILE_COLUMNS, **industry})
+def rename_profile_columns(responses: DataFrame, industry: str | None = None) -> DataFrame:
+    """PRJ-2 for profile responses. ``industry`` is the vendor's name of the industry field."""
+    return rename(responses, {**PROFILE_COLUMNS, **({industry: "industry"} if industry else {})})
 
 
 def new_companies(company_list: DataFrame, profiles: DataFrame | None, key: str = "symbol") -> DataFrame:
@@ -28,25 +25,57 @@ def known_companies(profiles: DataFrame, company_list: DataFrame, key: str = "sy
     return known(profiles, company_list, key)
 
 
-def fetched_profiles(fresh: DataFrame, responses: DataFrame, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
-    """JOIN-4: profiles of the new companies from captured responses, and the companies without one.
+def _flagged(company_list: DataFrame, profiles: DataFrame | None, responses: DataFrame, key: str) -> DataFrame:
+    """A row per key with what the list, the cache and the responses have of it, as structs.
 
-    ``responses`` has one row per key.
+    The three tables are laid under each other and grouped: each is read once and moved once. Several rows of a
+    key in one table count as one, the greatest. Rows without a key have nothing to be looked up by.
     """
-    answer = responses.withColumn("_answered", F.lit(True))
-    looked_up = keyed_join(fresh.select(key), answer, key, "left")
-    found = looked_up.where("_answered IS NOT NULL").drop("_answered")
-    missing = keyed_join(fresh, responses.select(key), key, "left_anti")
-    return found, missing
+    sides = {"listed": company_list, "cached": profiles, "answer": responses}
+    tables = [
+        side.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.struct(*side.columns).alias(name))
+        for name, side in sides.items()
+        if side is not None
+    ]
+    laid = tables[0]
+    for other in tables[1:]:
+        laid = laid.unionByName(other, allowMissingColumns=True)
+    present = [name for name, side in sides.items() if side is not None]
+    return laid.groupBy("_key").agg(*[F.max(name).alias(name) for name in present])
 
 
 def refresh(
     company_list: DataFrame, profiles: DataFrame | None, responses: DataFrame, key: str = "symbol"
 ) -> tuple[DataFrame, DataFrame]:
-    """The refreshed dimension (SET-1: kept profiles and fetched ones), and the companies not found."""
-    found, missing = fetched_profiles(new_companies(company_list, profiles, key), responses, key)
-    kept = None if profiles is None else known_companies(profiles, company_list, key)
-    return union_by_name(kept, found), missing
+    """JOIN-2..4, SET-1: the refreshed dimension, and the listed companies not found.
+
+    Cached profiles of listed companies stay; the other listed companies get the profile of their response,
+    if there is one. Columns are those of the cache, then those only the responses have.
+    """
+    rows = _flagged(company_list, profiles, responses, key).where("listed IS NOT NULL")
+    own = profiles.columns if profiles is not None else []
+    columns = [*own, *[c for c in responses.columns if c not in own]]
+
+    def value(name: str) -> Column:
+        kept = F.col(f"cached.{name}") if name in own else F.lit(None)
+        found = F.col(f"answer.{name}") if name in responses.columns else F.lit(None)
+        return (F.when(F.col("cached").isNotNull(), kept).otherwise(found) if own else found).alias(name)
+
+    held = F.col("answer").isNotNull() | F.col("cached").isNotNull() if own else F.col("answer").isNotNull()
+    return rows.where(held).select(*[value(c) for c in columns]), rows.where(~held).select("listed.*")
+
+
+def refreshed_profiles(
+    company_list: DataFrame,
+    profiles: DataFrame | None,
+    responses: DataFrame,
+    *,
+    industry: str | None = None,
+    key: str = "symbol",
+) -> tuple[DataFrame, DataFrame]:
+    """The whole refresh: responses renamed, refreshed with the cache, NaN as null; and the companies not found."""
+    refreshed, missing = refresh(company_list, profiles, rename_profile_columns(responses, industry), key)
+    return normalise_nulls(refreshed), missing
 
 
 def company_pattern(companies: DataFrame, country: str | None = "US") -> DataFrame:
@@ -71,15 +100,8 @@ def match_names(profiles: DataFrame, pattern: str, *, name: str = "name", quote:
 def match_companies(
     profiles: DataFrame, companies: DataFrame, country: str | None = "US", *, name: str = "name"
 ) -> DataFrame:
-    """FLT-3 with the pattern of a company list.
-
-    Up to ``MAX_PATTERN_NAMES`` names the pattern becomes a literal, compiled once per task. A longer list
-    stays inside the query as a scalar subquery: slower, with the same result.
-    """
+    """FLT-3 with the pattern of a company list, which stays inside the query, whatever its length."""
     if name not in profiles.columns:
         raise KeyError(f"profiles have no column {name!r}")
-    pattern = company_pattern(companies, country)
-    if companies.limit(MAX_PATTERN_NAMES + 1).count() > MAX_PATTERN_NAMES:
-        regex = F.concat(F.lit(name_regex("")), pattern.scalar())
-        return profiles.where(F.coalesce(F.rlike(F.col(name), regex), F.lit(False)))
-    return match_names(profiles, pattern.first()["pattern"], name=name)
+    regex = F.concat(F.lit(name_regex("")), company_pattern(companies, country).scalar())
+    return profiles.where(F.coalesce(F.rlike(F.col(name), regex), F.lit(False)))

@@ -1,102 +1,62 @@
 """Equi-joins with a keyed table (JOIN-1..4): left, semi and anti.
 
-The table side has one row per key. If it is measured to be under Spark's broadcast threshold it is
-broadcast and the left side stays where it is. Beyond that the join shuffles, and a key that holds a large
-share of the left rows would end up in one task; such keys are joined apart, against a broadcast of at
-most ``HOT_KEYS`` table rows.
+The physical join is Spark's choice. Nothing here hints a broadcast: the optimizer's estimate of a table is
+scaled from its compressed files and can be a hundredth of its size. With the settings of
+``session.build_session`` a join starts as a shuffle, and adaptive execution makes it a broadcast when the
+measured size of the shuffled table allows, or splits the partitions of heavy keys. Rows without a key match
+nothing and are spread evenly, so they form no heavy partition of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 10_000_000
-HOT_KEYS = 10_000
+SPREAD = 1024
 
 
-def measured_bytes(table: DataFrame) -> int | None:
-    """The size of the table's values, from one aggregate over it; None for nested columns."""
-    fixed, texts = 0, []
-    for field in table.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            texts.append(F.sum(F.octet_length(field.name)))
-        elif isinstance(field.dataType, T.AtomicType):
-            fixed += 16
-        else:
-            return None
-    count, *lengths = table.agg(F.count("*"), *texts).first()
-    return count * (fixed + 16 * len(texts)) + sum(length or 0 for length in lengths)
+def unique_per(table: DataFrame, key: str) -> DataFrame:
+    """One row per key: of several, the greatest by the other columns in their order."""
+    others = [c for c in table.columns if c != key]
+    if not others:
+        return table.select(key).distinct()
+    rows = table.groupBy(key).agg(F.max(F.struct(*others)).alias("_row"))
+    return rows.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in table.columns])
 
 
-def fits_broadcast(table: DataFrame) -> bool:
-    """Whether the table is under the session's broadcast threshold.
+def keyed_join(left: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+    """``left``, ``left_semi`` or ``left_anti`` join of all rows of ``left``, which is read once.
 
-    The optimizer's estimate decides where it is small enough: it is an upper bound for filters and
-    aggregates. Otherwise the table is measured, which is cheap next to a shuffle of the other side.
-    """
-    threshold = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) <= threshold:
-        return True
-    size = measured_bytes(table) if threshold > 0 else None
-    return size is not None and size <= threshold
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS) -> DataFrame:
-    """The heaviest keys with at least ``hot_rows`` rows, at most ``max_keys`` of them.
-
-    Counts are partial before the shuffle. Keys past ``max_keys`` hold less than a 1/``max_keys`` share of
-    the rows each and take the shuffled path, so the bound loses nothing.
-    """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") >= hot_rows)
-        .orderBy(F.desc("rows"))
-        .limit(max_keys)
-        .select(key)
-    )
-
-
-def keyed_join(
-    left: DataFrame, table: DataFrame, key: str, how: str, *, hot_rows: int = HOT_ROWS, split: bool | None = None
-) -> DataFrame:
-    """``left``, ``left_semi`` or ``left_anti`` join with a table that is unique per ``key``.
-
-    ``split`` overrides the size check: True joins hot keys apart, False broadcasts. On a stream the choice
-    is Spark's, made anew for the table of each micro-batch.
+    A key's rows in ``table`` count as one (``unique_per``), so a left join never multiplies rows. On a stream
+    the table is joined as it stands at each micro-batch.
     """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
+    if how == "left":
+        table = unique_per(table, key)
     if left.isStreaming:
         return left.join(table, key, how)
-    if not (split if split is not None else not fits_broadcast(table)):
-        return left.join(F.broadcast(table), key, how)
-
-    hot = hot_keys(left, key, hot_rows).withColumn("_hot", F.lit(True))
-    marked = left.join(F.broadcast(hot), key, "left")
-    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-    few = F.broadcast(table.join(F.broadcast(hot.drop("_hot")), key, "left_semi"))
-    hot_part = marked.where(apart).drop("_hot").join(few, key, how)
-    cold_part = marked.where(~apart).drop("_hot").join(table, key, how)
-    return hot_part.unionByName(cold_part)
+    # always 0 for a key that can match; the optimizer must not see that, or it would drop the column
+    slot = F.pmod(F.hash(key), F.lit(1))
+    spread = F.when(F.col(key).isNull(), F.floor(F.rand(11) * SPREAD).cast("int") + 1).otherwise(slot)
+    joined = left.withColumn("_slot", spread).join(table.withColumn("_slot", slot), [key, "_slot"], how).drop("_slot")
+    rest = [c for c in table.columns if c != key] if how == "left" else []
+    return joined.select(*left.columns, *rest)
 
 
-def known(df: DataFrame, table: DataFrame, key: str = "symbol", **options) -> DataFrame:
+def known(df: DataFrame, table: DataFrame, key: str = "symbol") -> DataFrame:
     """JOIN-3, FLT-4: rows whose key is in ``table``."""
-    return keyed_join(df, table.select(key).distinct(), key, "left_semi", **options)
+    return keyed_join(df, table.select(key), key, "left_semi")
 
 
-def unknown(df: DataFrame, table: DataFrame, key: str = "symbol", **options) -> DataFrame:
+def unknown(df: DataFrame, table: DataFrame, key: str = "symbol") -> DataFrame:
     """JOIN-2: rows whose key is not in ``table``; rows without a key count as unknown."""
-    return keyed_join(df, table.select(key).distinct(), key, "left_anti", **options)
+    return keyed_join(df, table.select(key), key, "left_anti")
 
 
-def with_company_symbols(prices: DataFrame, company_symbols: DataFrame, **options) -> DataFrame:
+def with_company_symbols(prices: DataFrame, company_symbols: DataFrame) -> DataFrame:
     """JOIN-1: every trade with its symbol's registration time, null when the symbol is not registered.
 
     On a stream this joins the table as it stands at each micro-batch.
     """
     table = company_symbols.select("symbol", F.col("timestamp").alias("registered_at"))
-    return keyed_join(prices, table, "symbol", "left", **options)
+    return keyed_join(prices, table, "symbol", "left")

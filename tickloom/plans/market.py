@@ -13,8 +13,6 @@ from tickloom.operators.windows import SECOND_MS, summary, window_stats
 from tickloom.schemas import DATASETS
 from tickloom.sources.messages import trades_from_messages
 
-MESSAGE_SLOTS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Market:
@@ -30,16 +28,13 @@ class Market:
 def prices_from_messages(messages: DataFrame, text: str = "value") -> DataFrame:
     """Raw feed texts with an ``offset`` to the (offset, symbol, price, timestamp) of their valid trades.
 
-    A NaN, which JSON readers let through, counts as no value. Each trade gets an offset of its own: the message's offset, then its place in the message. A message
-    of ``MESSAGE_SLOTS`` trades or more is an error.
+    A NaN, which JSON readers let through, counts as no value. A trade's offset is a struct of its message's
+    offset and its place in the message, which orders like a number.
     """
     trades = normalise_nulls(trades_from_messages(messages, text, keep=["offset"]))
     trades = valid(trades, DATASETS["trades"])
-    place = F.when(F.col("position") < MESSAGE_SLOTS, F.col("position")).otherwise(
-        F.raise_error(F.lit("too many trades in one message")).cast("int")
-    )
-    offset = F.col("offset") * F.lit(MESSAGE_SLOTS) + place
-    return trades.select(offset.alias("offset"), "symbol", "price", "timestamp")
+    offset = F.struct(F.col("offset").alias("message"), "position").alias("offset")
+    return trades.select(offset, "symbol", "price", "timestamp")
 
 
 def backfill(

@@ -255,6 +255,28 @@ def as_of_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(prices, changes, "symbol", ["registered_at"])
 
 
+@register(
+    "as_of_messages",
+    f"""SELECT e.event_id AS message, e.position, 'user_' || CAST(e.user_id AS VARCHAR) AS symbol, e.value AS price,
+               r.registered_at
+        FROM (SELECT *, 1 AS position FROM events WHERE event_type IN ('click', 'view', 'purchase')
+              AND NOT (event_type = 'view' AND value < 1)) e
+        ASOF LEFT JOIN (SELECT event_id, user_id, {_MS} AS registered_at FROM events WHERE event_type = 'signup') r
+          ON e.user_id = r.user_id AND e.event_id >= r.event_id
+        UNION ALL
+        SELECT event_id, 0, event_type, value, NULL FROM events
+        WHERE event_type IN ('click', 'view', 'purchase') AND NOT (event_type = 'view' AND value < 1)""",
+)
+def as_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades out of raw messages, in arrival order by message and place, with their symbol's registration then."""
+    prices = prices_from_messages(_messages(spark, sf_dir))
+    symbol = F.concat(F.lit("user_"), "symbol").alias("symbol")
+    place = F.struct(F.col("offset").alias("message"), F.lit(0).alias("position")).alias("offset")
+    changes = _registrations(spark, sf_dir).select(place, symbol, F.col("timestamp").alias("registered_at"))
+    found = as_of(prices, changes, "symbol", ["registered_at"], order=["offset.message", "offset.position"])
+    return found.select("offset.message", "offset.position", "symbol", "price", "registered_at")
+
+
 # Messages and records -------------------------------------------------------------------------------
 
 

@@ -19,6 +19,9 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: obje
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A table is broadcast by its measured size, never by the estimate that is scaled from its files.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.ui.enabled", "false")
