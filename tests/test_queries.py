@@ -30,7 +30,7 @@ def test_all_are_registered():
 
 
 def test_entry(spark):
-    assert entry(spark).columns == ["timestamp", "total", "known", "all_symbols"]
+    assert entry(spark).columns == ["timestamp", "total", "known"]
 
 
 def plan_of(df) -> str:

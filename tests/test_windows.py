@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.brute import completed
-from tickloom.operators.completed import completed_total, last_prices
+from tickloom.operators.completed import completed_total, known_since, last_prices, missing_intervals
 from tickloom.operators.latest import company_symbols, latest_by_offset, latest_prices
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.market import backfill
@@ -157,3 +157,17 @@ def test_a_price_that_does_not_fit_is_an_error(spark, digits):
     stats = window_stats(frame(spark, rows), with_last=True)
     with pytest.raises(Exception):
         completed_total(stats, 1000, digits=digits).collect()
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 4096])
+def test_missing_intervals(spark, chunk):
+    rng = random.Random(5)
+    rows = [(rng.choice("aab"), 1.0, rng.randrange(40) * 1000, i) for i in range(60)] + [("c", 1.0, 0, 99), ("n", None, 0, 98)]
+    stats = window_stats(frame(spark, rows))
+    windows = {s: sorted({t for x, p, t, _ in rows if x == s and p is not None}) for s in "abc"}
+    expected = [
+        (s, t + 1000, after) for s, own in windows.items() for t, after in zip(own, [*own[1:], None]) if after is None or after > t + 1000
+    ]
+    found = missing_intervals(stats, 1000, chunk=chunk)
+    assert rows_of(found, "symbol", "missing_from", "missing_until") == sorted(expected, key=str)
+    assert rows_of(known_since(stats), "symbol", "known_since") == [(s, own[0]) for s, own in windows.items()]

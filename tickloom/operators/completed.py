@@ -134,6 +134,9 @@ def completed_total(
 ) -> DataFrame:
     """(timestamp, total, known) for every window with trades; ``symbols`` adds ``all_symbols``.
 
+    The list repeats all symbols in every window and is put together in one task: it is for a few hundred
+    symbols. ``known_since`` and ``missing_intervals`` hold the same in one row per symbol or gap.
+
     ``stats`` has one row per symbol and window with ``avg_price`` and ``last_price``, both null (or NaN) when
     none of its trades had a price; such a row counts as no trade. Event time decides between windows, the
     offset decides inside one. Sums are exact at ``digits`` decimal places; up to 9 they run on integers.
@@ -142,7 +145,7 @@ def completed_total(
     """
     span_ms = size_ms * chunk
     rows = (
-        stats.where("avg_price IS NOT NULL AND NOT isnan(avg_price)")
+        _traded(stats)
         .select(
             "symbol",
             "timestamp",
@@ -160,6 +163,36 @@ def completed_total(
     return _accumulate(_steps(rows, heads, size_ms), span_ms, digits, first_seen)
 
 
+def known_since(stats: DataFrame) -> DataFrame:
+    """DST-2: (symbol, known_since), the first window of every symbol with a price: one row per symbol.
+
+    The symbols known in a window are those with ``known_since`` at or before it, so no window needs a list.
+    """
+    return _traded(stats).groupBy("symbol").agg(F.min("timestamp").alias("known_since"))
+
+
+def missing_intervals(stats: DataFrame, size_ms: int, *, chunk: int = CHUNK) -> DataFrame:
+    """SET-2: (symbol, missing_from, missing_until): the times in which a known symbol did not trade.
+
+    One row per gap between two windows of a symbol, and one after its last window, with no end. A symbol is missing
+    in the windows that start in [missing_from, missing_until). Inside a chunk of windows the next window is
+    looked up directly; only one row per symbol and chunk crosses chunk borders.
+    """
+    rows = _traded(stats).select("symbol", "timestamp", time_bucket(F.col("timestamp"), size_ms * chunk).alias("chunk"))
+    rows = rows.repartition("symbol", "chunk")
+    after = F.lead("timestamp").over(W.partitionBy("symbol", "chunk").orderBy("timestamp"))
+    inside = rows.select("symbol", "timestamp", after.alias("next")).where("next IS NOT NULL")
+    ends = rows.groupBy("symbol", "chunk").agg(F.min("timestamp").alias("head"), F.max("timestamp").alias("timestamp"))
+    across = ends.select("symbol", "timestamp", F.lead("head").over(W.partitionBy("symbol").orderBy("head")).alias("next"))
+    start = F.col("timestamp") + F.lit(size_ms)
+    gaps = inside.unionAll(across).where((F.col("next") > start) | F.col("next").isNull())
+    return gaps.select("symbol", start.alias("missing_from"), F.col("next").alias("missing_until"))
+
+
+def _traded(stats: DataFrame) -> DataFrame:
+    return stats.where("avg_price IS NOT NULL AND NOT isnan(avg_price)")
+
+
 def last_prices(stats: DataFrame) -> DataFrame:
     """(symbol, timestamp, last_price) after the windows in ``stats``: the carry for what follows."""
     return stats.where("last_price IS NOT NULL AND NOT isnan(last_price)").groupBy("symbol").agg(

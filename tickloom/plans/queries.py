@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tickloom.functions import known_symbols, missing_symbols, strip_control, unique_symbols
+from tickloom.functions import known_symbols, missing_symbols, strip_control, time_bucket, unique_symbols
 from tickloom.operators import dimension, frames
 from tickloom.operators.asof import as_of
-from tickloom.operators.completed import completed_total
+from tickloom.operators.completed import completed_total, known_since, missing_intervals
 from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import company_symbols, latest_prices
 from tickloom.operators.windows import summary, window_stats
@@ -169,11 +169,10 @@ def summary_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(_stats(spark, sf_dir, "user_id", HOUR), HOUR)
 
 
-@register("completed_total_event_type", _sql_completed("event_type", SECOND))
+@register("completed_total_event_type", f"SELECT timestamp, total, known FROM ({_sql_completed('event_type', SECOND)})")
 def completed_total_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = _stats(spark, sf_dir, "event_type", SECOND, with_last=True)
-    totals = completed_total(stats, SECOND, digits=TOTAL_DIGITS, symbols=True)
-    return totals.withColumn("all_symbols", F.array_join("all_symbols", ","))
+    return completed_total(stats, SECOND, digits=TOTAL_DIGITS)
 
 
 @register("completed_total_user", f"SELECT timestamp, total, known FROM ({_sql_completed('user_id', MINUTE)})")
@@ -184,24 +183,44 @@ def completed_total_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "missing_symbols_1h",
-    f"""WITH c AS ({_sql_completed('user_id', HOUR)}), s AS ({_sql_stats('user_id', HOUR)})
-        SELECT c.timestamp, c.total, c.known, c.all_symbols,
-               coalesce(array_to_string(list_sort(list_filter(string_split(c.all_symbols, ','),
-                 lambda x: NOT list_contains(t.traded, x))), ','), '') AS missing
-        FROM c JOIN (SELECT timestamp, list(symbol) AS traded FROM s GROUP BY timestamp) t
-          ON c.timestamp = t.timestamp""",
+    f"""SELECT * FROM (
+          SELECT symbol, timestamp + {HOUR} AS missing_from,
+                 lead(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp) AS missing_until
+          FROM ({_sql_stats('user_id', HOUR)}))
+        WHERE missing_until IS NULL OR missing_until > missing_from""",
 )
 def missing_symbols_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = _stats(spark, sf_dir, "user_id", HOUR, with_last=True)
-    totals = completed_total(stats, HOUR, digits=TOTAL_DIGITS, symbols=True)
-    traded = summary(stats, HOUR).select("timestamp", unique_symbols(F.col("symbols")).alias("traded"))
-    missing = missing_symbols(F.col("all_symbols"), F.col("traded"))
-    return totals.join(traded, "timestamp").select(
+    return missing_intervals(_stats(spark, sf_dir, "user_id", HOUR), HOUR)
+
+
+@register("known_since_1h", f"SELECT symbol, min(timestamp) AS known_since FROM ({_sql_stats('user_id', HOUR)}) GROUP BY symbol")
+def known_since_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return known_since(_stats(spark, sf_dir, "user_id", HOUR))
+
+
+@register(
+    "symbol_sets_1h",
+    f"""WITH e AS (SELECT DISTINCT user_id, event_type, ms - ms % {HOUR} AS timestamp FROM (SELECT *, {_MS} AS ms FROM events)),
+             l AS (SELECT user_id, timestamp, list(event_type) AS now FROM e GROUP BY user_id, timestamp),
+             p AS (SELECT *, coalesce(lag(now) OVER (PARTITION BY user_id ORDER BY timestamp), []) AS before FROM l)
+        SELECT user_id, timestamp,
+               array_to_string(list_sort(list_filter(before, lambda x: NOT list_contains(now, x))), ',') AS missing,
+               array_to_string(list_sort(list_distinct(list_concat(before, now))), ',') AS known
+        FROM p""",
+)
+def symbol_sets_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user and hour: the event types of the hour before that are missing now, and those of both hours."""
+    events = _table(spark, sf_dir, "events").select("user_id", "event_type", time_bucket(_millis("ts"), HOUR).alias("timestamp"))
+    now = events.groupBy("user_id", "timestamp").agg(F.collect_set(F.concat("event_type", F.lit("\x00"))).alias("now"))
+    now = now.withColumn("now", unique_symbols(F.col("now")))
+    before = F.lag("now").over(W.partitionBy("user_id").orderBy("timestamp"))
+    rows = now.withColumn("before", F.coalesce(before, F.array().cast("array<string>")))
+    missing = missing_symbols(F.col("before"), F.col("now"))
+    return rows.select(
+        "user_id",
         "timestamp",
-        "total",
-        "known",
-        F.array_join(known_symbols(missing, F.col("traded")), ",").alias("all_symbols"),
         F.array_join(missing, ",").alias("missing"),
+        F.array_join(known_symbols(missing, F.col("now")), ",").alias("known"),
     )
 
 
