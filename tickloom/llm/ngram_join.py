@@ -309,7 +309,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     roots = connected(verified_links(elements, tree_links))
     rooted = classes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("root"))
-    alone = F.col("n_shingles") == 0
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     return rows.join(rooted, ["one", "two"], "left").select(
         "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("root")).alias("component_id")
     )
