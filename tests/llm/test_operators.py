@@ -1,0 +1,380 @@
+"""The other training-data operators against brute force, round trips and held-out labels."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import TESTDATA
+from tests.llm import brute
+from tickloom.llm import chat, fingerprints, mixing, packing, quality, rules, sharding, urls
+
+DOCS = "doc_id long, text string, source string"
+TINY = [
+    (1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x"), (3, "", None), (4, " \n\t", "y"), (None, "d e", "y"),
+    (5, "word " * 3000, "z"), (6, "é ü\x0bß\u00a0q", "z"),
+]
+
+
+@pytest.fixture(scope="module")
+def tiny(spark):
+    """Nulls in all columns, empty, long and repeated texts, and columns whose names operators use themselves."""
+    clashing = {c: F.lit(1) for c in ("size", "copies", "q", "class", "d", "u", "kept", "failed_rule", "next", "own", "shard", "score", "id", "label")}
+    return spark.createDataFrame(TINY, DOCS).withColumns(clashing)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+
+
+# Quality rules
+
+ODD = ["", None, "a b c d e a b c d e", "x x x x x x x x x", "a\nb\na\n \n\nb\na", "#*$%&|<> # a", "q " * 9 + "q", "a b c d e f g h i j k l m n a b c d e",
+       "the same line here\n" * 4 + "another line", "WORD!! " * 20, "l" * 300 + " m", "e\u0301 \u2003x\x85y \x1cz", "r s t u v w " * 400]
+
+
+def test_base_figures_equal_brute_force(spark):
+    rows = [(i, t) for i, t in enumerate(ODD)]
+    got = {r["doc_id"]: r for r in rules.base_figures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        r = got[i]
+        words, chars, symbols, lines, repeated = brute.figures(text)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (words, chars, symbols, lines, repeated), text
+        assert r["base_failed"] == (words < 10 or 100 * repeated > 20 * words)
+        assert not (r["kept"] and r["base_failed"])
+
+
+def test_order_of_rules_does_not_change_verdicts(spark, small):
+    own = rules.standard_rules()
+    verdicts = []
+    for order in (own, own[::-1]):
+        rows = rules.cascade(small, order, sample_rows=20)
+        verdicts.append({r["doc_id"] for r in rows.where("failed_rule is null").collect()})
+    assert verdicts[0] == verdicts[1]
+    cheap = rules.Rule("all", F.lit(True))
+    assert [r.name for r in rules.ordered(small, [own[0], cheap])] == ["all", "base"]
+
+
+def test_rules_of_unusual_tables(tiny, none):
+    assert rules.cascade(none).count() == 0 and rules.base_figures(none).count() == 0
+    rows = rules.cascade(tiny, [rules.Rule("unknown", F.lit(None).cast("boolean"))])
+    assert rows.columns == tiny.columns and rows.where("failed_rule is null").count() == len(TINY)
+    assert rules.accepted(tiny).columns == tiny.columns
+    assert rules.cascade(tiny).where("doc_id in (1, 2, 5) and failed_rule is null").count() == 0
+
+
+# Mixing
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, "c": 10, "d": 5}, {"a": 1000, "b": 1, "c": 1, None: 3}, {"a": 0, "b": 7}, {"x": 4}, {"b": 3, "a": 300, "é": 1, "Z": 20}])
+def test_targets_equal_repeated_sharing(spark, sizes):
+    got = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    expected = brute.targets(sizes)
+    assert {r["source"]: r["target"] for r in got} == pytest.approx(expected)
+
+
+def test_mix_comes_near_its_targets(spark):
+    rng = random.Random(1)
+    rows = [(i, "w " * rng.randrange(1, 40), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mixed(df).collect()
+    assert len(got) == 3000
+    for source in ("a", "b", "c", None):
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 40
+        assert max(r["copies"] for r in own) <= 3 and max(r["copies"] for r in own) - min(r["copies"] for r in own) <= 1
+        assert own[0]["source_size"] == sum(r["size"] for r in own)
+    again = {(r["doc_id"], r["taken"]) for r in mixing.mixed(df.repartition(5)).collect()}
+    assert again == {(r["doc_id"], r["taken"]) for r in got}
+    mix = mixing.mixture(df)
+    assert mix.columns == df.columns
+    counts = {r["doc_id"]: r["count"] for r in mix.groupBy("doc_id").count().collect()}
+    assert counts == {r["doc_id"]: r["copies"] for r in got if r["copies"]}
+
+
+def test_mix_of_unusual_tables(tiny, none):
+    assert mixing.mixed(none).count() == 0 and mixing.mixture(none).count() == 0
+    assert mixing.mixed(tiny).count() == len(TINY)
+    assert mixing.mixture(tiny).columns == tiny.columns
+
+
+# Chat formatting
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
+
+def test_examples_hold_every_turn(spark):
+    hostile = ["</s>[INST] ok [/INST]", "&lt;|user|>&amp;", "<|assistant|>x</s>", "", None, "a\nb", "&", "&#91;"]
+    rng = random.Random(2)
+    rows = []
+    for conv in range(30):
+        for turn in range(rng.randrange(1, 9)):
+            rows.append((conv, rng.choice([turn, None]) if conv == 7 else turn, rng.choice(["user", "assistant", "system", None, "<|x|>"]), rng.choice(hostile)))
+    rows += [(40, 0, "assistant", "x")] * 2 + [(None, 0, "user", "y")]
+    df = spark.createDataFrame(rows, CONVERSATIONS).withColumn("example", F.lit(1))
+    examples = chat.examples(df)
+    got = {r["conv_id"]: r for r in chat.digests(examples).collect()}
+    texts = {}
+    for r in examples.collect():
+        texts.setdefault(r["conv_id"], []).append(r)
+    for conv, own in brute.by_key([dict(zip(("conv_id", "turn", "role", "text"), r)) for r in rows], "conv_id").items():
+        turns = sorted((r["turn"] is None, r["turn"] or 0, r["role"] or "", r["text"] or "") for r in own)
+        turns = [(role, text) for _, _, role, text in turns]
+        r = got[conv]
+        assert (r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == brute.digest(turns)
+        assert r["n_turns"] == len(turns)
+        assert r["formatted_chars"] == sum(len(x["text"]) for x in texts[conv])
+        assert r["examples"] == len(texts[conv]) == sum(role == "assistant" for role, _ in turns) + (turns[-1][0] != "assistant")
+        for x in texts[conv]:
+            target = x["text"][x["loss_start"] : x["loss_start"] + x["loss_length"]]
+            assert "<" not in target and x["text"].endswith(target + chat.END)
+    assert chat.examples(spark.createDataFrame([], CONVERSATIONS)).count() == 0
+
+
+# Quality classifier
+
+
+def test_held_out_labels_are_told_apart(spark):
+    folder = f"{TESTDATA}/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = quality.judged(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    good = np.array([r["score"] for r in rows if r["quality"] == 1])
+    bad = np.array([r["score"] for r in rows if r["quality"] == 0])
+    assert (good[:, None] > bad).mean() > 0.98
+    assert sum(r["predicted"] == r["quality"] for r in rows) / len(rows) > 0.97
+
+
+def test_classifier_learns_only_from_the_rest(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "well"] if i % 2 else ["bad", "junk", "spam"]) for _ in range(20))) for i in range(400)]
+    labels = [(i, i % 2 if zlib.crc32(str(i).encode()) % 5 else 1 - i % 2, 0) for i in range(400)]
+    docs = spark.createDataFrame(rows + [(1000, None), (1001, ""), (None, "good"), (1002, "good " * 20_000)], "doc_id long, text string").withColumn("score", F.lit(1))
+    got = {r["doc_id"]: r for r in quality.judged(docs, spark.createDataFrame(labels + [(5, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int")).collect()}
+    assert all(got[i]["predicted"] == i % 2 for i in range(400))
+    assert all(r["held_out"] == (zlib.crc32(str("" if i is None else i).encode()) % 5 == 0) for i, r in got.items())
+    assert 0 <= got[1000]["score"] == got[1001]["score"] <= 1 and got[1002]["predicted"] == 1
+    nobody = quality.judged(docs, spark.createDataFrame([], "doc_id long, quality int")).select("score").distinct().collect()
+    assert [r["score"] for r in nobody] == [0.5]
+    assert quality.judged(docs.limit(0), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
+
+
+# URL filter
+
+
+def test_rules_of_urls(spark):
+    cases = {
+        "http://a.net/x": ("a.net", "/x", "net/", "block"),
+        "HTTP://A.Net/X?y": ("a.net", "/X", "net/", "block"),
+        "https://m.example.net/en/1#a": ("m.example.net", "/en/1", "example.net/en/", "allow"),
+        "https://myexample.net/en/1": ("myexample.net", "/en/1", "net/", "block"),
+        "https://www.example.com/de/": ("www.example.com", "/de/", "example.com/de/", "block"),
+        "x://a.org/fr/b/../c://d": ("a.org", "/fr/b/../c://d", "org/fr/", "allow"),
+        "http://net": ("net", "", None, None),
+        "http://a.org?/fr/": ("a.org", "", None, None),
+        "no scheme/net/": ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+        "http://": ("", "", None, "allow"),
+        "http://" + "a" * 20_000 + ".net/": ("a" * 20_000 + ".net", "/", "net/", "block"),
+    }
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(cases)] + [(0, next(iter(cases)))], "page_id long, url string").withColumn("host", F.lit(1))
+    rows = urls.judged(df).collect()
+    assert len(rows) == len(cases) + 1
+    for r in rows:
+        host, path, rule, verdict = list(cases.values())[r["page_id"]]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert verdict is None or r["verdict"] == verdict
+    assert urls.judged(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_model_tells_hosts_apart(spark):
+    rng = random.Random(4)
+    name = lambda kind: "".join(rng.choice(["good", "nice"] if kind else ["spam", "pill"]) for _ in range(3))
+    rows = [(i, f"http://{name(i % 2)}.{'org/fr/' if i % 2 else 'net/'}{i}") for i in range(400)]
+    rows += [(1000 + i, f"http://{name(i % 2)}.info/{i}") for i in range(100)]
+    got = {r["page_id"]: r["verdict"] for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert all(got[i] == ("allow" if i % 2 else "block") for i in range(400))
+    assert sum(got[1000 + i] == ("allow" if i % 2 else "block") for i in range(100)) >= 95
+
+
+# Packing
+
+
+def test_pieces_hold_every_id(spark, tiny, none):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    df = tiny.unionByName(spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").where("doc_id > 10"), allowMissingColumns=True)
+    rows = packing.packed(df).collect()
+    expected = {}
+    for r in df.collect():
+        ids = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
+        expected.setdefault(r["doc_id"], []).append(ids)
+    for doc, own in brute.by_key(rows, "doc_id").items():
+        copies = expected[doc]
+        assert sum(r["length"] for r in own) == sum(map(len, copies))
+        for r in own:
+            assert r["doc_tokens"] == len(copies[0])
+            assert r["ids_crc32"] == zlib.crc32(copies[0][r["start"] : r["start"] + r["length"]].tobytes())
+        starts = sorted(r["start"] for r in own if r["start"] == 0)
+        assert len(starts) == len(copies)
+    assert set(expected) == {r["doc_id"] for r in rows}
+    for _, own in brute.by_key(rows, "sequence_id").items():
+        upto = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == upto
+            upto += r["length"]
+        assert upto <= 1024
+    assert len({r["sequence_id"] for r in rows}) == -(-sum(r["length"] for r in rows) // 1024)
+    assert packing.packed(none).count() == 0
+
+
+def test_neighbours_follow_their_seed():
+    rng = np.random.default_rng(6)
+    topics = [rng.integers(1000 * k, 1000 * k + 40, (8, 60)) for k in range(6)]
+    ids = [np.append(row, 0).astype(np.uint32) for topic in topics for row in topic]
+    shuffled = rng.permutation(len(ids))
+    order = packing.order_of([ids[i] for i in shuffled], list(range(len(ids))), window=61 * 4)
+    assert sorted(order) == list(range(len(ids)))
+    kinds = [shuffled[i] // 8 for i in order]
+    assert sum(a == b for a, b in zip(kinds, kinds[1:])) >= 36
+
+
+def test_scores_are_bm25():
+    ids = [np.array(x, np.uint32) for x in ([1, 2, 2, 0], [2, 3, 0], [4, 0], [2, 2, 2, 5, 6, 7, 0])]
+    index = packing.Index(ids)
+    mean = sum(map(len, ids)) / 4
+    for doc in range(4):
+        score = 0.0
+        for term in {1, 2, 0} & set(ids[doc].tolist()):
+            df = sum(term in x for x in ids)
+            if df > 1:
+                tf = (ids[doc] == term).sum()
+                score += np.log(1 + (4 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(ids[doc]) / mean))
+        assert index.scores(0)[doc] == pytest.approx(score)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet=st.characters(max_codepoint=255), max_size=60) | st.sampled_from(["<|endoftext|>", "a<|endoftext|> b", "  x\u00a0\x85 y  "]))
+def test_ids_are_those_of_the_tokenizers_library(text):
+    from tokenizers import Tokenizer
+
+    own = test_ids_are_those_of_the_tokenizers_library
+    if not hasattr(own, "tokenizer"):
+        own.tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    text = text.encode("utf-8", "replace").decode()
+    assert packing.encoder(packing.default_tokenizer())(text) == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+# Fingerprints
+
+
+def brute_hashes(text, bits):
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    terms = {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
+    kept = sorted((t for t in terms if bits[t >> 52] >> (t >> 46 & 63) & 1), key=signed)
+    found = []
+    for j in range(fingerprints.CHAINS):
+        left = kept
+        for level in range(fingerprints.LEVELS):
+            want = fingerprints._PATTERNS[j] >> 2 * level & 3
+            left = [t for t in left if t >> (fingerprints.STEP * j + 2 * level) & 3 == want]
+            state = 42
+            for t in left:
+                state = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), seed=state)
+            found.append(f"{state >> 32:08x}" if left else "-" * 8)
+    return found
+
+
+def test_fingerprints_equal_brute_force(spark, small):
+    docs = [(r["doc_id"], r["text"]) for r in small.select("doc_id", "text").collect()]
+    docs = docs[:150] + [(5000, None), (4000, ""), (-3, "a b"), (2**40, docs[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("next", F.lit(1)).withColumn("own", F.lit(2))
+    bits = fingerprints.lexicon(df)
+    counts, total = {}, len(docs)
+    for _, text in docs:
+        for c in {xxhash.xxh64_intdigest(w.encode(), seed=42) >> 46 for w in brute.words(brute.lower(text))}:
+            counts[c] = counts.get(c, 0) + 1
+    inside = {c for c, n in counts.items() if 0.1 <= np.log(total / n) / np.log(total) <= 0.9}
+    assert {c for c in counts if bits[c >> 6] >> (c & 63) & 1} == inside
+    got = {r["doc_id"]: r for r in fingerprints.fingerprinted(df).collect()}
+    order = sorted(docs, key=lambda r: -r[0])
+    for i, (doc, text) in enumerate(order):
+        after = order[(i + 1) % len(order)][1] or ""
+        text = text or ""
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        own, other, following = (brute_hashes(t, bits) for t in (text, edited, after))
+
+        def near(a, b):
+            same = used = 0
+            for j in range(0, len(a), fingerprints.LEVELS):
+                levels = [(x, y) for x, y in zip(a[j : j + fingerprints.LEVELS], b[j : j + fingerprints.LEVELS]) if x[0] != "-" or y[0] != "-"]
+                if levels:
+                    used += 1
+                    same += levels[-1][0] == levels[-1][1]
+            return same / used if used else 1.0
+
+        r = got[doc]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"] == "".join(own) and r["edited_fingerprint"] == "".join(other)
+        assert r["near_edited"] == pytest.approx(near(own, other)) and r["near_next"] == pytest.approx(near(own, following))
+    assert got[2**40]["fingerprint"] == next(got[d]["fingerprint"] for d, t in docs if t == docs[0][1])
+
+
+def test_fingerprints_of_unusual_tables(spark, tiny, none):
+    assert fingerprints.fingerprinted(none).count() == 0
+    rows = fingerprints.fingerprinted(tiny).collect()
+    assert len(rows) == len(TINY)
+    one = fingerprints.fingerprinted(spark.createDataFrame([(1, "a b c")], "doc_id long, text string")).first()
+    assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"a b a").hexdigest()
+
+
+# Sharding
+
+
+@pytest.mark.parametrize("rows, block", [(0, 8), (7, 8), (1000, 64), (997, 10_000)])
+def test_shards_are_exact(spark, rows, block):
+    df = spark.range(rows).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 50).cast("string")).alias("text"))
+    got = sharding.sharded(df, block_rows=block).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(rows))
+    sizes = [sum(r["shard"] == k for r in got) for k in range(40)]
+    assert max(sizes) - min(sizes) <= 1
+    for _, own in brute.by_key(got, "shard").items():
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+    for r in got:
+        text = f"text {r['doc_id'] % 50}".encode()
+        assert (r["size"], r["text_crc32"]) == (len(text) + 16, zlib.crc32(text))
+    again = sharding.sharded(df.repartition(3), block_rows=block).collect()
+    assert {tuple(r) for r in again} == {tuple(r) for r in got}
+
+
+def test_matrix_is_uniform():
+    counts = [5, 20, 0, 75]
+    drawn = np.stack([sharding.matrix(counts, 4, seed) for seed in range(400)])
+    assert (drawn.sum(axis=2) == counts).all() and (drawn.sum(axis=1) == 25).all()
+    assert np.abs(drawn.mean(axis=0) - np.array(counts)[:, None] / 4).max() < 0.4
+    spread = np.sqrt(20 * 0.25 * 0.75 * 80 / 99)
+    assert abs(drawn[:, 1].std(axis=0).mean() - spread) < 0.15
+    free = np.full(40, 10**8)
+    large = sharding._draw(free, 4000, np.random.default_rng(1))
+    assert large.sum() == 4000 and abs(large - 100).max() < 60
+
+
+def test_shards_of_unusual_tables(tiny):
+    rows = sharding.sharded(tiny).collect()
+    assert len(rows) == len(TINY) and len({r["shard"] for r in rows}) == len(TINY)
+    assert {r["size"] for r in rows if r["doc_id"] in (2, 3)} == {16} and {r["text_crc32"] for r in rows if r["doc_id"] in (2, 3)} == {0}

@@ -1,7 +1,8 @@
 """Chat formatting by prefix-target expansion: every assistant turn is an example of its own, with all turns before
 it as context, and only its text is trained on.
 
-A turn is written ``<|role|>text</s>``. In roles and texts ``&``, ``<`` and ``[`` become ``&amp;``, ``&lt;`` and ``&#91;``,
+A turn is written ``<|role|>text</s>``. In roles and texts ``&``, ``<`` and ``[`` become ``&amp;``, ``&lt;`` and ``&#91;``
+(in roles also ``>`` becomes ``&gt;``),
 so no control string of this or a similar template can come from a text, and nothing is lost. Turns after the last
 assistant turn, or all of a conversation without one, are a last example that trains on nothing.
 
@@ -21,6 +22,11 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("["), F.lit("&#91;"))
 
 
+def escaped_role(role: Column) -> Column:
+    """In a role ``>`` is escaped too, as it ends there."""
+    return F.replace(escaped(role), F.lit(">"), F.lit("&gt;"))
+
+
 def unescaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&#91;"), F.lit("[")), F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
 
@@ -40,7 +46,7 @@ def examples(conversations: DataFrame) -> DataFrame:
         F.col("turns.role").alias("roles"),
         F.transform("turns", lambda t: escaped(t["text"])).alias("texts"),
         F.transform(
-            "turns", lambda t: F.concat(F.lit("<|"), escaped(t["role"]), F.lit("|>"), escaped(t["text"]), F.lit(END))
+            "turns", lambda t: F.concat(F.lit("<|"), escaped_role(t["role"]), F.lit("|>"), escaped(t["text"]), F.lit(END))
         ).alias("parts"),
     )
     ends = F.filter(
@@ -62,7 +68,9 @@ def turns_of(text: Column) -> Column:
     return F.transform(
         parts,
         lambda p: F.struct(
-            unescaped(F.substring_index(F.substr(p, F.lit(3)), "|>", 1)).alias("role"),
+            unescaped(
+                F.replace(F.substring_index(F.substr(p, F.lit(3)), "|>", 1), F.lit("&gt;"), F.lit(">"))
+            ).alias("role"),
             unescaped(F.substr(p, F.locate("|>", p) + 2)).alias("text"),
         ),
     )

@@ -133,7 +133,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
     e AS (
-      SELECT *, 8 + len(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS n,
+      SELECT *, 8 + len(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))
+          + 3 * (len(role) - len(replace(role, '>', ''))) AS n,
         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
         count(*) OVER (PARTITION BY conv_id) AS most
       FROM c),
@@ -203,9 +204,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT floor(score / 1000)::BIGINT AS step, coalesce(sum(n) FILTER (kind = 'allow'), 0) AS good,
         coalesce(sum(n) FILTER (kind = 'block'), 0) AS bad FROM s WHERE kind IS NOT NULL GROUP BY ALL),
     z AS (
-      SELECT step, coalesce(sum(bad) OVER o / nullif(sum(bad) OVER (), 0), 0) - coalesce(sum(good) OVER o / nullif(sum(good) OVER (), 0), 0) AS gain
+      SELECT step, ceil((coalesce(lag(step) OVER (ORDER BY step), step) + step) / 2)::BIGINT AS middle, coalesce(sum(bad) OVER o / nullif(sum(bad) OVER (), 0), 0) - coalesce(sum(good) OVER o / nullif(sum(good) OVER (), 0), 0) AS gain
       FROM y WINDOW o AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-    best AS (SELECT coalesce(max(step) FILTER (r = 1), 0) AS threshold FROM (SELECT step, row_number() OVER (ORDER BY gain DESC, step) AS r FROM z)),
+    best AS (SELECT coalesce(max(middle) FILTER (r = 1), 0) AS threshold FROM (SELECT middle, row_number() OVER (ORDER BY gain DESC, step) AS r FROM z)),
     two AS (SELECT count(DISTINCT kind) AS learnt FROM t WHERE NOT held)
     SELECT page_id, host, path, rule,
       coalesce(k.kind, CASE WHEN coalesce(learnt < 2 OR floor(score / 1000) >= threshold, true) THEN 'allow' ELSE 'block' END) AS verdict

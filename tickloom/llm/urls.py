@@ -131,9 +131,11 @@ def judged(pages: DataFrame, rules: Sequence[UrlRule] = RULES) -> DataFrame:
     every = W.partitionBy()
     gain = F.coalesce(F.sum("bad").over(below) / F.sum("bad").over(every), F.lit(0.0))
     loss = F.coalesce(F.sum("good").over(below) / F.sum("good").over(every), F.lit(0.0))
-    known = known.where("good + bad > 0").select("step", (gain - loss).alias("gain"))
-    best = known.agg(F.min(F.struct((-F.col("gain")).alias("gain"), "step")).alias("best")).select(
-        F.coalesce("best.step", F.lit(0)).alias("threshold")
+    # every threshold above the step before is as good: the middle is taken
+    middle = F.ceil((F.coalesce(F.lag("step").over(W.orderBy("step")), F.col("step")) + F.col("step")) / 2)
+    known = known.where("good + bad > 0").select("step", middle.alias("middle"), (gain - loss).alias("gain"))
+    best = known.agg(F.min(F.struct((-F.col("gain")).alias("gain"), "step", "middle")).alias("best")).select(
+        F.coalesce("best.middle", F.lit(0)).alias("threshold")
     )
     learnt, threshold = kinds.first()["learnt"], best.first()["threshold"]
     fine = (F.lit(learnt) < 2) | (F.floor(F.col("score") / 1000) >= F.lit(threshold))
