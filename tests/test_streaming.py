@@ -122,6 +122,23 @@ def test_a_repeated_batch_changes_nothing(spark, folder):
     assert sorted(table.at(spark, 4).collect()) == sorted(table.read(spark).collect())
 
 
+def test_files_read_stay_bounded(spark, folder):
+    table = KeyedTable(folder + "/t", LATEST_PRICES, "symbol", snapshot_every=4)
+    for batch in range(30):
+        table.upsert(spark.createDataFrame([("a", float(batch), batch), (f"k{batch}", 1.0, batch)], LATEST_PRICES), batch)
+    assert table.head(spark) == 29 and table.read(spark).count() == 31
+    assert len({f.rsplit("/", 2)[1] for f in table.read(spark).inputFiles()}) <= 4
+    assert spark.read.schema(LATEST_PRICES).parquet(folder + "/t/batch=20").count() == 0
+
+
+def test_reading_stops_at_the_last_complete_batch(spark, folder):
+    table = KeyedTable(folder + "/t", LATEST_PRICES, "symbol")
+    assert table.read(spark).count() == 0
+    table.upsert(spark.createDataFrame([("a", 1.0, 1)], LATEST_PRICES), 0)
+    spark.createDataFrame([("a", 9.0, 9)], LATEST_PRICES).write.parquet(folder + "/t/batch=1")
+    assert table.read(spark).collect() == [("a", 1.0, 1)]
+
+
 @pytest.mark.parametrize("listed", [True, False])
 def test_market_over_restarts_equals_brute_force(spark, feed, listed):
     rows = in_order(5, 100, step=900)

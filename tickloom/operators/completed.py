@@ -84,7 +84,9 @@ def _first_seen(heads: DataFrame) -> DataFrame:
     return new.groupBy(F.col("head").alias("timestamp")).agg(F.collect_list("symbol").alias("seen"))
 
 
-def _accumulate(steps: DataFrame, span_ms: int, digits: int, first_seen: DataFrame | None) -> DataFrame:
+def _accumulate(
+    steps: DataFrame, span_ms: int, digits: int, first_seen: DataFrame | None, others: tuple[Column, Column] | None
+) -> DataFrame:
     """Running totals over windows, two-level: inside a chunk, plus what all earlier chunks add up to.
 
     A list of known symbols is accumulated in the same way; each symbol enters it once.
@@ -115,10 +117,13 @@ def _accumulate(steps: DataFrame, span_ms: int, digits: int, first_seen: DataFra
     )
     # A left join: an inner one would add a filter to one use of per_window, and its shuffle would no
     # longer be shared.
+    total, known = F.col("total") + F.col("base_total"), F.col("known") + F.col("base_known")
+    if others is not None:
+        total, known = total + others[0], known + others[1]
     return windows.join(base, "chunk", "left").select(
         "timestamp",
-        from_fixed_point(F.col("total") + F.col("base_total"), digits).alias("total"),
-        (F.col("known") + F.col("base_known")).cast("bigint").alias("known"),
+        from_fixed_point(total, digits).alias("total"),
+        known.cast("bigint").alias("known"),
         *([F.array_sort(F.concat("older", "recent")).alias("all_symbols")] if symbols else []),
     )
 
@@ -130,6 +135,7 @@ def completed_total(
     digits: int = 18,
     chunk: int = CHUNK,
     carry: DataFrame | None = None,
+    others: tuple[Column, Column] | None = None,
     symbols: bool = False,
 ) -> DataFrame:
     """(timestamp, total, known) for every window with trades; ``symbols`` adds ``all_symbols``.
@@ -141,7 +147,8 @@ def completed_total(
     none of its trades had a price; such a row counts as no trade. Event time decides between windows, the
     offset decides inside one. Sums are exact at ``digits`` decimal places; up to 9 they run on integers.
     ``carry`` holds (symbol, timestamp, last_price) known from earlier windows, all before the first one in
-    ``stats``.
+    ``stats``. Symbols that do not occur in ``stats`` may be left out of it if ``others`` gives the sum of their
+    last prices (as ``fixed_point``) and their number.
     """
     span_ms = size_ms * chunk
     rows = (
@@ -160,7 +167,7 @@ def completed_total(
         carry = carry.select("symbol", "timestamp", fixed_point(F.col("last_price"), digits).alias("last"))
     heads = _heads(rows, carry)
     first_seen = _first_seen(heads) if symbols else None
-    return _accumulate(_steps(rows, heads, size_ms), span_ms, digits, first_seen)
+    return _accumulate(_steps(rows, heads, size_ms), span_ms, digits, first_seen, others)
 
 
 def known_since(stats: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tickloom.functions import fixed_point
 from tickloom.operators.completed import completed_total, last_prices
 from tickloom.operators.latest import latest_prices
 from tickloom.operators.windows import summary, window_stats
@@ -86,6 +87,7 @@ class MarketTables:
     stats: SliceTable
     summary: SliceTable
     totals: SliceTable
+    state: SliceTable
     prices: KeyedTable
 
     @classmethod
@@ -116,6 +118,7 @@ class MarketTables:
                     *listed,
                 ]),
             ),
+            SliceTable(f"{base}/state", T.StructType([T.StructField("settled", T.StringType()), T.StructField("known", long)])),
             KeyedTable(
                 f"{base}/last_prices",
                 _fields(key, ("timestamp", long), ("last_price", double)),
@@ -141,24 +144,67 @@ def start_market(
 
     In append mode a micro-batch holds all windows the watermark has just closed, and windows close in time
     order. So a micro-batch is a whole slice of time: its summary is complete, and its completed total needs
-    only the last price of each symbol from the slices before. The batch operators do the work; the
-    state between slices is a table in the shared folder.
+    from the slices before only one row, the sum of all last prices and the number of symbols, and the last prices
+    of the symbols that trade in the slice. The batch operators do the work; the state between slices is
+    tables in the shared folder. The last prices are written last, so their head tells which slices are complete.
     """
     stats = window_stats(prices, size_ms, delay=delay, digits=digits, with_last=True)
     listed = "all_symbols" in tables.totals.schema.names
 
     def work(closed: DataFrame, batch: int) -> None:
         spark: SparkSession = closed.sparkSession
+        if batch <= tables.prices.head(spark):
+            return
         rows = tables.stats.write(closed, batch)
+        before = tables.state.slice(spark, batch - 1)
         if rows.isEmpty():
             for table in (tables.summary, tables.totals):
                 table.write(spark.createDataFrame([], table.schema), batch)
+            tables.state.write(before if before is not None else spark.createDataFrame([("0", 0)], tables.state.schema), batch)
             tables.prices.upsert(spark.createDataFrame([], tables.prices.schema), batch)
             return
         tables.summary.write(summary(rows, size_ms, digits=total_digits), batch)
+        now = last_prices(rows)
         carry = tables.prices.at(spark, batch - 1)
-        totals = completed_total(rows, size_ms, digits=total_digits, carry=carry, symbols=listed)
+        few = None if carry is None else carry.join(now.select("symbol"), "symbol", "left_semi")
+        kept = _others(before, few, total_digits)
+        totals = completed_total(
+            rows,
+            size_ms,
+            digits=total_digits,
+            carry=carry if listed else few,
+            others=None if listed or kept is None else (kept.select("settled").scalar(), kept.select("known").scalar()),
+            symbols=listed,
+        )
         tables.totals.write(totals, batch)
-        tables.prices.upsert(last_prices(rows), batch)
+        tables.state.write(_settled(kept, now, total_digits), batch)
+        tables.prices.upsert(now, batch)
 
     return start_batches(stats, work, checkpoint, name=name, trigger=trigger)
+
+
+def _sums(prices: DataFrame, digits: int) -> DataFrame:
+    """One row: the sum of last prices, as fixed point, and their number."""
+    units = F.sum(fixed_point(F.col("last_price"), digits))
+    return prices.agg(F.coalesce(units, F.lit(0)).alias("settled"), F.count("*").alias("known"))
+
+
+def _others(before: DataFrame | None, few: DataFrame | None, digits: int) -> DataFrame | None:
+    """One row: the state before a slice without the symbols that trade in it."""
+    if before is None or few is None:
+        return None
+    gone = _sums(few, digits)
+    kind = gone.schema["settled"].dataType
+    return gone.select(
+        (before.select(F.col("settled").cast(kind)).scalar() - F.col("settled")).alias("settled"),
+        (before.select("known").scalar() - F.col("known")).alias("known"),
+    )
+
+
+def _settled(others: DataFrame | None, now: DataFrame, digits: int) -> DataFrame:
+    """The state after a slice."""
+    sums = _sums(now, digits)
+    settled, known = F.col("settled"), F.col("known")
+    if others is not None:
+        settled, known = settled + others.select("settled").scalar(), known + others.select("known").scalar()
+    return sums.select(settled.cast("string").alias("settled"), known.alias("known"))

@@ -2,12 +2,17 @@
 
 Both are folders of Parquet, one ``batch=<id>`` folder per micro-batch, written whole. A micro-batch that
 is run again after a failure overwrites its own folder, so the result is the same.
+
+A keyed table is read up to its head, the last micro-batch that is complete. The head is written after the data, in
+turn to one of two folders, so that one of them is whole at any time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -28,42 +33,76 @@ class SliceTable:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(folder)
         return rows.sparkSession.read.schema(self.schema).parquet(folder)
 
+    def slice(self, spark: SparkSession, batch: int) -> DataFrame | None:
+        """The rows of one micro-batch; None before the first."""
+        return None if batch < 0 else spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch}")
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(_with_batch(self.schema)).parquet(self.path).select(*self.schema.names)
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Latest row per key. A micro-batch writes the keys it changed; every ``snapshot_every``-th one
-    writes all keys, so that reading never goes further back than that."""
+    """Latest row per key. A micro-batch writes the keys it changed; every ``snapshot_every``-th one writes
+    all keys, so that reading never goes further back than that, and what lies two snapshots back is emptied."""
 
     path: str
     schema: T.StructType
-    key: str
+    key: str | Sequence[str]
     snapshot_every: int = 100
 
+    @property
+    def keys(self) -> list[str]:
+        return [self.key] if isinstance(self.key, str) else list(self.key)
+
     def _latest(self, rows: DataFrame) -> DataFrame:
-        columns = [c for c in self.schema.names if c != self.key]
-        latest = rows.groupBy(self.key).agg(*[F.max_by(c, "batch").alias(c) for c in columns])
+        columns = [c for c in self.schema.names if c not in self.keys]
+        latest = rows.groupBy(*self.keys).agg(*[F.max_by(c, "batch").alias(c) for c in columns])
         return latest.select(*self.schema.names)
 
+    def _folder(self, batch: int) -> str:
+        return f"{self.path}/batch={batch}"
+
+    def head(self, spark: SparkSession) -> int:
+        """The last complete micro-batch; -1 before the first."""
+        found = [-1]
+        for turn in (0, 1):
+            try:
+                found += [r["batch"] for r in spark.read.schema("batch bigint").parquet(f"{self.path}-head/{turn}").collect()]
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return max(found)
+
     def at(self, spark: SparkSession, batch: int) -> DataFrame | None:
-        """The table after micro-batch ``batch``; None before the first."""
+        """The table after micro-batch ``batch``, of the last two snapshots; None before the first."""
         if batch < 0:
             return None
         snapshot = batch - batch % self.snapshot_every
-        folders = [f"{self.path}/batch={b}" for b in range(snapshot, batch + 1)]
+        folders = [self._folder(b) for b in range(snapshot, batch + 1)]
         reader = spark.read.schema(_with_batch(self.schema)).option("basePath", self.path)
         return self._latest(reader.parquet(*folders))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The table after the last micro-batch."""
-        return self._latest(spark.read.schema(_with_batch(self.schema)).parquet(self.path))
+        """The table after the last complete micro-batch."""
+        last = self.at(spark, self.head(spark))
+        return spark.createDataFrame([], self.schema) if last is None else last
 
     def upsert(self, rows: DataFrame, batch: int) -> None:
-        """Write the rows of one micro-batch, unique per key."""
-        rows = rows.where(F.col(self.key).isNotNull()).select(*self.schema.names)
+        """Write the rows of one micro-batch, unique per key. A micro-batch that is complete is left as it is."""
+        spark = rows.sparkSession
+        if batch <= self.head(spark):
+            return
+        for key in self.keys:
+            rows = rows.where(F.col(key).isNotNull())
+        rows = rows.select(*self.schema.names)
         if batch and batch % self.snapshot_every == 0:
-            before = self.at(rows.sparkSession, batch - 1).withColumn("batch", F.lit(batch - 1))
+            before = self.at(spark, batch - 1).withColumn("batch", F.lit(batch - 1))
             rows = self._latest(before.unionByName(rows.withColumn("batch", F.lit(batch))))
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(self._folder(batch))
+        spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}-head/{batch % 2}"
+        )
+        old = batch - 2 * self.snapshot_every
+        if old >= 0:
+            spark.createDataFrame([], self.schema).coalesce(1).write.mode("overwrite").parquet(self._folder(old))
