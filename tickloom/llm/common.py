@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_value(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is evaluated once per row. It comes out of a one-element explode, so the optimizer
+    cannot copy its expression into later filters and functions."""
+    return df.drop(name).select("*", F.explode(F.array(value)).alias(name))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes a table below the shared checkpoint folder and reads it back: its lineage ends there, and the
     loss of an executor costs nothing that has been written."""

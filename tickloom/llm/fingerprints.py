@@ -12,14 +12,12 @@ Only Spark expressions are used. The lexicon is an array of fixed size.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import whole, words
+from tickloom.llm.common import let, whole, words
 
 #: 2^18 term classes, as bits of 2^12 words.
 CLASS_BITS = 18
@@ -32,11 +30,6 @@ ID_BLOCK = 1024
 _PATTERNS = [int(x) for x in np.random.default_rng(3).integers(0, 4**LEVELS, CHAINS)]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _terms(text: Column) -> Column:
     """Hashes of the distinct words of a text."""
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

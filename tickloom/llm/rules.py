@@ -11,40 +11,39 @@ Everything is a Spark expression on the text.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialise, whole, words
+from tickloom.llm.common import let, materialise, whole, with_value, words
 
 MIN_WORDS = 10
 #: Documents in the sample that costs and selectivities are estimated on.
 SAMPLE_ROWS = 2_000
-_SPACES = " \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A name and the condition, on the column ``text``, that rejects a document."""
+    """A name and the condition that rejects a document, made from its text and the array of its words."""
 
     name: str
-    rejects: Column
+    rejects: Callable[[Column, Column], Column]
 
 
-def n_words(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+def count(own: Column) -> Column:
+    return F.size(own).cast("long")
 
 
-def word_chars(text: Column) -> Column:
-    """Code points inside words."""
-    return F.char_length(F.translate(text, _SPACES, "")).cast("long")
+def word_chars(own: Column) -> Column:
+    """Code points in an array of words."""
+    return F.char_length(F.array_join(own, "")).cast("long")
 
 
 def n_chars_of(text: Column, chars: str) -> Column:
-    """How many code points of the text are among chars."""
-    return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("long")
+    """How many code points of the text are among chars, the inside of a character class."""
+    return (F.size(F.split(text, f"[{chars}]")) - 1).cast("long")
 
 
 def n_symbols(text: Column) -> Column:
@@ -57,74 +56,61 @@ def _word_lines(text: Column) -> Column:
 
 def n_dup_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = _word_lines(text)
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+    return let(_word_lines(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def n_repeat_words(text: Column, width: int = 5) -> Column:
-    """Words in windows of five words that are found twice or more in the text, the first time included.
+def many_dup_lines(text: Column) -> Column:
+    """More than half of the lines with a word equal an earlier line."""
+    return let(_word_lines(text), lambda lines: F.size(lines) > 2 * F.size(F.array_distinct(lines)))
+
+
+def n_repeat_words(own: Column, width: int = 5) -> Column:
+    """Of an array of words, those in windows of five that are found twice or more, the first time included.
 
     Hashes of the windows tell most texts without a repetition. For the others, windows are sorted as text, so
     that equal ones are neighbours, and the places of repeated ones are merged.
     """
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words(text)) - width + 1))
 
-    def count(own: Column) -> Column:
-        hashes = F.transform(places, lambda i: F.xxhash64(*[F.get(own, i + k - 1) for k in range(width)]))
-        windows = F.transform(
-            places,
-            lambda i: F.struct(F.concat_ws(" ", *[F.get(own, i + k - 1) for k in range(width)]).alias("w"), i.alias("i")),
-        )
+    def hashes(places: Column) -> Column:
+        return F.transform(places, lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(width)]))
 
-        def repeated(rows: Column) -> Column:
-            same = F.filter(
-                rows, lambda x, i: (x["w"] == F.get(rows, i - 1)["w"]) | (x["w"] == F.get(rows, i + 1)["w"])
-            )
-            return same
-
-        def covered(at: Column) -> Column:
-            steps = F.transform(at, lambda x, i: F.least(F.lit(width), F.coalesce(F.get(at, i + 1) - x, F.lit(width))))
-            return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
-
-        def let(value: Column, body) -> Column:
-            """body(value) with value evaluated once."""
-            return F.get(F.transform(F.array(value), body), F.lit(0))
-
-        heavy = let(
-            F.array_sort(windows),
-            lambda rows: let(
-                F.array_sort(F.transform(repeated(rows), lambda x: x["i"])),
-                lambda at: covered(at),
-            ),
+    def windows(places: Column) -> Column:
+        return F.transform(
+            places, lambda i: F.struct(F.concat_ws(" ", *[F.get(own, i + k) for k in range(width)]).alias("w"), i.alias("i"))
         )
-        none = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-        return F.when((F.size(own) < width) | none, F.lit(0)).otherwise(heavy)
 
-    return F.get(F.transform(F.array(words(text)), count), F.lit(0)).cast("long")
+    def repeated(rows: Column) -> Column:
+        same = F.filter(rows, lambda x, i: (x["w"] == F.get(rows, i - 1)["w"]) | (x["w"] == F.get(rows, i + 1)["w"]))
+        return F.sort_array(F.transform(same, lambda x: x["i"]))
+
+    def covered(at: Column) -> Column:
+        steps = F.transform(at, lambda x, i: F.least(F.lit(width), F.coalesce(F.get(at, i + 1) - x, F.lit(width))))
+        return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
+    places = F.sequence(F.lit(0), F.size(own) - width)
+    heavy = let(let(F.sort_array(windows(places)), repeated), covered)
+    once = let(hashes(places), lambda h: F.size(F.array_distinct(h)) == F.size(h))
+    return F.when((F.size(own) < width) | once, F.lit(0)).otherwise(heavy).cast("long")
 
-def n_stutters(text: Column) -> Column:
+
+def n_stutters(own: Column) -> Column:
     """Words that equal the word before them."""
-    own = F.transform(F.array(words(text)), lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))))
-    return F.get(own, F.lit(0)).cast("long")
+    return F.size(F.filter(own, lambda x, i: x == F.get(own, i - 1))).cast("long")
 
 
-def base_failed(text: Column) -> Column:
+def base_failed(own: Column) -> Column:
     """Too few words, or over a fifth of them repeated."""
-    return (n_words(text) < MIN_WORDS) | (100 * n_repeat_words(text) > 20 * n_words(text))
+    return (count(own) < MIN_WORDS) | (100 * n_repeat_words(own) > 20 * count(own))
 
 
-def standard_rules() -> list[Rule]:
-    """Rules for prose. A null text counts as empty."""
-    text = whole("text")
-    return [
-        Rule("base", base_failed(text)),
-        Rule("symbols", 10 * n_symbols(text) > n_words(text)),
-        Rule("duplicate_lines", 2 * n_dup_lines(text) > F.size(_word_lines(text))),
-        Rule("stutter", 4 * n_stutters(text) > n_words(text)),
-        Rule("exclamations", 4 * n_chars_of(text, "!") > n_words(text)),
-        Rule("word_length", ~word_chars(text).between(2 * n_words(text), 20 * n_words(text))),
-    ]
+STANDARD = (
+    Rule("base", lambda text, own: base_failed(own)),
+    Rule("symbols", lambda text, own: 10 * n_symbols(text) > count(own)),
+    Rule("duplicate_lines", lambda text, own: many_dup_lines(text)),
+    Rule("stutter", lambda text, own: 4 * n_stutters(own) > count(own)),
+    Rule("exclamations", lambda text, own: 4 * n_chars_of(text, "!") > count(own)),
+    Rule("word_length", lambda text, own: ~word_chars(own).between(2 * count(own), 20 * count(own))),
+)
 
 
 def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -135,44 +121,69 @@ def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_RO
     sample = docs.select("text")
     if rows > sample_rows:
         sample = sample.sample(fraction=sample_rows / rows, seed=5)
-    sample = materialise(sample, "rule-sample")
+    text = whole("text")
+    sample = materialise(sample.select(text.alias("text"), words(text).alias("words")), "rule-sample")
     sampled = max(sample.count(), 1)
     rates = []
     for rule in rules:
         start = time.perf_counter()
-        rejected = sample.where(F.coalesce(rule.rejects, F.lit(False))).count()
+        rejects = rule.rejects(F.col("text"), F.col("words"))
+        rejected = sample.where(F.coalesce(rejects, F.lit(False))).count()
         rates.append((rejected + 0.5) / sampled / (time.perf_counter() - start))
     return [rules[i] for i in sorted(range(len(rules)), key=lambda i: -rates[i])]
 
 
-def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def _failed(rules: Sequence[Rule], text: Column, own: Column, known: Mapping[str, Column]) -> Column:
+    """The name of the first rule that rejects, or null; known has conditions that are there already."""
+    failed = F.lit(None).cast("string")
+    for rule in reversed(rules):
+        condition = known[rule.name] if rule.name in known else rule.rejects(text, own)
+        failed = F.when(condition, F.lit(rule.name)).otherwise(failed)
+    return failed
+
+
+def cascade(docs: DataFrame, rules: Sequence[Rule] = STANDARD, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with ``failed_rule``: the first rule, in the order of rejection per cost, that rejects the row, else null.
 
     Needs a column ``text``; null and empty texts have no words. A rule whose condition is null does not reject.
     Repeated rows have equal verdicts; an empty table stays empty. A column failed_rule of docs is replaced.
     """
-    failed = F.lit(None).cast("string")
-    for rule in reversed(ordered(docs, rules or standard_rules(), sample_rows)):
-        failed = F.when(rule.rejects, F.lit(rule.name)).otherwise(failed)
-    return docs.withColumn("failed_rule", failed)
+    rows = with_value(docs, "__words", words(whole("text")))
+    failed = _failed(ordered(docs, rules, sample_rows), whole("text"), F.col("__words"), {})
+    return rows.withColumn("failed_rule", failed).drop("__words")
 
 
-def accepted(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+def accepted(docs: DataFrame, rules: Sequence[Rule] = STANDARD) -> DataFrame:
     """The rows that no rule rejects, with the columns of docs."""
-    return cascade(docs, rules).where("failed_rule is null").select(*docs.columns)
+    rows = with_value(docs, "__words", words(whole("text")))
+    failed = _failed(ordered(docs, rules), whole("text"), F.col("__words"), {})
+    return rows.where(failed.isNull()).select(*docs.columns)
 
 
-def base_figures(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+def base_figures(docs: DataFrame, rules: Sequence[Rule] = STANDARD) -> DataFrame:
     """doc_id, the base figures of the text, base_failed, and kept: the cascade's verdict."""
-    text = whole("text")
-    figures = cascade(docs.select("doc_id", "text"), rules).select(
+    text, own = F.col("text"), F.col("words")
+    rows = docs.select("doc_id", whole("text").alias("text"))
+    rows = with_value(rows, "words", words(text))
+    rows = with_value(rows.withColumn("n_words", count(own)), "n_repeat_words", n_repeat_words(own))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    rows = rows.withColumn("base_failed", failed)
+    for name, figure in (("word_chars", word_chars(own)), ("n_symbols", n_symbols(text)), ("n_dup_lines", n_dup_lines(text))):
+        rows = with_value(rows, name, figure)
+    # rules on figures that are there already
+    known = {
+        "base": F.col("base_failed"),
+        "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
+        "word_length": ~F.col("word_chars").between(2 * F.col("n_words"), 20 * F.col("n_words")),
+    }
+    first = _failed(ordered(docs, rules), text, own, known if rules is STANDARD else {})
+    return rows.select(
         "doc_id",
-        n_words(text).alias("n_words"),
-        word_chars(text).alias("word_chars"),
-        n_symbols(text).alias("n_symbols"),
-        n_dup_lines(text).alias("n_dup_lines"),
-        n_repeat_words(text).alias("n_repeat_words"),
-        F.col("failed_rule").isNull().alias("kept"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        first.isNull().alias("kept"),
     )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return figures.withColumn("base_failed", failed)
