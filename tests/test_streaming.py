@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -8,11 +9,13 @@ from tickloom.operators.frames import with_event_time
 from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import latest_prices
 from tickloom.operators.windows import summary, window_stats
-from tickloom.schemas import LATEST_PRICES
+from tickloom.schemas import DATASETS, LATEST_PRICES, SUMMARY, WINDOW_STATS
+from tickloom.sources.topics import read_topics
 from tickloom.streaming.jobs import (
-    MarketTables, late_rows, start_final, start_latest_prices, start_market, start_push,
+    LateRows, MarketTables, late_rows, start_final, start_latest_prices, start_market, start_publish, start_push,
+    start_summary_changes,
 )
-from tickloom.streaming.tables import KeyedTable
+from tickloom.streaming.tables import KeyedTable, SliceTable
 
 TRADES = "symbol string, price double, timestamp bigint, offset bigint"
 
@@ -160,6 +163,51 @@ def test_market_over_restarts_equals_brute_force(spark, feed, listed):
     assert sum(sums.values()) == len(finals(rows, 1000, 3000)) and len(sums) == len(expected)
 
 
+def test_published_batches_are_written_again_whole(spark, feed):
+    rows = in_order(6, 40)
+    for part in (rows[:20], rows[20:]):
+        feed.add(part)
+        trades = feed.stream().withColumn("volume", F.lit(1.0))
+        start_publish(trades, "trades", feed.base + "/topic", DATASETS["trades"], feed.base + "/cp").awaitTermination()
+    topic = read_topics(spark, {"trades": feed.base + "/topic"})
+    assert sorted(r["offset"] for r in topic.collect()) == [r[3] for r in rows]
+    # a micro-batch whose commit is lost runs again
+    for name in (feed.base + "/cp/commits/1", feed.base + "/cp/commits/.1.crc"):
+        if os.path.exists(name):
+            os.remove(name)
+    start_publish(trades, "trades", feed.base + "/topic", DATASETS["trades"], feed.base + "/cp").awaitTermination()
+    spark.catalog.refreshByPath(feed.base + "/topic")
+    again = read_topics(spark, {"trades": feed.base + "/topic"})
+    assert sorted(r["offset"] for r in again.collect()) == [r[3] for r in rows]
+    assert again.columns == ["topic", "key", "value", "offset"]
+
+
+def test_summary_changes_hold_open_windows(spark, feed):
+    rows = in_order(8, 60)
+    table = KeyedTable(feed.base + "/stats", WINDOW_STATS, ["symbol", "timestamp"], snapshot_every=2)
+    changes = SliceTable(feed.base + "/changes", SUMMARY)
+    for start in range(0, 60, 20):
+        feed.add(rows[start : start + 20])
+        start_summary_changes(feed.stream(), 1000, "1 hour", table, changes, feed.base + "/cp").awaitTermination()
+    expected = {r["timestamp"]: (round(r["total_price"], 6), r["symbols"]) for r in summary(window_stats(spark.createDataFrame(rows, TRADES), 1000)).collect()}
+    assert {r["timestamp"]: (round(r["total_price"], 6), r["symbols"]) for r in changes.newest(spark, "timestamp").collect()} == expected
+
+
+def test_late_rows_are_counted_over_all_progress(spark, feed):
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        feed.add([("a", 1.0, 1_000, 0), ("a", 2.0, 600_000, 1)])
+        for i in range(3):
+            stats = window_stats(feed.stream(), 1000, delay="5 seconds").drop("window")
+            start_final(stats, feed.base + "/out", feed.base + "/cp").awaitTermination()
+            feed.add([("a", 9.0, 1_500, 10 + i), ("a", 9.0, 1_600, 20 + i)])
+        listener.wait(5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.total == 2 and len(listener.by_query) == 1
+
+
 def test_push_query_emits_changes(spark, feed):
     feed.add([("a", 1.0, 1000, 0), ("b", 2.0, 1000, 1)])
     query = start_push(latest_prices(feed.stream()), "pushed", "memory", feed.base + "/cp")

@@ -19,14 +19,17 @@ from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import company_symbols, latest_prices
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.market import prices_from_messages
-from tickloom.schemas import DATASETS, LATEST_PRICES
+from tickloom.catalog import Catalog
+from tickloom.schemas import DATASETS, LATEST_PRICES, SUMMARY, WINDOW_STATS
 from tickloom.session import shared_dir
-from tickloom.sinks.publish import publish, tombstones, write_csv
-from tickloom.sources.files import read_csv_cache
-from tickloom.sources.messages import data_messages, explode_trades, parse, rejected_messages
-from tickloom.sources.topics import decode, read_topics
-from tickloom.streaming.jobs import MarketTables, start_final, start_latest_prices, start_market
-from tickloom.streaming.tables import KeyedTable
+from tickloom.sinks.publish import Delivery, publish, tombstones, write_csv
+from tickloom.sources.files import big_tech_list, company_list, read_csv_cache
+from tickloom.sources.messages import data_messages, explode_trades, parse, rejected_messages, trades_from_messages
+from tickloom.sources.topics import read_topics, stock_prices, symbols
+from tickloom.streaming.jobs import (
+    LateRows, MarketTables, start_final, start_latest_prices, start_market, start_publish, start_summary_changes,
+)
+from tickloom.streaming.tables import KeyedTable, SliceTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,6 +303,10 @@ def as_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_messages(_table(spark, sf_dir, "events"))
+
+
+def _as_messages(events: DataFrame) -> DataFrame:
     """One feed message per event: trades, empty trade lists, pings, error notices and broken texts."""
 
     def trade(symbol: Column) -> Column:
@@ -320,7 +327,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", F.to_json(F.struct(F.lit("error").alias("type"), "props")))
         .otherwise(F.to_json(F.struct(F.lit("trade").alias("type"), kept.alias("data"))))
     )
-    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("offset"), text.alias("value"))
+    return events.select(F.col("event_id").alias("offset"), text.alias("value"))
 
 
 _SQL_DATA = "event_type IN ('click', 'view', 'purchase')"
@@ -402,41 +409,148 @@ def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("offset", F.array_join("lacking", ",").alias("lacking"))
 
 
+def _publish_all(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], dict[str, Delivery]]:
+    """All events go to two topics: signups to symbols, the rest to trades. A trade of a price under 1 is sent as a
+    tombstone, an error without its price; what was delivered and what failed is counted."""
+    base = shared_dir(spark, "topics")
+    paths = {"trades": f"{base}/trades", "symbols": f"{base}/symbols"}
+    events = _table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    price = F.when(F.col("event_type") != "error", F.col("value"))
+    trades = _as_trades(events, "user_id", price).withColumn("volume", F.lit(1.0))
+    sent = {"trades": publish(trades.where("price >= 1 OR price IS NULL"), "trades", paths["trades"], DATASETS["trades"])}
+    tombstones(trades.where("price < 1"), "trades", "symbol").write.mode("append").parquet(paths["trades"])
+    sent["symbols"] = publish(_registrations(spark, sf_dir), "symbols", paths["symbols"], DATASETS["symbols"])
+    return paths, sent
+
+
 @register(
     "topic_route",
-    f"""SELECT 'trades' AS topic, CAST(user_id AS VARCHAR) AS key, event_id AS "offset",
-               CASE WHEN value >= 1 THEN value END AS price,
-               CASE WHEN value >= 1 THEN {_MS} END AS timestamp, value < 1 AS tombstone
-        FROM events WHERE event_type = 'purchase'
+    f"""SELECT 'trades' AS topic, event_id AS "offset", CAST(user_id AS VARCHAR) AS symbol, value AS price,
+               {_MS} AS timestamp
+        FROM events WHERE event_type NOT IN ('signup', 'error') AND value >= 1
         UNION ALL
-        SELECT 'symbols', CAST(user_id AS VARCHAR), event_id, NULL, {_MS}, FALSE
-        FROM events WHERE event_type = 'signup'""",
+        SELECT 'symbols', event_id, CAST(user_id AS VARCHAR), NULL, {_MS} FROM events WHERE event_type = 'signup'""",
 )
 def topic_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two topics are published, read as one stream of records and routed by name, tombstones included."""
-    base = shared_dir(spark, "topics")
-    paths = {"trades": f"{base}/trades", "symbols": f"{base}/symbols"}
-    purchases = _table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    prices = _as_trades(purchases, "user_id").withColumn("volume", F.lit(1.0))
-    publish(prices.where("price >= 1"), "trades", paths["trades"], DATASETS["trades"])
-    tombstones(prices.where("price < 1"), "trades", "symbol").write.mode("append").parquet(paths["trades"])
-    publish(_registrations(spark, sf_dir), "symbols", paths["symbols"], DATASETS["symbols"])
-
-    records = read_topics(spark, paths)
-    routed = [
-        frames.route(records, topic)
-        .withColumn("row", decode(F.col("value"), DATASETS[topic]))
-        .select(
-            "topic",
-            "key",
-            "offset",
-            (F.col("row.price") if topic == "trades" else F.lit(None).cast("double")).alias("price"),
-            F.col("row.timestamp").alias("timestamp"),
-            F.col("value").isNull().alias("tombstone"),
-        )
-        for topic in paths
-    ]
-    return routed[0].unionByName(routed[1])
+    """Two topics are published, read as one stream of records, routed by name and decoded, without tombstones."""
+    paths, _ = _publish_all(spark, sf_dir)
+    records = frames.live(read_topics(spark, paths))
+    prices = stock_prices(frames.route(records, "trades")).withColumn("topic", F.lit("trades"))
+    named = symbols(frames.route(records, "symbols")).withColumn("topic", F.lit("symbols"))
+    rows = prices.unionByName(named, allowMissingColumns=True)
+    return rows.select("topic", "offset", "symbol", "price", "timestamp")
+
+
+@register(
+    "deliveries",
+    """SELECT 'trades' AS topic, count(*) FILTER (event_type <> 'error') AS delivered,
+              count(*) FILTER (event_type = 'error') AS failed
+       FROM events WHERE event_type <> 'signup' AND (value >= 1 OR event_type = 'error')
+       UNION ALL SELECT 'symbols', count(*), 0 FROM events WHERE event_type = 'signup'""",
+)
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What publishing counted."""
+    _, sent = _publish_all(spark, sf_dir)
+    rows = [(topic, d.delivered, d.failed) for topic, d in sent.items()]
+    return spark.createDataFrame(rows, "topic string, delivered bigint, failed bigint")
+
+
+@register(
+    "tombstoned_keys",
+    """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS tombstones FROM events
+       WHERE event_type NOT IN ('signup', 'error') AND value < 1 GROUP BY user_id""",
+)
+def tombstoned_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _ = _publish_all(spark, sf_dir)
+    gone = read_topics(spark, paths).where("value IS NULL")
+    return gone.groupBy("key").agg(F.count("*").alias("tombstones"))
+
+
+@register(
+    "listings",
+    """SELECT 'company' AS list, CAST(c_custkey AS VARCHAR) AS name, c_name AS detail FROM customer
+       UNION ALL SELECT 'big_tech', n_name, CAST(n_regionkey AS VARCHAR) FROM nation""",
+)
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company list as CSV and the big-tech list as Parquet, written and read."""
+    base = shared_dir(spark, "lists")
+    customers = _table(spark, sf_dir, "customer")
+    customers.select(F.col("c_custkey").alias("symbol"), F.col("c_name").alias("security"), "c_mktsegment").write.option(
+        "header", "true"
+    ).csv(f"{base}/companies")
+    nations = _table(spark, sf_dir, "nation")
+    nations.select(F.col("n_regionkey").alias("country"), F.col("n_name").alias("company")).write.parquet(f"{base}/tech")
+    companies = company_list(spark, f"{base}/companies").select(
+        F.lit("company").alias("list"), F.col("symbol").alias("name"), F.col("security").alias("detail")
+    )
+    tech = big_tech_list(spark, f"{base}/tech", "parquet")
+    return companies.unionByName(tech.select(F.lit("big_tech").alias("list"), F.col("company").alias("name"), F.col("country").alias("detail")))
+
+
+@register(
+    "registered_dataset",
+    f"""SELECT CAST(user_id AS VARCHAR) AS symbol, {_MS} AS timestamp FROM events WHERE event_type = 'signup'""",
+)
+def registered_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored registrations, registered under their declared layout and read by it."""
+    path = shared_dir(spark, "registered")
+    _registrations(spark, sf_dir).select("symbol", "timestamp").write.parquet(path)
+    catalog = Catalog(spark)
+    catalog.register("symbols", path)
+    return catalog.read("symbols")
+
+
+@register(
+    "whole_prices_1h",
+    f"""SELECT timestamp, sum(avg_price) AS total_price, count(*) AS symbols FROM (
+          SELECT user_id, ms - ms % {HOUR} AS timestamp, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price
+          FROM (SELECT user_id, {_MS} AS ms, CASE WHEN event_type = 'error' THEN NULL ELSE 1024.0 END AS price FROM events)
+          GROUP BY ALL)
+        GROUP BY timestamp""",
+)
+def whole_prices_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default averages and sums, on prices that are exact in any order; errors have the price NaN."""
+    price = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.lit(1024.0))
+    totals = summary(window_stats(_trades(spark, sf_dir, "user_id", price), HOUR), HOUR)
+    return totals.select("timestamp", "total_price", F.size("symbols").cast("bigint").alias("symbols"))
+
+
+#: Added before cutting to hundredths, so that no total in use lies on a border that rounding could cross.
+_OFF_BORDER = 0.1234567
+
+
+def _sql_unpriced(total: str) -> str:
+    """The completed total where errors have no price, by every window against every symbol."""
+    return f"""
+        WITH t AS (SELECT event_id, CAST(user_id AS VARCHAR) AS symbol, value AS price, {_MS} - {_MS} % {HOUR} AS timestamp
+                   FROM events WHERE event_type <> 'error'),
+        stats AS (SELECT symbol, timestamp, arg_max(price, event_id) AS last_price,
+                         CAST(sum(CAST(price * 100 AS BIGINT)) AS DOUBLE) / (count(*) * 100.0::DOUBLE) AS avg_price
+                  FROM t GROUP BY symbol, timestamp),
+        grid AS (SELECT w.timestamp, s.symbol FROM (SELECT DISTINCT timestamp FROM stats) w
+                 CROSS JOIN (SELECT DISTINCT symbol FROM stats) s),
+        prices AS (SELECT g.timestamp, CASE WHEN p.timestamp = g.timestamp THEN p.avg_price ELSE p.last_price END AS price
+                   FROM grid g ASOF JOIN stats p ON g.symbol = p.symbol AND g.timestamp >= p.timestamp)
+        SELECT timestamp, {total} AS total, count(*) AS known FROM prices GROUP BY timestamp"""
+
+
+def _unpriced_total(spark: SparkSession, sf_dir: str, digits: int) -> DataFrame:
+    nan = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
+    stats = window_stats(_trades(spark, sf_dir, "user_id", nan), HOUR, digits=PRICE_DIGITS, with_last=True)
+    return completed_total(stats, HOUR, digits=digits)
+
+
+@register("completed_total_unpriced", _sql_unpriced(_sql_total("price")))
+def completed_total_unpriced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors have the price NaN, which is no price."""
+    return _unpriced_total(spark, sf_dir, TOTAL_DIGITS)
+
+
+@register("completed_total_unpriced_18", _sql_unpriced(f"CAST(floor(sum(price) * 100 + {_OFF_BORDER}) AS BIGINT)"))
+def completed_total_unpriced_18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the default precision, compared in whole hundredths: SQL adds doubles."""
+    totals = _unpriced_total(spark, sf_dir, 18)
+    return totals.withColumn("total", F.floor(F.col("total") * 100 + _OFF_BORDER))
 
 
 @register("distinct_symbols", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol FROM events")
@@ -617,3 +731,83 @@ def stream_completed_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         trades, HOUR, DELAY, tables, f"{base}/checkpoint", digits=PRICE_DIGITS, total_digits=TOTAL_DIGITS
     ).awaitTermination()
     return tables.totals.read(spark)
+
+
+@register(
+    "stream_published_prices",
+    f"""SELECT symbol, arg_max(value, event_id) AS last_price, arg_max(ms, event_id) AS timestamp
+        FROM (SELECT event_id, value, {_MS} AS ms, CASE position WHEN 0 THEN event_type
+                       ELSE 'user_' || CAST(user_id AS VARCHAR) END AS symbol
+              FROM events CROSS JOIN (VALUES (0), (1)) p(position)
+              WHERE {_SQL_DATA} AND NOT ({_SQL_EMPTY}))
+        GROUP BY symbol""",
+)
+def stream_published_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages to a topic, and the topic to latest prices, each a stream; the second resumes once more from
+    its checkpoint and changes nothing."""
+    base = shared_dir(spark, "stream")
+    events = _table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
+    trades = trades_from_messages(_as_messages(stream), keep=["offset"])
+    start_publish(trades, "trades", f"{base}/trades", DATASETS["trades"], f"{base}/publish").awaitTermination()
+    table = KeyedTable(f"{base}/latest", LATEST_PRICES, "symbol")
+    for _ in range(2):
+        topic = read_topics(spark, {"trades": f"{base}/trades"}, stream=True)
+        start_latest_prices(stock_prices(topic), table, f"{base}/checkpoint").awaitTermination()
+    return table.read(spark)
+
+
+@register("stream_summary_changes", _sql_summary("event_type", HOUR))
+def stream_summary_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest summary of every window, open ones too."""
+    base = shared_dir(spark, "stream")
+    table = KeyedTable(f"{base}/stats", WINDOW_STATS, ["symbol", "timestamp"])
+    changes = SliceTable(f"{base}/changes", SUMMARY)
+    start_summary_changes(
+        _trade_stream(spark, sf_dir, "event_type"), HOUR, DELAY, table, changes, f"{base}/checkpoint",
+        digits=PRICE_DIGITS, total_digits=TOTAL_DIGITS,
+    ).awaitTermination()
+    newest = changes.newest(spark, "timestamp")
+    return newest.withColumn("symbols", F.array_join("symbols", ","))
+
+
+@register(
+    "stream_arrival_1h",
+    f"""SELECT event_type AS symbol, count(*) AS count, ms - ms % {HOUR} + 86400000 AS timestamp
+        FROM (SELECT event_type, {_MS} AS ms FROM events)
+        GROUP BY event_type, ms - ms % {HOUR} HAVING timestamp + {HOUR} <= (SELECT max({_MS}) + 86400000 - {DELAY_MS} FROM events)""",
+)
+def stream_arrival_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the time of arrival, here a day after the event."""
+    base = shared_dir(spark, "stream")
+    trades = _trade_stream(spark, sf_dir, "event_type").drop("event_time")
+    arrived = trades.withColumn("arrival", F.timestamp_millis(F.col("timestamp") + 86_400_000))
+    stats = window_stats(frames.with_event_time(arrived, "arrival", "arrival"), HOUR, delay=DELAY).drop("window", "avg_price")
+    start_final(stats, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("symbol", "count", "timestamp")
+
+
+@register(
+    "stream_late_rows",
+    f"""SELECT count(*) AS late FROM events
+        WHERE event_type = 'signup' AND {_MS} - {_MS} % {HOUR} + {HOUR} <= (SELECT max({_MS}) FROM events) - {DELAY_MS}""",
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events come first; then all signups come again, most of them too late. What is dropped is counted."""
+    base = shared_dir(spark, "stream")
+    events = _table(spark, sf_dir, "events")
+    _as_trades(events, "event_id").write.parquet(f"{base}/in/part=0")
+    schema = spark.read.parquet(f"{base}/in/part=0").schema
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        for again in (False, True):
+            if again:
+                _as_trades(events.where("event_type = 'signup'"), "event_id").write.parquet(f"{base}/in/part=1")
+            trades = frames.with_event_time(spark.readStream.schema(schema).parquet(f"{base}/in/part=*"))
+            stats = window_stats(trades, HOUR, delay=DELAY).drop("window")
+            start_final(stats, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        listener.wait(2)
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.range(1).select(F.lit(listener.total).cast("bigint").alias("late"))

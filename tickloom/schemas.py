@@ -9,14 +9,20 @@ from pyspark.sql import types as T
 _str, _dbl, _long = T.StringType(), T.DoubleType(), T.LongType()
 
 
-def _record(required: dict[str, T.DataType], optional: dict[str, T.DataType] | None = None) -> T.StructType:
+def _record(
+    required: dict[str, T.DataType], optional: dict[str, T.DataType] | None = None, order: str | None = None
+) -> T.StructType:
+    """A layout; ``order`` names the fields in the order of the record where that is another one. Binary Avro has no
+    field names, so there the order counts."""
     fields = [T.StructField(n, t, False) for n, t in required.items()]
-    return T.StructType(fields + [T.StructField(n, t, True) for n, t in (optional or {}).items()])
+    fields += [T.StructField(n, t, True) for n, t in (optional or {}).items()]
+    return T.StructType(sorted(fields, key=lambda f: order.split().index(f.name)) if order else fields)
 
 
 TRADES = _record(
     {"price": _dbl, "symbol": _str, "timestamp": _long, "volume": _dbl},
     {"trade_condition": T.ArrayType(_str, True)},
+    "trade_condition price symbol timestamp volume",
 )
 SYMBOLS = _record({"symbol": _str, "timestamp": _long})
 COMPANY_PROFILES = _record(
@@ -26,6 +32,8 @@ COMPANY_PROFILES = _record(
         "share_outstanding": _dbl, "ticker": _str, "weburl": _str, "symbol": _str,
     },
     {"logo": _str},
+    "country currency estimate_currency exchange industry ipo logo market_capitalization name phone "
+    "share_outstanding ticker weburl symbol",
 )
 COMPANY_LIST = _record({"symbol": _str, "security": _str})
 BIG_TECH_LIST = _record({"company": _str, "country": _str})
@@ -66,7 +74,8 @@ def _avro_type(data_type: T.DataType, nullable: bool) -> object:
         kind = {"type": "array", "items": _avro_type(data_type.elementType, data_type.containsNull)}
     else:
         kind = _AVRO[data_type]
-    return [kind, "null"] if nullable else kind
+    # the branches of the trade record: an array or its absence counts from null, a text's absence comes second
+    return (["null", kind] if isinstance(data_type, T.ArrayType) else [kind, "null"]) if nullable else kind
 
 
 @dataclass(frozen=True)

@@ -19,13 +19,14 @@ RECORD = "topic string, key string, value string, offset bigint"
 def read_topics(spark: SparkSession, paths: Mapping[str, str], *, stream: bool = False, **options: str) -> DataFrame:
     """SRC-4, SRC-5: the records of several file topics (name -> folder), from the first one on.
 
-    All folders are one scan. ``topic`` is written in the records, so routing prunes nothing it needs.
+    ``topic`` is written in the records, so routing prunes nothing it needs.
     """
     _check(paths)
     reader = (spark.readStream if stream else spark.read).schema(RECORD).options(**options)
-    if not stream:
-        return reader.parquet(*paths.values())
-    frames = [reader.parquet(path) for path in paths.values()]
+    columns = ["topic", "key", "value", "offset"]  # not the folders of a topic that a stream published
+    if not stream and len(paths) == 1:
+        return reader.parquet(*paths.values()).select(*columns)
+    frames = [reader.parquet(path).select(*columns) for path in paths.values()]
     merged = frames[0]
     for frame in frames[1:]:
         merged = merged.unionByName(frame)
@@ -53,25 +54,27 @@ def _check(topics: Iterable[str]) -> None:
         raise ValueError("topics must be a non-empty collection of names")
 
 
-def encode(row: Column, codec: str = "json", dataset: Dataset | None = None) -> Column:
-    """SCL-10: a struct as a record value."""
+def encode(row: Column, codec: str = "json", dataset: Dataset | None = None, layout: str | None = None) -> Column:
+    """SCL-10: a struct as a record value; ``layout`` is an Avro schema as JSON, by default the dataset's own."""
     if codec == "json":
         return F.to_json(row)
     if codec == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        return to_avro(row, json.dumps(dataset.avro_schema)) if dataset else to_avro(row)
+        layout = layout or (json.dumps(dataset.avro_schema) if dataset else None)
+        return to_avro(row, layout) if layout else to_avro(row)
     raise ValueError(f"unknown codec {codec!r}")
 
 
-def decode(value: Column, dataset: Dataset, codec: str = "json") -> Column:
-    """SCL-10: a record value as a struct."""
+def decode(value: Column, dataset: Dataset, codec: str = "json", layout: str | None = None) -> Column:
+    """SCL-10: a record value as a struct. ``layout`` is the writer's Avro schema as JSON, by default the dataset's
+    own: Avro bytes can be read in the layout only that they were written in."""
     if codec == "json":
         return F.from_json(value.cast("string"), dataset.schema)
     if codec == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        return from_avro(value, json.dumps(dataset.avro_schema))
+        return from_avro(value, layout or json.dumps(dataset.avro_schema))
     raise ValueError(f"unknown codec {codec!r}")
 
 

@@ -6,16 +6,19 @@ lost executor or a restarted driver repeats at most one micro-batch.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tickloom.functions import fixed_point
 from tickloom.operators.completed import completed_total, last_prices
 from tickloom.operators.latest import latest_prices
 from tickloom.operators.windows import summary, window_stats
+from tickloom.schemas import Dataset
+from tickloom.sinks.publish import records
 from tickloom.streaming.tables import KeyedTable, SliceTable
 
 
@@ -67,8 +70,84 @@ def start_push(df: DataFrame, name: str, sink: str = "console", checkpoint: str
     return writer.start()
 
 
+def start_publish(
+    df: DataFrame, topic: str, path: str, dataset: Dataset, checkpoint: str, *, codec: str = "json", trigger: dict | None = None
+) -> StreamingQuery:
+    """SNK-1 on a stream: the valid rows of each micro-batch go to a folder of their own below a file topic, which a
+    repeated micro-batch writes again, so no record is published twice. Invalid rows are left out."""
+
+    def work(rows: DataFrame, batch: int) -> None:
+        records(rows, topic, dataset, codec=codec).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return start_batches(df, work, checkpoint, trigger=trigger)
+
+
+def start_summary_changes(
+    prices: DataFrame,
+    size_ms: int,
+    delay: str,
+    table: KeyedTable,
+    changes: SliceTable,
+    checkpoint: str,
+    *,
+    digits: int | None = None,
+    total_digits: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """STR-5, STR-3: the summary of every window that a micro-batch changed, open windows too.
+
+    ``table`` keeps the window statistics by symbol and timestamp; ``changes`` gets (timestamp, total_price, symbols)
+    of the changed windows, a slice per micro-batch. A window's newest row is its current summary.
+    """
+    stats = window_stats(prices, size_ms, delay=delay, digits=digits)
+
+    def work(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        table.upsert(rows, batch)
+        changed = table.slice(spark, batch).select("timestamp").distinct()
+        current = table.at(spark, batch).join(changed, "timestamp", "left_semi")
+        changes.write(summary(current, size_ms, digits=total_digits), batch)
+
+    return start_batches(stats, work, checkpoint, mode="update", trigger=trigger)
+
+
+class LateRows(StreamingQueryListener):
+    """STR-7: counts the rows that streams drop as late, over all their progress. Register it with
+    ``spark.streams.addListener`` before the queries start; reports arrive a moment after each micro-batch."""
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+        self._running: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self._running.add(str(event.runId))
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.by_query[query] = self.by_query.get(query, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._running.discard(str(event.runId))
+
+    def wait(self, seconds: float) -> None:
+        """Until all reports of the queries that have ended are in, at most so long."""
+        end = time.monotonic() + seconds
+        while self._running and time.monotonic() < end:
+            time.sleep(0.02)
+
+    @property
+    def total(self) -> int:
+        return sum(self.by_query.values())
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """STR-7: rows dropped as late in the progress reports the query still keeps."""
+    """STR-7: rows dropped as late in the progress reports the query still keeps, for short runs; ``LateRows``
+    counts all of a long-running stream."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

@@ -33,6 +33,12 @@ class SliceTable:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(folder)
         return rows.sparkSession.read.schema(self.schema).parquet(folder)
 
+    def newest(self, spark: SparkSession, key: str) -> DataFrame:
+        """Of rows that later slices replace, the last one per key."""
+        rows = spark.read.schema(_with_batch(self.schema)).parquet(self.path)
+        columns = [c for c in self.schema.names if c != key]
+        return rows.groupBy(key).agg(*[F.max_by(c, "batch").alias(c) for c in columns]).select(*self.schema.names)
+
     def slice(self, spark: SparkSession, batch: int) -> DataFrame | None:
         """The rows of one micro-batch; None before the first."""
         return None if batch < 0 else spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch}")
@@ -83,6 +89,10 @@ class KeyedTable:
         reader = spark.read.schema(_with_batch(self.schema)).option("basePath", self.path)
         return self._latest(reader.parquet(*folders))
 
+    def slice(self, spark: SparkSession, batch: int) -> DataFrame:
+        """What one micro-batch wrote: the keys it changed, or all keys in a snapshot."""
+        return spark.read.schema(self.schema).parquet(self._folder(batch))
+
     def read(self, spark: SparkSession) -> DataFrame:
         """The table after the last complete micro-batch."""
         last = self.at(spark, self.head(spark))
