@@ -37,6 +37,8 @@ SECOND, MINUTE, HOUR = 1_000, 60_000, 3_600_000
 DELAY, DELAY_MS = "10 minutes", 600_000
 PRICE_DIGITS, TOTAL_DIGITS = 2, 6
 FIRST_MESSAGES = 1_000
+# State partitions of the streams by event type: its five symbols have a few open hours at any time.
+OPEN_WINDOWS = 4
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -693,7 +695,7 @@ def stream_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream")
     trades = _trade_stream(spark, sf_dir, "event_type")
     stats = window_stats(trades, HOUR, delay=DELAY, digits=PRICE_DIGITS).drop("window")
-    start_final(stats, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    start_final(stats, f"{base}/out", f"{base}/checkpoint", state_partitions=OPEN_WINDOWS).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
@@ -702,7 +704,8 @@ def stream_summary_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream")
     trades = _trade_stream(spark, sf_dir, "event_type")
     stats = window_stats(trades, HOUR, delay=DELAY, digits=PRICE_DIGITS)
-    start_final(_summary(stats, HOUR), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    totals = _summary(stats, HOUR)
+    start_final(totals, f"{base}/out", f"{base}/checkpoint", state_partitions=OPEN_WINDOWS).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 

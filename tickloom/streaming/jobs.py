@@ -7,7 +7,8 @@ lost executor or a restarted driver repeats at most one micro-batch.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,15 +27,39 @@ def _triggered(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWrit
     return writer.trigger(**(trigger or {"availableNow": True}))
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """A query copies its session's settings when it starts, and its checkpoint keeps the number of partitions."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if number is not None:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_final(
-    df: DataFrame, path: str, checkpoint: str, *, name: str | None = None, trigger: dict | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    name: str | None = None,
+    state_partitions: int | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """STR-4: each window once, after the watermark has closed it, appended to Parquet."""
+    """STR-4: each window once, after the watermark has closed it, appended to Parquet.
+
+    State holds the open windows only, so a stream of few symbols needs few ``state_partitions``, however
+    many trades it has; each costs a state store per stateful operator and micro-batch.
+    """
     writer = df.writeStream.outputMode("append").format("parquet")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, trigger).start()
+    with _state_partitions(df.sparkSession, state_partitions):
+        return _triggered(writer, trigger).start()
 
 
 def start_batches(
