@@ -25,8 +25,10 @@ from tickloom.llm.shingles import chunks, mix, pieces, word_hashes
 
 BUCKET_BITS, WIDTH = 16, 8
 BUCKETS = 1 << BUCKET_BITS
-MOST_LABELLED = 12_000
-PARTS, ROUNDS, EPOCHS = 6, 3, 2
+MOST_LABELLED = 4_000
+PARTS, ROUNDS = 6, 3
+#: Steps of a part in a round: whole passes over its rows, as many as it takes.
+STEPS = 1_300
 RATE = 2.0
 CUT = 0.3
 _RANDOM = np.random.default_rng(17)
@@ -82,7 +84,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
 
 
 def _counted(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(distinct buckets, their shares) of each text."""
+    """(distinct buckets, how often each occurs) of each text, in two bytes each."""
     for _, data, offsets in chunks(texts):
         found = list(features(data, offsets))
         bucket, owner = np.concatenate([b for b, _ in found]), np.concatenate([o for _, o in found])
@@ -92,18 +94,19 @@ def _counted(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         kinds, owners = (both[new] & (BUCKETS - 1)).astype(np.int32), both[new] >> BUCKET_BITS
         cuts = np.searchsorted(owners, np.arange(len(offsets)))
         for low, high in zip(cuts, cuts[1:]):
-            own = counts[low:high]
-            yield kinds[low:high], (own / max(own.sum(), 1)).astype(np.float32)
+            yield kinds[low:high].astype(np.uint16), np.minimum(counts[low:high], 65535).astype(np.uint16)
 
 
-def _descend(model: Model, rows: list[tuple[int, np.ndarray, np.ndarray]], first: float, last: float, seed: int) -> Model:
-    """EPOCHS passes over rows of (label, buckets, shares), the rate falling from first to last."""
+def _descend(model: Model, rows: list[tuple[int, bytes, bytes]], first: float, last: float, seed: int) -> Model:
+    """Passes over rows of (label, buckets, counts), the rate falling from first to last."""
     vectors, layer, bias = model.vectors.copy(), model.layer.copy(), model.bias.copy()
-    steps = EPOCHS * len(rows)
+    passes = -(-STEPS // len(rows))
+    steps = passes * len(rows)
     random = np.random.default_rng(seed)
-    order = np.concatenate([random.permutation(len(rows)) for _ in range(EPOCHS)]) if rows else []
+    order = np.concatenate([random.permutation(len(rows)) for _ in range(passes)])
     for step, i in enumerate(order):
-        label, buckets, shares = rows[i]
+        label, buckets, counts = rows[i][0], np.frombuffer(rows[i][1], np.uint16), np.frombuffer(rows[i][2], np.uint16)
+        shares = counts / np.float32(max(int(counts.sum(dtype=np.int64)), 1))
         rate = np.float32(first + (last - first) * step / steps)
         mean = shares @ vectors[buckets] if len(buckets) else np.zeros(WIDTH, np.float32)
         odds = mean @ layer + bias
@@ -123,8 +126,7 @@ def _improve(model: Model, first: float, last: float) -> Callable[[pa.Table], pa
     """One part's round, as a function of its rows."""
 
     def improve(group: pa.Table) -> pa.Table:
-        own = sorted(zip(*[group.column(k).to_pylist() for k in ("label", "buckets", "shares")]))
-        own = [(y, np.frombuffer(b, np.int32), np.frombuffer(s, np.float32)) for y, b, s in own]
+        own = sorted(zip(*[group.column(k).to_pylist() for k in ("label", "buckets", "counts")]))
         after = _descend(model, own, first, last, group.column("part")[0].as_py())
         parts = {f"m{k}": pa.array([x.tobytes()], pa.binary()) for k, x in enumerate((after.vectors, after.layer, after.bias))}
         return pa.table({"n": pa.array([len(own)], pa.int64()), **parts})
@@ -142,11 +144,11 @@ def trained(labelled: DataFrame) -> Model:
         for batch in pieces(batches):
             found = [(b.tobytes(), s.tobytes()) for b, s in _counted(batch.column(2))]
             columns = [pa.array([x[k] for x in found], pa.binary()) for k in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["part", "label", "buckets", "shares"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["part", "label", "buckets", "counts"])
 
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part")
     samples = labelled.select(part, F.col("label").cast("int"), "text").mapInArrow(
-        rows, "part int, label int, buckets binary, shares binary"
+        rows, "part int, label int, buckets binary, counts binary"
     )
     samples = materialise(samples, "labelled")
     for turn in range(ROUNDS):
@@ -194,7 +196,7 @@ def judged(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Dat
     total = known.count()
     if total > most:
         known = known.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(total)) < most)
-    # at most about MOST_LABELLED rows of two numbers
+    # about MOST_LABELLED rows of two numbers at most
     known = F.broadcast(materialise(known, "labels"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = trained(docs.join(known, docs.doc_id == F.col("id")).select("doc_id", "text", "label"))
