@@ -107,8 +107,8 @@ def followed(docs: DataFrame) -> DataFrame:
     )
     above = F.lag("__block").over(W.orderBy(F.desc("__block")))
     blocks = rows.select("__block").distinct().withColumn("__above", above)
-    last = blocks.agg(F.min("__block").alias("__last"))
-    blocks = blocks.join(F.broadcast(last)).select("__block", F.coalesce("__above", "__last").alias("__above"))
+    last = rows.agg(F.min("__block").alias("__block")).scalar()
+    blocks = blocks.select("__block", F.coalesce("__above", last).alias("__above"))
     heads = heads.join(blocks, "__block").select("head.row.*", F.col("__above").alias("__block"), F.lit(1).alias("__copy"))
     heads = heads.withColumn("__tie", F.lit(0).cast("long"))
     both = rows.unionByName(heads)
