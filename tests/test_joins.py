@@ -2,10 +2,13 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.brute import as_of as brute_as_of
 from tickloom.operators import dimension
 from tickloom.operators.asof import as_of
+from tickloom.plans.profiles import refresh_cache
+from tickloom.sinks.heads import CsvCache
 from tickloom.operators.joins import keyed_join, known, unique_per, unknown, with_company_symbols
 
 
@@ -156,6 +159,18 @@ def test_refreshed_profiles_rename_and_clean(spark, listing):
     assert rows_of(refreshed) == [("A", "Metals", None), ("B", "Paper", 2.0)]
 
 
+def test_cache_is_replaced_by_what_was_made_from_it(spark, folder, listing):
+    cache = CsvCache(folder + "/cache", T.StructType.fromDDL("symbol string, name string, industry string, share_outstanding double"))
+    assert cache.read(spark) is None
+    answers = spark.createDataFrame([("A", "Alpha", "N/A", 1.5), ("B", None, "Paper", None)], "Symbol string, name string, vIndustry string, shareOutstanding double")
+    assert rows_of(refresh_cache(cache, listing, answers, industry="vIndustry").select("symbol")) == [("C",), ("D",)]
+    before = cache.read(spark)
+    later = spark.createDataFrame([("A", "Other", "x", 9.0), ("C", "Gamma", "Oil", 2.0)], answers.schema)
+    refresh_cache(cache, listing.where("symbol <> 'B'"), later, industry="vIndustry")
+    assert rows_of(before) == [("A", "Alpha", None, 1.5), ("B", None, "Paper", None)]
+    assert rows_of(cache.read(spark)) == [("A", "Alpha", None, 1.5), ("C", "Gamma", "Oil", 2.0)]
+
+
 COMPANIES = [("Apple Inc.", "US"), ("Meta (US)", "US"), ("SAP", "DE"), ("Amazon.com", "US")]
 PROFILES = [("APPLE INC", 1), ("apple incorporated", 2), ("AmazonXcom", 3), ("Sap AG", 4), (None, 5), ("meta us", 6)]
 

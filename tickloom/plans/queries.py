@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tickloom.functions import known_symbols, missing_symbols, strip_control, time_bucket, unique_symbols
 from tickloom.operators import dimension, frames
@@ -19,9 +19,11 @@ from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import company_symbols, latest_prices
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.market import prices_from_messages
+from tickloom.plans.profiles import refresh_cache
 from tickloom.catalog import Catalog
 from tickloom.schemas import DATASETS, LATEST_PRICES, SUMMARY, WINDOW_STATS
 from tickloom.session import shared_dir
+from tickloom.sinks.heads import CsvCache
 from tickloom.sinks.publish import Delivery, publish, tombstones, write_csv
 from tickloom.sources.files import big_tech_list, company_list, read_csv_cache
 from tickloom.sources.messages import data_messages, explode_trades, parse, rejected_messages, trades_from_messages
@@ -631,6 +633,23 @@ def refreshed_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refreshed
 
 
+@register(
+    "refreshed_cache",
+    f"""SELECT symbol, share_outstanding, ipo, NULL AS name, NULL AS industry FROM {_SQL_KNOWN}
+        UNION ALL
+        SELECT symbol, NULL, NULL, security, c_mktsegment FROM {_SQL_NEW} WHERE c_mktsegment <> 'BUILDING'""",
+)
+def refreshed_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cached profiles refreshed from cache to cache, with the vendor's names in the responses."""
+    schema = T.StructType.fromDDL("symbol bigint, share_outstanding double, ipo string, name string, industry string")
+    cache = CsvCache(shared_dir(spark, "profiles"), schema)
+    cached = _cached_profiles(spark, sf_dir)
+    cache.write(cached.withColumns({c: F.lit(None).cast("string") for c in ("name", "industry")}))
+    responses = _responses(spark, sf_dir).withColumnsRenamed({"symbol": "Symbol", "industry": "vendorIndustry"})
+    refresh_cache(cache, _company_list(spark, sf_dir), responses, industry="vendorIndustry")
+    return cache.read(spark)
+
+
 @register("missing_profiles", f"SELECT symbol, security FROM {_SQL_NEW} WHERE c_mktsegment = 'BUILDING'")
 def missing_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, missing = dimension.refresh(

@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tickloom.sinks.heads import read_head, write_head
+
 
 def _with_batch(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
@@ -71,14 +72,7 @@ class KeyedTable:
 
     def head(self, spark: SparkSession) -> int:
         """The last complete micro-batch; -1 before the first."""
-        found = [-1]
-        for turn in (0, 1):
-            try:
-                found += [r["batch"] for r in spark.read.schema("batch bigint").parquet(f"{self.path}-head/{turn}").collect()]
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return max(found)
+        return read_head(spark, self.path)
 
     def at(self, spark: SparkSession, batch: int) -> DataFrame | None:
         """The table after micro-batch ``batch``, of the last two snapshots; None before the first."""
@@ -110,9 +104,7 @@ class KeyedTable:
             before = self.at(spark, batch - 1).withColumn("batch", F.lit(batch - 1))
             rows = self._latest(before.unionByName(rows.withColumn("batch", F.lit(batch))))
         rows.write.mode("overwrite").parquet(self._folder(batch))
-        spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}-head/{batch % 2}"
-        )
+        write_head(spark, self.path, batch)
         old = batch - 2 * self.snapshot_every
         if old >= 0:
             spark.createDataFrame([], self.schema).coalesce(1).write.mode("overwrite").parquet(self._folder(old))
