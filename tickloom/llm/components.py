@@ -81,18 +81,19 @@ def connected(links: DataFrame) -> DataFrame:
         edges = materialise(small.where("a <> b").distinct(), "links")
 
 
-def likely(rows: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
-    """rows without most of those whose keys are not among the members'.
+def apart(rows: DataFrame, members: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """rows whose keys may be among the members', and rows whose keys are not.
 
-    A table of ``KEY_BITS`` bits, of which the members' hashes set some, is broadcast: 2 MB, whatever the input. Only a
-    join tells for certain, but it then moves few rows in vain.
+    A table of ``KEY_BITS`` bits, of which the members' hashes set some, is broadcast: 2 MB, whatever the input. Only
+    a join tells for certain, but it then moves few rows in vain, and the other rows stay where they are.
     """
     place = F.pmod(F.xxhash64(*keys), F.lit(KEY_BITS))
     word, bit = F.floor(place / 64), (place % 64).cast("int")
     marks = members.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word")
     marks = marks.agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
-    found = rows.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marks), "__word")
-    return found.where("getbit(__bits, __bit) = 1").select(*rows.columns)
+    found = rows.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marks), "__word", "left")
+    member = F.coalesce(F.getbit("__bits", F.col("__bit")) == 1, F.lit(False))
+    return found.where(member).select(*rows.columns), found.where(~member).select(*rows.columns)
 
 
 def comparisons(members: DataFrame) -> DataFrame:

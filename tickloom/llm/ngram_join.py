@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
-from tickloom.llm.components import comparisons, connected, likely, verified_links
+from tickloom.llm.components import apart, comparisons, connected, verified_links
 from tickloom.llm.shingles import class_counts, pieces, shingle_sets, signature
 
 #: Similar: 100 * intersection >= 80 * union, which is 9 * intersection >= 4 * (size + size).
@@ -303,7 +303,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["cluster", "i", "j", "node", "elements"])
 
     ids = members.select(F.col("node").alias("doc_id"))
-    texts = likely(named, ids, ["doc_id"]).join(members, F.col("doc_id") == F.col("node"))
+    texts = apart(named, ids, ["doc_id"])[0].join(members, F.col("doc_id") == F.col("node"))
     elements = texts.select("cluster", "i", "j", "node", "one", "two", "text").mapInArrow(
         sets, "cluster long, i int, j int, node long, elements binary"
     )
@@ -318,9 +318,12 @@ def similar_components(docs: DataFrame) -> DataFrame:
 def without_similar(docs: DataFrame) -> DataFrame:
     """docs, all columns, with one document of each component: that of the smallest doc_id. Of rows that share a doc_id
     one stays for each different text; rows without a doc_id all stay."""
-    found = similar_components(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__doc_id"))
-    found = materialise(found.agg(F.count("*").alias("__rows")), "kept")
-    kept = docs.join(found, F.col("doc_id").cast("long") == F.col("__doc_id"))
-    once = kept.where("__rows = 1").select(*docs.columns)
-    several = kept.where("__rows > 1").dropDuplicates(["__doc_id", "text"]).select(*docs.columns)
-    return once.unionByName(several).unionByName(docs.where("doc_id is null"))
+    found = similar_components(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("__doc_id"))
+    found = found.agg(F.count("*").alias("__rows"), F.min(F.col("component_id") < F.col("doc_id")).alias("__goes"))
+    special = materialise(found.where("__goes or __rows > 1"), "goes")
+    keyed = docs.withColumn("__doc_id", F.col("doc_id").cast("long"))
+    maybe, stay = apart(keyed, special, ["__doc_id"])
+    maybe = maybe.join(special, "__doc_id", "left")
+    few = maybe.where("__rows is null").select(*docs.columns)
+    several = maybe.where("__rows > 1 and not __goes").dropDuplicates(["__doc_id", "text"]).select(*docs.columns)
+    return stay.select(*docs.columns).unionByName(few).unionByName(several)

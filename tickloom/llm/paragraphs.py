@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
-from tickloom.llm.components import comparisons, connected, key_links, likely, verified_links
+from tickloom.llm.components import apart, comparisons, connected, key_links, verified_links
 from tickloom.llm.shingles import mix, pieces, shingle_sets, signature
 
 MIN_WORDS = 50
@@ -155,7 +155,7 @@ def _elements(docs: DataFrame, members: DataFrame, min_words: int) -> DataFrame:
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     texts = texts.mapInArrow(lines, "doc_id long, paragraph long, line string")
     keys = ["doc_id", "paragraph"]
-    texts = likely(texts, members.select(*keys), keys).join(members, keys)
+    texts = apart(texts, members.select(*keys), keys)[0].join(members, keys)
     return texts.select("cluster", "i", "j", "node", "two", "line").mapInArrow(
         sets, "cluster long, i int, j int, node long, elements binary"
     )
@@ -209,8 +209,9 @@ def without_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
     gone = duplicates.where("removed").select(
         F.col("doc_id").alias("__doc_id"), F.explode(F.expr("sequence(paragraph, paragraph + lines - 1)")).alias("line")
     )
-    gone = gone.groupBy("__doc_id").agg(F.collect_set("line").alias("__gone"))
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("__doc_id"), "left")
+    gone = materialise(gone.groupBy("__doc_id").agg(F.collect_set("line").alias("__gone")), "gone")
+    maybe, unchanged = apart(docs.withColumn("__doc_id", F.col("doc_id").cast("long")), gone.select("__doc_id"), ["__doc_id"])
+    joined = maybe.join(gone, "__doc_id", "left")
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__gone", i.cast("long")))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     result = joined.withColumn("text", text).where(r"__gone is null or text rlike '[^\\x20\\x09-\\x0D]'")
@@ -219,4 +220,4 @@ def without_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
         result = result.withColumn(
             "n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind))
         )
-    return result.select(*docs.columns)
+    return unchanged.select(*docs.columns).unionByName(result.select(*docs.columns))
