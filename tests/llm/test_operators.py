@@ -335,6 +335,59 @@ def test_fingerprints_equal_brute_force(spark, small):
     assert got[2**40]["fingerprint"] == next(got[d]["fingerprint"] for d, t in docs if t == docs[0][1])
 
 
+def test_exact_fingerprints_count_each_term(spark, small):
+    docs = [(r["doc_id"], r["text"]) for r in small.select("doc_id", "text").collect()]
+    docs += [(5000, None), (4000, ""), (-3, "a b"), (2**40, docs[0][1]), (2**40, docs[0][1]), (None, "c d"), (4000, docs[1][1])]
+    # two words of one document each that share a hash class
+    hashed, word = {}, None
+    for k in range(20_000):
+        c = xxhash.xxh64_intdigest(f"rare{k}".encode(), seed=42) >> 46
+        if c in hashed:
+            word = hashed[c], k
+            break
+        hashed[c] = k
+    docs += [(7000 + i, f"rare{k} " + docs[i][1]) for i, k in enumerate(word)]
+    terms = lambda text: {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
+    df, total = {}, len(docs)
+    for _, text in docs:
+        for t in terms(text):
+            df[t] = df.get(t, 0) + 1
+    inside = {t for t, n in df.items() if 0.1 <= np.log(total / n) / np.log(total) <= 0.9}
+
+    def brute_exact(text):
+        kept = sorted(terms(text) & inside, key=lambda x: x - (1 << 64) if x >> 63 else x)
+        found = []
+        for j in range(fingerprints.CHAINS):
+            left = kept
+            for level in range(fingerprints.LEVELS):
+                want = fingerprints._PATTERNS[j] >> 2 * level & 3
+                left = [t for t in left if t >> (fingerprints.STEP * j + 2 * level) & 3 == want]
+                state = 42
+                for t in left:
+                    state = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), seed=state)
+                found.append(f"{state >> 32:08x}" if left else "-" * 8)
+        return "".join(found)
+
+    rows = fingerprints.fingerprinted(spark.createDataFrame(docs, "doc_id long, text string"), exact=True).collect()
+    assert len(rows) == len(docs)
+    unique = [d for d, _ in docs if d is not None and [x for x, _ in docs].count(d) == 1]
+    order = sorted((d for d in docs if d[0] is not None), key=lambda r: -r[0])
+    got = {r["doc_id"]: r for r in rows}
+    for i, (doc, text) in enumerate(order):
+        if doc in unique:
+            assert got[doc]["fingerprint"] == brute_exact(text)
+            after = order[i + 1][0] if i + 1 < len(order) else None
+            if after in unique:
+                text, following = text or "", order[i + 1][1] or ""
+                edited = text[: len(text) - len(text) // 3] + following[: len(text) // 3]
+                assert got[doc]["edited_fingerprint"] == brute_exact(edited)
+                assert got[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+    copies = [r for r in rows if r["doc_id"] == 2**40]
+    assert {r["near_next"] for r in copies} >= {1.0} and {r["fingerprint"] for r in copies} == {brute_exact(docs[0][1])}
+    # a word of one document is outside the band, whatever shares its class
+    assert all(got[7000 + i]["fingerprint"] == got[docs[i][0]]["fingerprint"] for i in range(2))
+
+
 def test_fingerprints_of_unusual_tables(spark, tiny, none):
     assert fingerprints.fingerprinted(none).count() == 0
     rows = fingerprints.fingerprinted(tiny).collect()

@@ -1,13 +1,14 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-Terms are words with A-Z lower-cased, counted in ``TERM_CLASSES`` hash classes. A class is in the lexicon if its
-normalised inverse document frequency, ln(N / df) / ln N, lies in a band: neither so common that all texts have it nor
-so rare that it is noise. Of a text, the distinct terms in the lexicon are kept, in order of their hashes. Several
+Terms are words with A-Z lower-cased. A term is in the lexicon if its normalised inverse document frequency,
+ln(N / df) / ln N, lies in a band: neither so common that all texts have it nor so rare that it is noise. With ``exact``
+each term counts by its 64-bit hash, and a join marks the terms of a text; without, terms are counted in 2^18 hash
+classes, a table of fixed size that suits vocabularies far smaller than that. Of a text, the distinct terms in the lexicon are kept, in order of their hashes. Several
 random lexicons are parts of this one, from a quarter down to 1/1024 of its terms, so that texts of any length have
 some in which few of their terms count; each gives one hash of the terms left. The fingerprint is these hashes. The
 likeness of two texts looks, in each chain of ever smaller lexicons, at the smallest that has terms of either.
 
-Only Spark expressions are used. The lexicon is an array of fixed size.
+Only Spark expressions are used.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import let, whole, words
+from tickloom.llm.common import let, materialise, whole, words
 
 #: 2^18 term classes, as bits of 2^12 words.
 CLASS_BITS = 18
@@ -48,6 +49,11 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[int]:
     return [found.get(k, 0) for k in range(1 << (CLASS_BITS - 6))]
 
 
+def frequencies(docs: DataFrame) -> DataFrame:
+    """term (hash) and df, its exact document frequency over all rows."""
+    return docs.select(F.explode(_terms(whole("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
 def hashes(text: Column, bits: list[int]) -> Column:
     """The fingerprint as an array: a hash for each random lexicon, null where none of the text's terms is in it."""
     table = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")
@@ -56,6 +62,12 @@ def hashes(text: Column, bits: list[int]) -> Column:
         word = F.get(table, F.shiftrightunsigned(h, 64 - CLASS_BITS + 6).cast("int"))
         return F.getbit(word, F.shiftrightunsigned(h, 64 - CLASS_BITS).cast("int") % 64) == 1
 
+    return lexicon_hashes(F.filter(_terms(text), known))
+
+
+def lexicon_hashes(terms: Column) -> Column:
+    """The fingerprint of the terms of a text that are in the lexicon."""
+
     def down(number: int, level: int, terms: Column) -> Column:
         """The hash of the terms left at a level, followed by those of the levels below."""
         own = F.array(F.when(F.size(terms) > 0, F.xxhash64(terms)))
@@ -67,8 +79,7 @@ def hashes(text: Column, bits: list[int]) -> Column:
         part = F.filter(terms, lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(3)) == wanted)
         return let(part, lambda left: down(number, level, left))
 
-    kept = F.sort_array(F.filter(_terms(text), known))
-    return let(kept, lambda terms: F.concat(*[further(j, 1, terms) for j in range(CHAINS)]))
+    return let(F.sort_array(terms), lambda terms: F.concat(*[further(j, 1, terms) for j in range(CHAINS)]))
 
 
 def as_text(own: Column) -> Column:
@@ -91,17 +102,17 @@ def likeness(one: Column, two: Column) -> Column:
     return F.when(used == 0, 1.0).otherwise(equal / used)
 
 
-def followed(docs: DataFrame) -> DataFrame:
+def followed(docs: DataFrame, tie: Column | None = None) -> DataFrame:
     """docs with ``next``, a struct of the row's columns that comes after it in descending order of doc_id; after the
     last row comes the first.
 
     Rows lie in blocks of ids. A copy of the first row of each block ends the block above, so no order goes
-    beyond a block. Ties go by a hash of the text; rows without a doc_id come last.
+    beyond a block. Ties go by tie, a hash of the text if not given; rows without a doc_id come last.
     """
     lowest = -(1 << 62)
     block = F.coalesce(F.floor(F.col("doc_id") / ID_BLOCK), F.lit(lowest))
     order = [F.desc_nulls_last("doc_id"), F.desc("__tie")]
-    rows = docs.withColumn("__tie", F.xxhash64("text")).withColumn("__block", block).withColumn("__copy", F.lit(0))
+    rows = docs.withColumn("__tie", F.xxhash64("text") if tie is None else tie).withColumn("__block", block).withColumn("__copy", F.lit(0))
     heads = rows.groupBy("__block").agg(
         F.max(F.struct(F.coalesce("doc_id", F.lit(lowest)), "__tie", F.struct(*docs.columns).alias("row"))).alias("head")
     )
@@ -116,25 +127,83 @@ def followed(docs: DataFrame) -> DataFrame:
     return both.withColumn("next", after).where("__copy = 0").select(*docs.columns, "next")
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
+def _edited() -> Column:
+    """The text of a row with its last third replaced by the beginning of the next row's."""
+    third = F.floor(F.char_length("text") / 3).cast("int")
+    return F.concat(F.substr("text", F.lit(1), F.char_length("text") - third), F.substr("next.text", F.lit(1), third))
+
+
+def _exactly(rows: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, own, other and next.own by the exact document frequencies of terms.
+
+    Each row is a head and its terms; the terms that join those of the lexicon come together again with the head. Rows
+    alike in all of doc_id, text and next are one group, and its heads are counted.
+    """
+    counted = materialise(frequencies(rows), "term-counts")
+    total = rows.count()
+    idf = F.log(F.lit(float(total)) / F.col("df")) / F.log(F.lit(float(max(total, 2))))
+    # at most a text's mean number of terms times N^0.1: they need not move to be left out
+    common = [r["term"] for r in counted.where(idf < BAND[0]).select("term").collect()]
+    inside = counted.where(idf.between(*BAND)).select("term", F.lit(True).alias("inside"))
+
+    pairs = followed(rows).select(
+        "doc_id", "text", F.xxhash64("text").alias("tie"),
+        F.xxhash64("doc_id", "text", "next.doc_id", "next.text").alias("tag"), _edited().alias("edited"),
+    )
+    rare = lambda terms: F.filter(terms, lambda h: ~h.isin(common)) if common else terms
+    both = F.array(F.struct(rare(_terms(F.col("text"))).alias("own"), rare(_terms(F.col("edited"))).alias("other")))
+    # own and other: whether the term is of the text and of the edited text
+    terms = F.transform(
+        both,
+        lambda x: F.concat(
+            F.transform(F.array_intersect(x["own"], x["other"]), lambda h: F.struct(h.alias("term"), F.lit(3).alias("in"))),
+            F.transform(F.array_except(x["own"], x["other"]), lambda h: F.struct(h.alias("term"), F.lit(1).alias("in"))),
+            F.transform(F.array_except(x["other"], x["own"]), lambda h: F.struct(h.alias("term"), F.lit(2).alias("in"))),
+        ),
+    )
+    head = F.struct(F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("sha"))
+    none = F.lit(None).cast("struct<n_chars:bigint,sha:string>")
+    own = F.transform(F.get(terms, F.lit(0)), lambda x: F.struct(x["term"], x["in"], none.alias("head")))
+    heads = F.array(F.struct(F.col("tag").alias("term"), F.lit(0).alias("in"), head.alias("head")))
+    pairs = pairs.select("doc_id", "tie", "tag", F.inline(F.concat(heads, own)))
+    pairs = pairs.join(inside, "term", "left").where("head is not null or inside")
+
+    def of(bit: int) -> Column:
+        return F.collect_set(F.when(F.col("in").bitwiseAND(bit) > 0, F.col("term")))
+
+    marked = pairs.groupBy("doc_id", "tie", "tag").agg(
+        of(1).alias("own"), of(2).alias("other"), F.max("head").alias("head"), F.count("head").alias("rows")
+    )
+    marked = marked.select(
+        "doc_id", "tie", "head.n_chars", F.col("head.sha").alias("edited_sha256"),
+        lexicon_hashes(F.col("own")).alias("own"), lexicon_hashes(F.col("other")).alias("other"),
+        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
+    )
+    marked = materialise(marked.drop("copy"), "fingerprints")
+    after = followed(marked.select("doc_id", "tie", "n_chars", "edited_sha256", "own", "other"), F.col("tie"))
+    return after.select("doc_id", "n_chars", "edited_sha256", "own", "other", "next")
+
+
+def fingerprinted(docs: DataFrame, exact: bool = False) -> DataFrame:
     """A row for each of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last third replaced by the beginning of the next document in descending order of doc_id.
-    docs needs doc_id and text; a null text is empty. Texts without terms in the band have a fingerprint of
-    dashes and are alike. Repeated rows are documents of their own. An empty table gives an empty result.
+    With exact, terms are counted and looked up one by one, else in hash classes. docs needs doc_id and text; a null
+    text is empty. Texts without terms in the band have a fingerprint of dashes and are alike. Repeated rows are
+    documents of their own. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"))
-    bits = lexicon(rows)
-    rows = followed(rows.withColumn("own", hashes(F.col("text"), bits)))
-    third = F.floor(F.char_length("text") / 3).cast("int")
-    edited = F.concat(
-        F.substr("text", F.lit(1), F.char_length("text") - third), F.substr("next.text", F.lit(1), third)
-    )
-    rows = rows.withColumn("edited", edited).withColumn("other", hashes(F.col("edited"), bits))
+    if exact:
+        rows = _exactly(rows)
+    else:
+        bits = lexicon(rows)
+        rows = followed(rows.withColumn("own", hashes(F.col("text"), bits))).withColumn("edited", _edited())
+        rows = rows.withColumn("other", hashes(F.col("edited"), bits))
+        rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("edited_sha256", F.sha2("edited", 256))
     return rows.select(
         "doc_id",
-        F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        "n_chars",
+        "edited_sha256",
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),

@@ -219,7 +219,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"), exact=True)
 
 
 @registered()
