@@ -427,6 +427,18 @@ def test_matrix_is_uniform():
     assert large.sum() == 4000 and abs(large - 100).max() < 60
 
 
+def test_shards_carry_whole_rows(spark, tiny):
+    docs = tiny.withColumn("extra", F.array(F.col("source"), F.lit("e")))
+    rows = sharding.exchanged(docs).collect()
+    assert sorted(map(repr, (r["row"] for r in rows))) == sorted(map(repr, docs.collect()))
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(TINY)
+    many = spark.range(500).select(F.lit(1).alias("doc_id"), F.lit("t").alias("text"), F.col("id").alias("other"))
+    found = [{(r["row"]["other"], r["shard"], r["slot"]) for r in sharding.exchanged(d, 4, block_rows=64).collect()} for d in (many, many.repartition(3))]
+    assert found[0] == found[1] and {x[0] for x in found[0]} == set(range(500))
+    alike = sharding.exchanged(many.drop("other"), 4, block_rows=64).groupBy("shard").agg(F.count_distinct("slot").alias("n"), F.max("slot").alias("top"))
+    assert {(r["n"], r["top"]) for r in alike.collect()} == {(125, 124)}
+
+
 def test_shards_of_unusual_tables(tiny):
     rows = sharding.sharded(tiny).collect()
     assert len(rows) == len(TINY) and len({r["shard"] for r in rows}) == len(TINY)
