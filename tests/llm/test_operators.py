@@ -253,6 +253,22 @@ def test_neighbours_follow_their_seed():
     assert sum(a == b for a, b in zip(kinds, kinds[1:])) >= 36
 
 
+def test_neighbours_fill_the_whole_window():
+    # 150 short documents share a term with the first; the others share none and have smaller numbers
+    other = [np.array([1000 + k, 2000 + k], np.uint32) for k in range(100)]
+    own = [np.array([7, 3000 + k], np.uint32) for k in range(150)]
+    order = packing.order_of([own[0], *other, *own[1:]], list(range(250)), window=400)
+    assert sorted(order[1:150]) == list(range(101, 250))
+
+
+def test_all_terms_of_a_seed_count():
+    # 60 terms that another document has too, and one common term that is the only tie to the last document
+    seed = np.array([*range(60), 500], np.uint32)
+    ids = [seed, np.array([*range(60)], np.uint32), np.array([500, 900], np.uint32), np.array([500, 901], np.uint32)]
+    scores = packing.Index(ids).scores(0)
+    assert scores[1] > 0 and scores[2] > 0 and scores[3] > 0
+
+
 def test_scores_are_bm25():
     ids = [np.array(x, np.uint32) for x in ([1, 2, 2, 0], [2, 3, 0], [4, 0], [2, 2, 2, 5, 6, 7, 0])]
     index = packing.Index(ids)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +25,7 @@ from tickloom.llm.common import whole
 WINDOW = 1024
 END_ID = 0
 SHARD_DOCS, SHARD_BYTES = 2_048, 16 << 20
-#: The rarest terms of a seed that its query has, and BM25's usual constants.
-QUERY_TERMS = 48
+#: BM25's usual constants.
 SATURATION, LENGTH_WEIGHT = 1.2, 0.75
 
 
@@ -95,10 +94,9 @@ class Index:
         self.size = len(ids)
 
     def scores(self, doc: int) -> np.ndarray:
-        """The BM25 score of every document for the rarest terms of one that others have too."""
+        """The BM25 score of every document for all terms of one that others have too."""
         place = np.searchsorted(self.kinds, self.terms[doc])
         place = place[self.df[place] > 1]
-        place = place[np.argsort(self.df[place], kind="stable")[:QUERY_TERMS]]
         if not len(place):
             return np.zeros(self.size)
         begin, length = self.first[place], self.df[place]
@@ -106,6 +104,16 @@ class Index:
         return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.size)
 
 
+def _ranked(score: np.ndarray) -> Iterator[int]:
+    """All documents of a positive score, best first, equal ones by number; few are sorted at a time."""
+    near, some = np.flatnonzero(score > 0), 64
+    while len(near):
+        least = np.partition(score[near], -some)[-some] if len(near) > some else 0.0
+        first = near[score[near] >= least]
+        yield from first[np.lexsort((first, -score[first]))].tolist()
+        near, some = near[score[near] < least], 4 * some
+
+
 def order_of(ids: list[np.ndarray], names: list[int | None], window: int = WINDOW) -> list[int]:
     """The order in which a shard's documents follow each other."""
     index = Index(ids)
@@ -126,9 +134,7 @@ def order_of(ids: list[np.ndarray], names: list[int | None], window: int = WINDO
         if not room:
             continue
         score = index.scores(seed) * (free & (names != names[seed]))
-        near = np.argpartition(-score, min(64, len(score) - 1))[:64]
-        near = near[score[near] > 0]
-        for doc in near[np.lexsort((near, -score[near]))].tolist():
+        for doc in _ranked(score):
             free[doc] = False
             order.append(doc)
             upto += len(ids[doc])
@@ -136,7 +142,7 @@ def order_of(ids: list[np.ndarray], names: list[int | None], window: int = WINDO
             if room <= 0:
                 break
         else:
-            # too few neighbours: the next unused document goes on
+            # no neighbour is left: the next unused document goes on
             while unseen < len(ids) and not free[unseen]:
                 unseen += 1
             if unseen < len(ids):
