@@ -30,7 +30,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_all_are_registered():
     assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert queries()["pipeline"] is corpus_pipeline.run
 
 
@@ -40,7 +40,7 @@ def test_native_operators_run_no_python(spark, name):
     assert not re.search("Python|Pandas|InArrow|CartesianProduct|NestedLoop", plan)
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op5_quality_classifier", "op7_packing", "op9_sharding"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op5_quality_classifier", "op7_packing", "op9_sharding", "op11_token_files"])
 def test_queries_cover_all_documents(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = QUERIES[name](spark, SF_DIR)

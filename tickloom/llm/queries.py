@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, fingerprints, mixing, ngram_join, packing, paragraphs, quality, rules, sharding, urls
+from tickloom.llm import (
+    chat, filter_audit, fingerprints, mixing, negatives, ngram_join, packing, paragraphs, quality, rules, sharding, token_files, urls,
+)
 from tickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,3 +232,78 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = token_files.write_tokens(table(spark, sf_dir, "documents"))
+    return token_files.digests(token_files.read_tokens(spark, shards))
+
+
+@registered(
+    f"""
+    WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {SQL_WORDS.format("text")} AS w FROM documents),
+    s AS (SELECT t, min(doc_id) AS least FROM t GROUP BY t),
+    m AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+    d AS (
+      SELECT part, coalesce(good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+        CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * (len(t) - len(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * len(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS fails
+      FROM t JOIN s USING (t) LEFT JOIN m USING (doc_id)),
+    g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    o AS (
+      SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    p AS (
+      SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+        list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS passed
+      FROM o, range(1, 6) r(step)),
+    q AS (SELECT filter_order, step, bit, coalesce(passed, 0)::INT AS passed FROM p),
+    r AS (
+      SELECT part, filter_order, step, bit,
+        sum(CASE WHEN fails & (passed | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN fails & passed = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN fails & passed > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN fails & passed = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN fails & passed = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM g, q GROUP BY ALL)
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+      unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+      (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM r
+    """
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered(
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+        list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+      FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+      FROM s WHERE label = anchor_label),
+    n AS (
+      SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE r <= 5 AND label <> anchor_label AND 80 * positive_score <= 100 * score AND score <= positive_score)
+    SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
