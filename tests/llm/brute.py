@@ -46,32 +46,6 @@ def components(sets):
     return {k: find(k) for k in keys}
 
 
-def paragraphs(text, least):
-    """{first line: text} of the paragraphs of a text."""
-    found, few = {}, []
-
-    def close():
-        groups, group = [], []
-        for item in few:
-            group.append(item)
-            if sum(len(words(line)) for _, line in group) >= least:
-                groups.append(group)
-                group = []
-        if groups:
-            groups[-1] += group
-        found.update({g[0][0]: "\n".join(line for _, line in g) for g in groups})
-        few.clear()
-
-    for i, line in enumerate((text or "").split("\n")):
-        if len(words(line)) >= least:
-            close()
-            found[i] = line
-        else:
-            few.append((i, line))
-    close()
-    return found
-
-
 def figures(text):
     text = text or ""
     own = words(text)

@@ -1,34 +1,45 @@
-"""Substring dedup: paragraphs that repeat, exactly or nearly, across or inside documents.
-
-A paragraph is a line of at least ``MIN_WORDS`` words, or as many short lines in a row as reach that number (what is
-left before the next long line or the end belongs to the last of them). Paragraphs are compared on their five-word
-shingles:
-
-1. equal shingle sets are one class, so copies are counted once;
-2. each class has MinHash values, and the bands they are cut into are tuned for a wanted recall at the threshold;
-3. classes that share bands form clusters, and inside a cluster the exact Jaccard similarity decides;
-4. of each connected component of similar paragraphs the first (by doc_id, then place) stays, the others go.
+"""Substring dedup: passages that repeat, exactly or nearly, across or inside documents.
+
+Paragraphs are cut by content, so that equal passages fall into equal paragraphs whatever stands around them, line breaks
+included: one begins at each word whose hash (with the next word's) is the least among ``RADIUS`` words on both sides, about
+every 13 words. Line breaks are white space like any other.
+
+1. Each paragraph has MinHash values of its five-word shingles, in bands tuned for a wanted recall at the threshold.
+2. Paragraphs that share a band are joined, the exact Jaccard similarity decides, and components of like paragraphs
+   are found. Of each component the first (by doc_id, then place) stays.
+3. Others that follow each other as their first ones do are a run. At both ends it is compared word by word with what
+   stands around the paragraphs that stay, so that it grows to the whole shared passage.
+4. Runs that few words separate, here and there, are one passage if it is at least ``SIMILARITY`` alike by its
+   shingles. Passages of at least ``MIN_WORDS`` words are found, at their code points.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
 from tickloom.llm.components import apart, comparisons, connected, key_links, verified_links
-from tickloom.llm.shingles import mix, pieces, shingle_sets, signature
+from tickloom.llm.shingles import WIDTH, chunks, mix, pieces, shingle_rows, words_at
 
 MIN_WORDS = 50
 SIMILARITY = 0.8
+RADIUS = 6
+#: Words between two runs of one passage, at most.
+GAP = 2 * RADIUS + WIDTH
 #: MinHash values in a band, and the wanted chance that a pair at the threshold shares a band.
-BAND_ROWS = 4
-RECALL = 0.9999
+BAND_ROWS = 1
+RECALL = 0.99
+_MOST = np.iinfo(np.uint64).max
+_PAIR = np.array([0xD6E8FEB86659FD93, 0xA5A35625D6A1D7A7], np.uint64)
+_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def bands_for(recall: float = RECALL, similarity: float = SIMILARITY, rows: int = BAND_ROWS) -> int:
@@ -37,187 +48,350 @@ def bands_for(recall: float = RECALL, similarity: float = SIMILARITY, rows: int
 
 
 BANDS = bands_for()
-_FACTORS = np.random.default_rng(11).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ROWS = mix(np.arange(BAND_ROWS, dtype=np.uint64), 6) | np.uint64(1)
-
-
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """One key per band of a set's MinHash values."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(own), 4096):
-        least = np.minimum(least, (own[i : i + 4096, None] * _FACTORS).min(axis=0))
-    sums = (mix(least).reshape(BANDS, BAND_ROWS) * _ROWS).sum(axis=1)
-    return mix(sums + np.arange(BANDS, dtype=np.uint64), 7)
 
 
 def exact_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Index pairs with a Jaccard similarity of the threshold or more that connect all such pairs: a pair inside one
-    component is not compared again."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    size = np.array([len(sets[i]) for i in order])
-    component = np.arange(len(order))
+    """Index pairs with a Jaccard similarity of the threshold or more that connect all such pairs.
+
+    In an order of all elements, rare ones first, two such sets share one of their first fifth; only sets that do are
+    compared, and a pair inside one component is not compared again."""
+    size = np.array([len(x) for x in sets])
+    kinds, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((kinds, often))
+    rank = np.empty(len(kinds), np.int64)
+    rank[order] = np.arange(len(kinds))
+    ranks = np.split(rank[place], np.cumsum(size)[:-1])
+    seen: dict[int, list[int]] = defaultdict(list)
+    component = list(range(len(sets)))
+    members = {i: [i] for i in component}
     found = []
-    for i in range(len(order)):
-        own = sets[order[i]]
-        late = i + 1 + np.flatnonzero((size[i + 1 :] * 4 <= size[i] * 5) & (component[i + 1 :] != component[i]))
-        for j in late.tolist():
-            if component[j] != component[i]:
-                other = sets[order[j]]
-                at = np.searchsorted(own, other)
-                both = int((own[np.minimum(at, len(own) - 1)] == other).sum())
-                if 9 * both >= 4 * (len(own) + len(other)):
-                    found.append((order[i], order[j]))
-                    component[component == component[j]] = component[i]
-    return found
-
-
-def _passages(text: str | None, min_words: int) -> list[tuple[int, int, int, str]]:
-    """(first line, number of lines, first code point, text) of every paragraph of a text."""
-    found, few, start = [], [], 0
-    lines = (text or "").split("\n")
-
-    def close() -> None:
-        """The short lines collected so far become paragraphs."""
-        open_, total = [], 0
-        own = []
-        for item in few:
-            open_.append(item)
-            total += item[3]
-            if total >= min_words:
-                own.append(open_)
-                open_, total = [], 0
-        if own:
-            own[-1].extend(open_)
-        found.extend((x[0][0], len(x), x[0][1], "\n".join(line for _, _, line, _ in x)) for x in own)
-        few.clear()
-
-    for number, line in enumerate(lines):
-        words = len(line.encode("utf-8", "replace").split())
-        if words >= min_words:
-            close()
-            found.append((number, 1, start, line))
-        else:
-            few.append((number, start, line, words))
-        start += len(line) + 1
-    close()
+    for i in np.argsort(size, kind="stable").tolist():
+        own = np.sort(ranks[i])
+        first = own[: len(own) - (4 * len(own) + 4) // 5 + 1].tolist()
+        for j in dict.fromkeys(j for x in first for j in seen[x]):
+            if component[j] == component[i] or 5 * size[j] < 4 * size[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 9 * both >= 4 * (size[i] + size[j]):
+                found.append((i, j))
+                few, many = sorted((component[i], component[j]), key=lambda c: len(members[c]))
+                for k in members[few]:
+                    component[k] = many
+                members[many] += members.pop(few)
+        for x in first:
+            seen[x].append(i)
     return found
 
 
-def _paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
-    """A row for each paragraph: where it is, its set's signature and size, and its band keys."""
+class Paragraphs:
+    """The paragraphs of a chunk of texts, as arrays: text, number, word (place of its first), words, start and length (code
+    points), name (a hash of its words in order) and first (place of its first word in the chunk)."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.hashes, places, first, length = words_at(data, offsets)
+        n = len(self.hashes)
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(places))
+        upto = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+        #: Code points of each word's begin and end in its text.
+        self.begin, self.end = upto[first] - upto[offsets[owner]], upto[first + length] - upto[offsets[owner]]
+        self.first = self._borders(places, owner) if n else np.zeros(0, np.int64)
+        self.words = np.diff(np.append(self.first, n))
+        self.text = owner[self.first]
+        #: Numbers of the first paragraph of each text.
+        self.opening = np.searchsorted(self.first, places)
+        self.number = np.arange(len(self.first)) - self.opening[self.text]
+        self.word = self.first - places[self.text]
+        self.start = self.begin[self.first]
+        self.length = self.end[self.first + self.words - 1] - self.start
+        inside = np.arange(n) - np.repeat(self.first, self.words)
+        power = np.cumprod(np.full(int(self.words.max(initial=1)), _BASE, np.uint64))
+        sums = np.add.reduceat(self.hashes * power[inside], self.first) if n else np.zeros(0, np.uint64)
+        self.name = mix(sums + self.words.astype(np.uint64) * _PAIR[0], 3)
+        self.shingles = np.append(shingle_rows(self.hashes), np.zeros(min(n, WIDTH - 1), np.uint64))
+        self.whole = inside + WIDTH <= np.repeat(self.words, self.words)
+
+    def _borders(self, places: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The words that begin a paragraph, and the first of each text."""
+        after = np.append(self.hashes[1:], np.uint64(0))
+        opening = np.unique(places[:-1][np.diff(places) > 0])
+        after[np.append(opening[1:], len(after)) - 1] = 0
+        pairs = mix(self.hashes * _PAIR[0] + after * _PAIR[1], 4) >> np.uint64(1)
+        # texts stand apart, so that no word is compared with those of another text
+        at = np.arange(len(pairs)) + RADIUS * (owner + 1)
+        wide = np.full(int(at[-1]) + 1 + RADIUS, _MOST, np.uint64)
+        wide[at] = pairs
+        before, behind = np.full_like(wide, _MOST), np.full_like(wide, _MOST)
+        for k in range(1, RADIUS + 1):
+            np.minimum(before[k:], wide[:-k], out=before[k:])
+            np.minimum(behind[:-k], wide[k:], out=behind[:-k])
+        least = (wide < before) & (wide <= behind)
+        return np.union1d(np.flatnonzero(least[at]), opening)
+
+    def bands(self) -> np.ndarray:
+        """(paragraphs, bands) keys; a paragraph of fewer than five words has its name for a shingle."""
+        found = np.empty((len(self.first), BANDS), np.uint64)
+        short = self.words < WIDTH
+        for band in range(BANDS):
+            key = np.zeros(len(self.first), np.uint64)
+            for row in range(BAND_ROWS):
+                salt = 16 + band * BAND_ROWS + row
+                values = np.where(self.whole, mix(self.shingles, salt), _MOST)
+                least = np.minimum.reduceat(values, self.first) if len(values) else key
+                key = mix(key + np.where(short, mix(self.name, salt), least), 5)
+            found[:, band] = mix(key, 8 + band)
+        return found
+
+    def set(self, k: int) -> np.ndarray:
+        """The shingles of the k-th paragraph of the chunk."""
+        if self.words[k] < WIDTH:
+            return self.name[k : k + 1]
+        return np.unique(self.shingles[self.first[k] : self.first[k] + self.words[k] - WIDTH + 1])
+
+    def around(self, k: int, right: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and code points of the words next to the k-th paragraph of the chunk, nearest first, to the end of the
+        next but one."""
+        text = self.text[k]
+        if right:
+            low = self.first[k] + self.words[k]
+            last = min(k + 2, int(self.opening[text + 1]) - 1)
+            high = self.first[last] + self.words[last]
+            return self.hashes[low:high], self.end[low:high]
+        low, high = self.first[max(k - 2, int(self.opening[text]))], self.first[k]
+        return self.hashes[low:high][::-1], self.begin[low:high][::-1]
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text) and text; a text is named by the first two."""
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.withColumn("mark", F.xxhash64("text")).select("doc_id", "mark", "text")
+
+
+def _paragraphs(texts: DataFrame) -> DataFrame:
+    """A row for each paragraph: where it is, its name, and its band keys."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            found, lines = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for number, count, start, passage in _passages(text.as_py(), min_words):
-                    found.append((doc, number, count, start, len(passage)))
-                    lines.append(passage)
-            if not found:
-                continue
-            sets = [(len(own), *signature(own), band_keys(own)) for _, own in shingle_sets(pa.array(lines, pa.string()))]
-            columns = [pa.array(x, pa.int64()) for x in zip(*found)] + [pa.array([s[k] for s in sets], pa.int64()) for k in range(3)]
-            columns.append(pa.array([s[3].view(np.int64) for s in sets], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names="doc_id paragraph lines start length n one two bands".split())
-
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        rows, "doc_id long, paragraph long, lines long, start long, length long, n long, one long, two long, bands array<long>"
+            for base, data, offsets in chunks(batch.column(2)):
+                own = Paragraphs(data, offsets)
+                at = pa.array(base + own.text)
+                ints = [pa.array(x.astype(np.int32)) for x in (own.number, own.word, own.words, own.start, own.length)]
+                keys = pa.FixedSizeListArray.from_arrays(pa.array(own.bands().view(np.int64).ravel()), BANDS)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), *ints, pa.array(own.name.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, keys.cast(pa.list_(pa.int64()))], names="doc_id mark paragraph word words start length name bands".split()
+                )
+
+    return texts.mapInArrow(
+        rows, "doc_id long, mark long, paragraph int, word int, words int, start int, length int, name long, bands array<long>"
     )
 
 
-def _elements(docs: DataFrame, members: DataFrame, min_words: int) -> DataFrame:
-    """The members' shingle sets, from the paragraph that stands for each class."""
+def _asked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """mark, text and asked (a list) of the texts that wanted (doc_id, mark and other columns) has rows of; a list has rows
+    of one text only. Equal rows of a text are asked once."""
+    names = [c for c in wanted.columns if c not in ("doc_id", "mark")]
+    wanted = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*names)).alias("asked"))
+    wanted = materialise(wanted, "asked")
+    keys = ["doc_id", "mark"]
+    found = apart(texts, wanted.select(*keys), keys)[0].join(wanted, keys)
+    return found.dropDuplicates(keys).select("doc_id", "mark", "text", "asked")
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            found = [
-                (doc, number, passage)
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                for number, _, _, passage in _passages(text.as_py(), min_words)
-            ]
-            if found:
-                kinds = (pa.int64(), pa.int64(), pa.string())
-                columns = [pa.array(x, kind) for x, kind in zip(zip(*found), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "paragraph", "line"])
+
+def _elements(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The members' shingle sets, from the paragraph that stands for each name."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            node, two = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-            kept, elements = [], []
-            for i, own in shingle_sets(batch.column(5)):
-                if signature(own) == (node[i], two[i]):
-                    kept.append(i)
-                    elements.append(own.tobytes())
-            few = batch.take(pa.array(kept, pa.int64()))
-            columns = [few.column(k) for k in range(4)] + [pa.array(elements, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["cluster", "i", "j", "node", "elements"])
-
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    texts = texts.mapInArrow(lines, "doc_id long, paragraph long, line string")
-    keys = ["doc_id", "paragraph"]
-    texts = apart(texts, members.select(*keys), keys)[0].join(members, keys)
-    return texts.select("cluster", "i", "j", "node", "two", "line").mapInArrow(
-        sets, "cluster long, i int, j int, node long, elements binary"
+            asked = batch.column(3)
+            for base, data, offsets in chunks(batch.column(2)):
+                own, found = Paragraphs(data, offsets), []
+                for text in range(len(offsets) - 1):
+                    for row in asked[base + text].as_py():
+                        elements = own.set(int(own.opening[text]) + row["paragraph"])
+                        found.append((row["cluster"], row["i"], row["j"], row["node"], elements.tobytes()))
+                if found:
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+                    columns = [pa.array(x, kind) for x, kind in zip(zip(*found), kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["cluster", "i", "j", "node", "elements"])
+
+    return _asked(texts, members.drop("n")).mapInArrow(sets, "cluster long, i int, j int, node long, elements binary")
+
+
+def _contexts(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """For each of ends (doc_id, mark, paragraph, right) the words around it: hashes and code points, nearest first."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            asked = batch.column(3)
+            for base, data, offsets in chunks(batch.column(2)):
+                own, found = Paragraphs(data, offsets), []
+                for text in range(len(offsets) - 1):
+                    place = base + text
+                    name = (batch.column(0)[place].as_py(), batch.column(1)[place].as_py())
+                    for row in asked[place].as_py():
+                        hashes, points = own.around(int(own.opening[text]) + row["paragraph"], row["right"])
+                        found.append((*name, row["paragraph"], row["right"], hashes.view(np.int64), points.astype(np.int32)))
+                if found:
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+                    columns = [pa.array(x, kind) for x, kind in zip(map(list, zip(*found)), kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, names="doc_id mark paragraph right hashes points".split())
+
+    return _asked(texts, ends).mapInArrow(
+        words, "doc_id long, mark long, paragraph int, right boolean, hashes array<long>, points array<int>"
+    )
+
+
+def _repeated(texts: DataFrame) -> DataFrame:
+    """The paragraphs that are not the first of their component, with that first one (head)."""
+    rows = materialise(_paragraphs(texts), "paragraphs")
+    clusters = connected(key_links(rows.select(F.explode("bands").alias("key"), F.col("name").alias("node"))))
+    clusters = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster"))
+    few = apart(rows, clusters.select("name"), ["name"])[0].join(clusters, "name")
+    place = F.struct("doc_id", "mark", "paragraph")
+    classes = few.groupBy(F.col("name").alias("node")).agg(
+        F.min(place).alias("first"), F.first("words").cast("long").alias("n"), F.first("cluster").alias("cluster")
     )
+    members = materialise(comparisons(classes.select("first.*", "node", "n", "cluster")), "members")
+    roots = connected(verified_links(_elements(texts, members), exact_links)).select(F.col("node").alias("name"), "root")
+
+    rows = rows.drop("bands")
+    maybe, alone = apart(rows, roots.select("name"), ["name"])
+    maybe = maybe.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    rooted = maybe.unionByName(alone.withColumn("root", F.col("name")))
+    several = materialise(rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "several")
+    several_rows = apart(rooted, several, ["root"])[0].join(several, "root", "left_semi")
+    several_rows = materialise(several_rows, "repeated")
+    heads = several_rows.groupBy("root").agg(F.min(F.struct("doc_id", "mark", "paragraph", "word", "words", "start", "length")).alias("head"))
+    found = several_rows.join(heads, "root")
+    return found.where(F.struct("doc_id", "mark", "paragraph") != F.struct("head.doc_id", "head.mark", "head.paragraph"))
+
+
+def _runs(texts: DataFrame) -> DataFrame:
+    """Repeated paragraphs in a row, grown to both sides. Words and code points of the run (low, high, start, stop) and of its
+    ends where they stay (one and two, with their words and code points)."""
+    repeated = _repeated(texts)
+    in_text = W.partitionBy("doc_id", "mark").orderBy("paragraph")
+    place = lambda head: F.struct(f"{head}doc_id", f"{head}mark", F.col(f"{head}paragraph") - F.col("paragraph"))
+    follows = (F.lag("paragraph").over(in_text) == F.col("paragraph") - 1) & (F.lag(place("head.")).over(in_text) == place("head."))
+    runs = repeated.withColumn("begins", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
+    runs = runs.withColumn("island", F.sum("begins").over(in_text)).groupBy("doc_id", "mark", "island").agg(
+        F.min("paragraph").alias("opening"), F.max("paragraph").alias("closing"),
+        F.min("word").alias("low"), F.max(F.col("word") + F.col("words")).alias("high"),
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("stop"),
+        F.min_by("head", "paragraph").alias("one"), F.max_by("head", "paragraph").alias("two"),
+    )
+    runs = materialise(runs, "runs")
+    ends = [("opening", "one", False), ("closing", "two", True)]
+    asked = None
+    for own, head, right in ends:
+        for row in (runs.select("doc_id", "mark", F.col(own).alias("paragraph")), runs.select(f"{head}.doc_id", f"{head}.mark", f"{head}.paragraph")):
+            row = row.withColumn("right", F.lit(right))
+            asked = row if asked is None else asked.unionByName(row)
+    contexts = materialise(_contexts(texts, asked.distinct()), "contexts")
+    for own, head, right in ends:
+        words = contexts.where(F.col("right") == right)
+        here = words.select("doc_id", "mark", F.col("paragraph").alias(own), F.col("hashes").alias("here"), F.col("points").alias("at"))
+        there = words.select(
+            F.struct("doc_id", "mark", "paragraph").alias("key"), F.col("hashes").alias("there"), F.col("points").alias("at_there")
+        )
+        key = F.struct(f"{head}.doc_id", f"{head}.mark", f"{head}.paragraph")
+        runs = runs.join(here, ["doc_id", "mark", own]).withColumn("key", key).join(there, "key").drop("key")
+        equal = F.zip_with("here", "there", lambda a, b: a.eqNullSafe(b))
+        runs = runs.withColumn("equal", equal)
+        runs = runs.withColumn("grown", F.coalesce(F.nullif(F.array_position("equal", F.lit(False)), F.lit(0)) - 1, F.size("equal")).cast("int"))
+        last = lambda points, otherwise: F.coalesce(F.get(points, F.col("grown") - 1), otherwise)
+        if right:
+            runs = runs.withColumn("high", F.col("high") + F.col("grown")).withColumn("stop", last("at", F.col("stop")))
+            runs = runs.withColumn("kept_high", F.col("two.word") + F.col("two.words") + F.col("grown"))
+            runs = runs.withColumn("kept_stop", last("at_there", F.col("two.start") + F.col("two.length")))
+        else:
+            runs = runs.withColumn("low", F.col("low") - F.col("grown")).withColumn("start", last("at", F.col("start")))
+            runs = runs.withColumn("kept_low", F.col("one.word") - F.col("grown")).withColumn("kept_start", last("at_there", F.col("one.start")))
+        runs = runs.drop("here", "there", "at", "at_there", "equal", "grown")
+    return runs
 
 
 def duplicate_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each paragraph of at least min_words words that has a like one: doc_id, paragraph (number of its first
-    line), lines, start and length (code points), kept_doc_id and kept_paragraph (the first of its component), removed.
+    """A row for each passage of at least min_words words that an earlier place has too, and for that place: doc_id, text_hash (xxhash64 of
+    the text), start and length (code points), words, kept_doc_id, kept_start and kept_length (of the earlier place; the last two null
+    where parts of the passage come from different texts), removed (false for the earlier place itself, whose words are not counted).
 
-    docs needs doc_id and text. Null and empty texts have no paragraphs; rows without a doc_id are left alone. Rows
-    that share a doc_id are one document: a paragraph at the same place in them is the same paragraph. An empty table
-    gives an empty result.
+    docs needs doc_id and text. Null and empty texts have no passages; rows without a doc_id are left alone. Equal rows
+    are one text; rows that share a doc_id with different texts are different texts. An empty table gives an empty result.
     """
-    docs = docs.select("doc_id", "text")
-    rows = materialise(_paragraphs(docs, min_words), "paragraphs")
-    classes = rows.groupBy("one", "two").agg(
-        F.min(F.struct("doc_id", "paragraph")).alias("first"),
-        F.first("n").alias("n"),
-        F.first("bands").alias("bands"),
-        F.max(F.struct("doc_id", "paragraph")).alias("last"),
+    runs = _runs(_texts(docs))
+    in_text = W.partitionBy("doc_id", "mark").orderBy("low", "high")
+    before = lambda c: F.lag(c).over(in_text)
+    here, there = F.col("low") - before("high"), F.col("kept_low") - before("kept_high")
+    near = (before("two.doc_id") == F.col("one.doc_id")) & (before("two.mark") == F.col("one.mark")) & here.between(0, GAP) & there.between(0, GAP)
+    runs = runs.withColumn("near", F.coalesce(near, F.lit(False)))
+    runs = runs.withColumn("chain", F.sum(F.when(F.col("near"), 0).otherwise(1)).over(in_text))
+    runs = materialise(runs, "grown")
+    chains = runs.groupBy("doc_id", "mark", "chain").agg(
+        F.count("*").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("start").alias("start"), F.max("stop").alias("stop"),
+        F.min("kept_low").alias("kept_low"), F.max("kept_high").alias("kept_high"),
+        F.min_by("kept_start", "low").alias("kept_start"), F.max_by("kept_stop", "low").alias("kept_stop"),
+        F.min_by("one", "low").alias("one"), F.max_by("two", "low").alias("two"),
+        F.sum(F.greatest(F.col("high") - F.col("low") - (WIDTH - 1), F.lit(0))).alias("both"),
     )
-    classes = materialise(classes, "classes")
-    clusters = connected(key_links(classes.select(F.explode("bands").alias("key"), F.col("one").alias("node"))))
-    clusters = clusters.select(F.col("node").alias("one"), F.col("root").alias("cluster"))
-    members = comparisons(classes.join(clusters, "one").select("first.*", F.col("one").alias("node"), "two", "n", "cluster"))
-    members = materialise(members, "members")
-    roots = connected(verified_links(_elements(docs, members, min_words), exact_links))
-    rooted = classes.join(roots.withColumnRenamed("node", "one"), "one", "left").select(
-        "one", "two", "first", "last", F.coalesce("root", "one").alias("root")
+    # the shingles inside the runs are common to both passages
+    sizes = F.col("high") - F.col("low") + F.col("kept_high") - F.col("kept_low") - 2 * (WIDTH - 1)
+    alike = (F.col("n") == 1) | (9 * F.col("both") >= 4 * sizes)
+    whole_ = chains.where(alike)
+    parts = runs.join(chains.where(~alike).select("doc_id", "mark", "chain"), ["doc_id", "mark", "chain"], "left_semi")
+    columns = ["doc_id", "mark", "low", "high", "start", "stop", "kept_start", "kept_stop", "one", "two"]
+    found = whole_.select(*columns).unionByName(parts.select(*columns)).where(F.col("high") - F.col("low") >= min_words)
+    one_text = (F.col("one.doc_id") == F.col("two.doc_id")) & (F.col("one.mark") == F.col("two.mark")) & (F.col("kept_stop") > F.col("kept_start"))
+    found = materialise(found.withColumn("one_text", one_text), "passages")
+    gone = found.select(
+        "doc_id", F.col("mark").alias("text_hash"), "start", (F.col("stop") - F.col("start")).alias("length"),
+        (F.col("high") - F.col("low")).alias("words"), F.col("one.doc_id").alias("kept_doc_id"),
+        F.when(F.col("one_text"), F.col("kept_start")).alias("kept_start"),
+        F.when(F.col("one_text"), F.col("kept_stop") - F.col("kept_start")).alias("kept_length"), F.lit(True).alias("removed"),
     )
-    heads = rooted.groupBy("root").agg(F.min("first").alias("head"), F.max("last").alias("tail")).where("head <> tail")
-    named = rooted.join(heads, "root").select("one", "two", "head")
-    return rows.join(named, ["one", "two"]).select(
-        "doc_id",
-        "paragraph",
-        "lines",
-        "start",
-        "length",
-        F.col("head.doc_id").alias("kept_doc_id"),
-        F.col("head.paragraph").alias("kept_paragraph"),
-        (F.struct("doc_id", "paragraph") != F.col("head")).alias("removed"),
+    stays = found.where("one_text").select(
+        F.col("one.doc_id").alias("doc_id"), F.col("one.mark").alias("text_hash"), F.col("kept_start").alias("start"),
+        (F.col("kept_stop") - F.col("kept_start")).alias("length"), F.lit(None).cast("int").alias("words"),
+        F.col("one.doc_id").alias("kept_doc_id"), "kept_start", (F.col("kept_stop") - F.col("kept_start")).alias("kept_length"),
+        F.lit(False).alias("removed"),
     )
+    return gone.unionByName(stays.distinct())
+
+
+def cut(text: str, ranges: list[tuple[int, int]]) -> str:
+    """text without the code points of the ranges (start, length), which may overlap."""
+    left, upto = [], 0
+    for start, length in sorted(ranges):
+        left.append(text[upto : max(start, upto)])
+        upto = max(upto, start + length)
+    return "".join([*left, text[upto:]])
 
 
 def without_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """docs, all columns, without the removed paragraphs; a document that has no word left goes.
+    """docs, all columns, without the removed passages; a document that has no word left goes.
 
-    n_chars, where there is such a column, counts the new text. A document without removed paragraphs is unchanged,
-    also one with a null or empty text.
+    n_chars, where there is such a column, counts the new text. A text without removed passages is unchanged, also a
+    null or empty one.
     """
-    gone = duplicates.where("removed").select(
-        F.col("doc_id").alias("__doc_id"), F.explode(F.expr("sequence(paragraph, paragraph + lines - 1)")).alias("line")
-    )
-    gone = materialise(gone.groupBy("__doc_id").agg(F.collect_set("line").alias("__gone")), "gone")
-    maybe, unchanged = apart(docs.withColumn("__doc_id", F.col("doc_id").cast("long")), gone.select("__doc_id"), ["__doc_id"])
-    joined = maybe.join(gone, "__doc_id", "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__gone", i.cast("long")))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    result = joined.withColumn("text", text).where(r"__gone is null or text rlike '[^\\x20\\x09-\\x0D]'")
+    gone = duplicates.where("removed").groupBy("doc_id", F.col("text_hash").alias("mark"))
+    gone = materialise(gone.agg(F.collect_list(F.struct("start", "length")).alias("ranges")), "gone")
+    keys = ["doc_id", "mark"]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    maybe, unchanged = apart(rows, gone.select(*keys), keys)
+    joined = maybe.join(gone, keys, "left")
+
+    def shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [cut(t, [(r["start"], r["length"]) for r in own]) for t, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "left"])
+
+    changed = joined.where("ranges is not null").select("row", "row.text", "ranges")
+    schema = changed.select("row").schema.add("left", "string")
+    changed = changed.mapInArrow(shorter, schema).where(r"left rlike '[^\\x20\\x09-\\x0D]'")
+    new: dict[str, Column] = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        result = result.withColumn(
-            "n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind))
-        )
-    return unchanged.select(*docs.columns).unionByName(result.select(*docs.columns))
+        new["n_chars"] = F.char_length("left").cast(docs.schema["n_chars"].dataType)
+    names = [(n, F.col("row").getField(n)) for n in docs.columns]
+    changed = changed.select(*[new.get(n, c).alias(n) for n, c in names])
+    same = unchanged.select("row").unionByName(joined.where("ranges is null").select("row"))
+    return same.select(*[c.alias(n) for n, c in names]).unionByName(changed)

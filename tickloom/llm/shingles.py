@@ -56,8 +56,9 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for every word of a chunk, and each text's first place among them (one more entry at the end)."""
+def words_at(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A hash for every word of a chunk, each text's first place among them (one more entry at the end), and every
+    word's first byte and number of bytes."""
     inside = ~_SPACE[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
@@ -66,25 +67,35 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first = np.flatnonzero(start)
     places = np.searchsorted(first, offsets, "left")
     if not len(first):
-        return np.zeros(0, np.uint64), places
+        return np.zeros(0, np.uint64), places, first, first
     at = np.flatnonzero(inside)
     begin = np.searchsorted(at, first)
     length = np.diff(np.append(begin, len(at)))
     place = np.arange(len(at)) - np.repeat(begin, length)
     power = np.cumprod(np.full(int(length.max()), _BASE, np.uint64))
     sums = np.add.reduceat(_BYTE[_LOWER[data[at]]] * power[place], begin)
-    return mix(sums + length.astype(np.uint64) * _PLACE[0]), places
+    return mix(sums + length.astype(np.uint64) * _PLACE[0]), places, first, length
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for every word of a chunk, and each text's first place among them (one more entry at the end)."""
+    return words_at(data, offsets)[:2]
+
+
+def shingle_rows(hashes: np.ndarray) -> np.ndarray:
+    """The hash of the shingle that begins at each word and lies in the chunk."""
+    n = len(hashes) - WIDTH + 1
+    rows = np.full(max(n, 0), _COUNT[WIDTH], np.uint64)
+    for k in range(WIDTH if n > 0 else 0):
+        rows += hashes[k : k + n] * _PLACE[k]
+    return mix(rows)
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(index, sorted distinct shingle hashes) of every text."""
     for base, data, offsets in chunks(texts):
         hashes, places = word_hashes(data, offsets)
-        n = len(hashes) - WIDTH + 1
-        rows = np.full(max(n, 0), _COUNT[WIDTH], np.uint64)
-        for k in range(WIDTH if n > 0 else 0):
-            rows += hashes[k : k + n] * _PLACE[k]
-        rows = mix(rows)
+        rows = shingle_rows(hashes)
         for i in range(len(offsets) - 1):
             low, high = places[i], places[i + 1]
             if high - low >= WIDTH:
