@@ -6,6 +6,7 @@ import zlib
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -29,12 +30,15 @@ def library():
 def test_encoder_gives_the_librarys_ids(library):
     encode = token_files.Encoder(token_files.default_tokenizer())
     rng = random.Random(5)
-    alphabet = "abcXYZ éÉßœ09²'st.,!\x1c\x85\n\t<|>Σλ́字🙂"
+    alphabet = "abcXYZ éÉßœ09²'st.,!;:?\u0301\x1c\x85\n\t<|>Σλ́字🙂"
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(400)]
-    for text in texts:
-        assert [*encode.ids(text or "").tolist(), 1] == library(text), text
+    plain = [t for t in texts if "<|" not in (t or "")]
+    for texts in (texts, plain, plain):
+        for text, own in zip(texts, encode.ids(pa.array([t or "" for t in texts]))):
+            assert [*own.tolist(), 1] == library(text), text
     encode.forget()
-    assert [*encode.ids("don't").tolist(), 1] == library("don't")
+    assert [*encode.ids(pa.array(["", "x", "don't"]).slice(2))[0].tolist(), 1] == library("don't")
+    assert encode.ids(pa.array([], pa.string())) == []
 
 
 @pytest.mark.parametrize("kind", ["random", "one id", "repeats", "single"])

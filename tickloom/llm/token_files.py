@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,22 +37,24 @@ SHARD_IDS = 1 << 20
 #: A pair is frequent if it occurs so often in its shard. A round replaces all pairs that occur at least 1/LEADERS as
 #: often as the most frequent one; the last round is one that shortens the shard by less than 1/GAIN.
 LEAST, LEADERS, GAIN = 4, 16, 64
-#: Words whose ids an encoder remembers at once.
-WORDS = 400_000
+#: Words, and pieces of words, whose ids an encoder remembers at once.
+WORDS = 600_000
+#: Bytes of text that are encoded at once.
+PORTION_BYTES = 4 << 20
 MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4sIQIIB")
 _SLOT_BITS = 17
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.iinfo(np.int32).max
 
-#: Fixed values of Latin-1: letters after lower-casing, numbers, and white space.
+#: Fixed values of Latin-1: letters after lower-casing, numbers, and white space (two of it become blanks).
 _LETTERS = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 _NUMBERS = rb"0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACES = rb"\x09-\x0d\x20\x85\xa0"
 _PRETOKENS = re.compile(
     rb"[" + _LETTERS + rb"]+|[" + _NUMBERS + rb"]|'(?:s|t|re|ve|m|ll|d)|[^" + _SPACES + _LETTERS + _NUMBERS + rb"]+"
 )
-_LOWER = bytes(c + 32 if 65 <= c <= 90 or 192 <= c <= 222 and c != 215 else c for c in range(256))
+_LOWER = bytes(32 if c in (133, 160) else c + 32 if 65 <= c <= 90 or 192 <= c <= 222 and c != 215 else c for c in range(256))
 
 
 def default_tokenizer() -> str:
@@ -63,10 +66,10 @@ def default_tokenizer() -> str:
 class Encoder(dict):
     """Texts to ids of a lower-casing word vocabulary, as the tokenizers library gives them without special tokens added.
 
-    The library splits a text at white space and classes of characters and encodes each piece alone, so the ids of a
-    piece are remembered (by its bytes): those of Latin-1 texts, which its normal form leaves as they are, with
-    their pieces found by one pattern; those between white space of other texts. Texts with a mark of a special token go to the
-    library whole. As a dict it holds the place of each piece among the remembered ones.
+    The library splits a text at white space and then between classes of characters, and encodes each piece alone. So Arrow splits
+    texts into words, also between a letter and a sign, and finds the different ones, and a word's ids are remembered. A word of Latin-1, which the library's normal
+    form leaves as it is, is cut by a pattern into pieces, whose ids are remembered too; a word beyond it, or with a mark of a
+    special token, goes to the library whole. As a dict it holds the place of each word among the remembered ones.
     """
 
     def __init__(self, path: str) -> None:
@@ -86,20 +89,36 @@ class Encoder(dict):
         self.flat, self.used, self.known = np.zeros(4096, np.uint32), 0, 0
         self.new_ids: list[int] = []
         self.new_counts: list[int] = []
+        self.pieces: dict[bytes, list[int]] = {}
 
-    def __missing__(self, piece: bytes) -> int:
-        if piece.isalpha():  # bytes.isalpha is of ASCII letters
-            own = [t.id for t in self.model.tokenize(piece.decode("ascii"))]
-        elif piece[-1] == 0 and piece[0] == 32:  # a piece of UTF-8 between white space, marked so
-            own = self.tokenizer.encode(piece[1:-1].decode("utf-8"), add_special_tokens=False).ids
+    def __missing__(self, word: str) -> int:
+        if word.isascii() and word.isalpha():
+            own = self._piece(word.lower().encode("ascii"))
         else:
-            letters = piece.decode("latin-1").encode("utf-8").decode("latin-1").translate(self.letters)
-            own = [t.id for t in self.model.tokenize(letters)]
+            own = self._word(word)
         self.new_ids.extend(own)
         self.new_counts.append(len(own))
-        place = self[piece] = len(self)
+        place = self[word] = len(self)
         return place
 
+    def _word(self, word: str) -> list[int]:
+        try:
+            raw = word.encode("latin-1").translate(_LOWER)
+        except UnicodeEncodeError:
+            raw = None
+        if raw is None or any(x in word for x in self.special):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return [i for piece in _PRETOKENS.findall(raw) for i in self._piece(piece)]
+
+    def _piece(self, piece: bytes) -> list[int]:
+        own = self.pieces.get(piece)
+        if own is None:
+            text = piece.decode("latin-1")
+            if not piece.isascii() or not piece.isalnum():
+                text = text.encode("utf-8").decode("latin-1").translate(self.letters)
+            own = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
+        return own
+
     def _keep(self) -> None:
         """Moves what ``__missing__`` has added since to the arrays."""
         n, ids = len(self.new_counts), len(self.new_ids)
@@ -114,19 +133,24 @@ class Encoder(dict):
         self.used, self.known = self.used + ids, self.known + n
         self.new_ids, self.new_counts = [], []
 
-    def ids(self, text: str) -> np.ndarray:
-        if any(x in text for x in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        try:
-            pieces = _PRETOKENS.findall(text.encode("latin-1").translate(_LOWER))
-        except UnicodeEncodeError:
-            pieces = [b" " + x + b"\0" for x in text.encode("utf-8").split()]
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array without nulls."""
+        if not any(pa.compute.any(pa.compute.match_substring(texts, x, ignore_case=True)).as_py() for x in self.special):
+            # fewer different words: small letters, and the end of a word apart from the sign that follows
+            texts = pa.compute.replace_substring_regex(pa.compute.ascii_lower(texts), r"([a-z])([.,;:!?])", r"\1 \2")
+        words = pa.compute.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
         if len(self) > WORDS:
             self.forget()
-        place = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        kinds = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.__getitem__, kinds), np.int64, len(kinds))
         if self.new_counts:
             self._keep()
-        return gathered(self.flat, self.first[place], self.count[place])
+        place = place[coded.indices.to_numpy()]
+        count = self.count[place]
+        flat = gathered(self.flat, self.first[place], count)
+        ends = np.append(0, np.cumsum(count))[np.cumsum(words.value_lengths().to_numpy())]
+        return np.split(flat, ends[:-1]) if len(texts) else []
 
 
 def gathered(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -220,7 +244,7 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
 
 
 def expanded(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+    """The ids that symbols stand for, rule by rule."""
     while True:
         deep = symbols >= first
         if not deep.any():
@@ -271,7 +295,17 @@ class Shard:
         self.symbols = whole_.view("<u4").ravel()
 
     def all(self) -> np.ndarray:
-        return expanded(self.symbols, self.rules, self.first)
+        """The ids of all documents: each rule is expanded once and copied to its places."""
+        own = expanded(np.arange(self.first, self.first + len(self.rules), dtype=np.uint32), self.rules, self.first)
+        deep = np.flatnonzero(self.symbols >= self.first)
+        rule = self.symbols[deep] - self.first
+        width = np.ones(len(self.symbols), np.int64)
+        width[deep] = self.lengths[rule]
+        found = np.repeat(self.symbols, width)
+        place = (np.cumsum(width) - width)[deep]
+        inside = gathered(np.arange(len(found)), place, width[deep])
+        found[inside] = gathered(own, (np.cumsum(self.lengths) - self.lengths)[rule], width[deep])
+        return found
 
     def ids(self, number: int, start: int = 0, length: int | None = None) -> np.ndarray:
         """ids start to start + length of a document, all if no length is given; only the symbols that cover them are
@@ -289,6 +323,17 @@ class Shard:
         return expanded(own[low:high], self.rules, self.first)[start - skipped : stop - skipped]
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about so many bytes of text; a longer text is one of its own."""
+    upto = np.cumsum(pa.compute.binary_length(batch.column(1)).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + PORTION_BYTES, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def write_tokens(docs: DataFrame, label: str = "tokens", tokenizer: str | None = None, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Writes the files and returns their table as read back: part and shard (numbers in order), documents, ids (their
     numbers) and content (the shard's bytes).
@@ -314,10 +359,10 @@ def write_tokens(docs: DataFrame, label: str = "tokens", tokenizer: str | None =
                 names=["part", "shard", "documents", "ids", "content"],
             )
 
-        for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for batch in (few for batch in batches for few in _portions(batch)):
+            for name, own in zip(batch.column(0).to_pylist(), encode.ids(batch.column(1))):
                 names.append(name)
-                ids.append(np.append(encode.ids(text.as_py()), np.uint32(END_ID)))
+                ids.append(np.append(own, np.uint32(END_ID)))
                 size += len(ids[-1])
                 if size >= shard_ids:
                     yield close()
