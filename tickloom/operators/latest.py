@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import null_if_nan
+from tickloom.operators.asof import CHUNK_ROWS, running_latest
 
 
 def latest_value(value: str, offset: str = "offset") -> Column:
@@ -45,3 +46,17 @@ def latest_prices(prices: DataFrame, default: float = 0.0) -> DataFrame:
     prices = prices.withColumn("price", null_if_nan(F.col("price")))
     latest = latest_by_offset(prices, ["symbol"], {"price": "last_price", "timestamp": "timestamp"})
     return latest.withColumn("last_price", F.coalesce("last_price", F.lit(default)))
+
+
+def price_changes(prices: DataFrame, default: float = 0.0, *, chunk: int | None = CHUNK_ROWS, carry: DataFrame | None = None) -> DataFrame:
+    """STR-5, SNK-5: for each record of the trades, the row of ``latest_prices`` after it: (offset, symbol, last_price, timestamp).
+
+    ``carry`` is the table (symbol, last_price, timestamp) before these records, null where no price is known; ``default`` fills in only
+    here.
+    """
+    rows = prices.select(
+        F.col("offset"), F.col("symbol"), null_if_nan(F.col("price")).alias("price"), F.col("timestamp").alias("at")
+    )
+    columns = {"price": "last_price", "at": "timestamp"}
+    found = running_latest(rows, "symbol", columns, chunk=chunk, carry=carry)
+    return found.select("offset", "symbol", F.coalesce("last_price", F.lit(default)).alias("last_price"), "timestamp")

@@ -833,3 +833,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.streams.removeListener(listener)
     return spark.range(1).select(F.lit(listener.total).cast("bigint").alias("late"))
+
+
+# The queries about order of arrival register themselves here; they use what is defined above.
+from tickloom.plans import arrival_queries  # noqa: E402, F401
