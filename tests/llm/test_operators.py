@@ -298,10 +298,16 @@ def test_ids_are_those_of_the_tokenizers_library(text):
 # Fingerprints
 
 
-def brute_hashes(text, bits):
+def brute_terms(text):
+    return {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
+
+
+def brute_hashes(text, inside):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    terms = {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
-    kept = sorted((t for t in terms if bits[t >> 52] >> (t >> 46 & 63) & 1), key=signed)
+    terms = brute_terms(text)
+    # the largest part in which six terms or more are left, as far as a quarter and 1/1024 allow
+    first = max([k for k in range(1, fingerprints.LEVELS + 1) if len(terms) >= 6 * 4**k], default=1)
+    kept = sorted(terms & inside, key=signed)
     found = []
     for j in range(fingerprints.CHAINS):
         left = kept
@@ -311,97 +317,61 @@ def brute_hashes(text, bits):
             state = 42
             for t in left:
                 state = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), seed=state)
-            found.append(f"{state >> 32:08x}" if left else "-" * 8)
+            found.append(f"{state >> 32:08x}" if left and level + 1 >= first else "-" * 8)
     return found
 
 
-def test_fingerprints_equal_brute_force(spark, small):
-    docs = [(r["doc_id"], r["text"]) for r in small.select("doc_id", "text").collect()]
-    docs = docs[:150] + [(5000, None), (4000, ""), (-3, "a b"), (2**40, docs[0][1])]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("next", F.lit(1)).withColumn("own", F.lit(2))
-    bits = fingerprints.lexicon(df)
-    counts, total = {}, len(docs)
-    for _, text in docs:
-        for c in {xxhash.xxh64_intdigest(w.encode(), seed=42) >> 46 for w in brute.words(brute.lower(text))}:
-            counts[c] = counts.get(c, 0) + 1
-    inside = {c for c, n in counts.items() if 0.1 <= np.log(total / n) / np.log(total) <= 0.9}
-    assert {c for c in counts if bits[c >> 6] >> (c & 63) & 1} == inside
-    got = {r["doc_id"]: r for r in fingerprints.fingerprinted(df).collect()}
-    order = sorted(docs, key=lambda r: -r[0])
-    for i, (doc, text) in enumerate(order):
-        after = order[(i + 1) % len(order)][1] or ""
-        text = text or ""
-        third = len(text) // 3
-        edited = text[: len(text) - third] + after[:third]
-        own, other, following = (brute_hashes(t, bits) for t in (text, edited, after))
+def brute_near(a, b):
+    same = used = 0
+    for j in range(0, len(a), fingerprints.LEVELS):
+        levels = [(x, y) for x, y in zip(a[j : j + fingerprints.LEVELS], b[j : j + fingerprints.LEVELS]) if x[0] != "-" or y[0] != "-"]
+        if levels:
+            used += 1
+            same += levels[-1][0] == levels[-1][1]
+    return same / used if used else 1.0
 
-        def near(a, b):
-            same = used = 0
-            for j in range(0, len(a), fingerprints.LEVELS):
-                levels = [(x, y) for x, y in zip(a[j : j + fingerprints.LEVELS], b[j : j + fingerprints.LEVELS]) if x[0] != "-" or y[0] != "-"]
-                if levels:
-                    used += 1
-                    same += levels[-1][0] == levels[-1][1]
-            return same / used if used else 1.0
 
-        r = got[doc]
-        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        assert r["fingerprint"] == "".join(own) and r["edited_fingerprint"] == "".join(other)
-        assert r["near_edited"] == pytest.approx(near(own, other)) and r["near_next"] == pytest.approx(near(own, following))
-    assert got[2**40]["fingerprint"] == next(got[d]["fingerprint"] for d, t in docs if t == docs[0][1])
-
-
-def test_exact_fingerprints_count_each_term(spark, small):
+def test_fingerprints_equal_brute_force(spark, small):
     docs = [(r["doc_id"], r["text"]) for r in small.select("doc_id", "text").collect()]
-    docs += [(5000, None), (4000, ""), (-3, "a b"), (2**40, docs[0][1]), (2**40, docs[0][1]), (None, "c d"), (4000, docs[1][1])]
-    # two words of one document each that share a hash class
-    hashed, word = {}, None
-    for k in range(20_000):
-        c = xxhash.xxh64_intdigest(f"rare{k}".encode(), seed=42) >> 46
-        if c in hashed:
-            word = hashed[c], k
-            break
-        hashed[c] = k
-    docs += [(7000 + i, f"rare{k} " + docs[i][1]) for i, k in enumerate(word)]
-    terms = lambda text: {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
+    docs += [(5000, None), (4000, ""), (-3, "a b"), (2**40, docs[0][1]), (2**40, docs[0][1]), (None, "c d"), (None, docs[1][1]), (4000, docs[1][1])]
+    docs += [(2**20 + 5_000 * k, f"w{k} " * 9 + docs[k][1]) for k in range(5)]
     df, total = {}, len(docs)
     for _, text in docs:
-        for t in terms(text):
+        for t in brute_terms(text):
             df[t] = df.get(t, 0) + 1
     inside = {t for t, n in df.items() if 0.1 <= np.log(total / n) / np.log(total) <= 0.9}
-
-    def brute_exact(text):
-        kept = sorted(terms(text) & inside, key=lambda x: x - (1 << 64) if x >> 63 else x)
-        found = []
-        for j in range(fingerprints.CHAINS):
-            left = kept
-            for level in range(fingerprints.LEVELS):
-                want = fingerprints._PATTERNS[j] >> 2 * level & 3
-                left = [t for t in left if t >> (fingerprints.STEP * j + 2 * level) & 3 == want]
-                state = 42
-                for t in left:
-                    state = xxhash.xxh64_intdigest(t.to_bytes(8, "little"), seed=state)
-                found.append(f"{state >> 32:08x}" if left else "-" * 8)
-        return "".join(found)
-
-    rows = fingerprints.fingerprinted(spark.createDataFrame(docs, "doc_id long, text string"), exact=True).collect()
-    assert len(rows) == len(docs)
-    unique = [d for d, _ in docs if d is not None and [x for x, _ in docs].count(d) == 1]
-    order = sorted((d for d in docs if d[0] is not None), key=lambda r: -r[0])
-    got = {r["doc_id"]: r for r in rows}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("next", F.lit(1)).withColumn("own", F.lit(2))
+    rows = fingerprints.fingerprinted(frame).collect()
+    assert len(rows) == len(docs) and max(len(brute_terms(t)) for _, t in docs) > 6 * 64
+    got = {(r["doc_id"], r["n_chars"]): r for r in rows}
+    for doc, text in docs:
+        assert got[doc, len(text or "")]["fingerprint"] == "".join(brute_hashes(text, inside))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    tie = lambda text: signed(xxhash.xxh64_intdigest((text or "").encode(), seed=42))
+    order = sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])), reverse=True)
     for i, (doc, text) in enumerate(order):
-        if doc in unique:
-            assert got[doc]["fingerprint"] == brute_exact(text)
-            after = order[i + 1][0] if i + 1 < len(order) else None
-            if after in unique:
-                text, following = text or "", order[i + 1][1] or ""
-                edited = text[: len(text) - len(text) // 3] + following[: len(text) // 3]
-                assert got[doc]["edited_fingerprint"] == brute_exact(edited)
-                assert got[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-    copies = [r for r in rows if r["doc_id"] == 2**40]
-    assert {r["near_next"] for r in copies} >= {1.0} and {r["fingerprint"] for r in copies} == {brute_exact(docs[0][1])}
-    # a word of one document is outside the band, whatever shares its class
-    assert all(got[7000 + i]["fingerprint"] == got[docs[i][0]]["fingerprint"] for i in range(2))
+        if order.count((doc, text)) > 1:
+            continue
+        after, text = order[(i + 1) % len(order)][1] or "", text or ""
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        own, other, following = (brute_hashes(t, inside) for t in (text, edited, after))
+        r = got[doc, len(text)]
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["edited_fingerprint"] == "".join(other)
+        assert r["near_edited"] == pytest.approx(brute_near(own, other)) and r["near_next"] == pytest.approx(brute_near(own, following))
+    # an edited text is nearer than the next one
+    assert np.mean([r["near_edited"] for r in rows]) > np.mean([r["near_next"] for r in rows]) + 0.2
+
+
+def test_followed_over_many_groups_of_blocks(spark):
+    ids = [k * 1024 * 4096 // 3 + k % 5 for k in range(40)] + [-7, -(10**9), None, None]
+    df = spark.createDataFrame([(d, f"t{k}") for k, d in enumerate(ids)], "doc_id long, text string")
+    found = {(r["doc_id"], r["text"]): r["next"]["text"] for r in fingerprints.followed(df).collect()}
+    rows = df.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    order = sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]), reverse=True)
+    for r, after in zip(order, order[1:] + order[:1]):
+        assert found[r["doc_id"], r["text"]] == after["text"]
 
 
 def test_fingerprints_of_unusual_tables(spark, tiny, none):

@@ -1,12 +1,12 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-Terms are words with A-Z lower-cased. A term is in the lexicon if its normalised inverse document frequency,
-ln(N / df) / ln N, lies in a band: neither so common that all texts have it nor so rare that it is noise. With ``exact``
-each term counts by its 64-bit hash, and a join marks the terms of a text; without, terms are counted in 2^18 hash
-classes, a table of fixed size that suits vocabularies far smaller than that. Of a text, the distinct terms in the lexicon are kept, in order of their hashes. Several
-random lexicons are parts of this one, from a quarter down to 1/1024 of its terms, so that texts of any length have
-some in which few of their terms count; each gives one hash of the terms left. The fingerprint is these hashes. The
-likeness of two texts looks, in each chain of ever smaller lexicons, at the smallest that has terms of either.
+Terms are words with A-Z lower-cased, by their 64-bit hash. A term is in the lexicon if its normalised inverse document
+frequency, ln(N / df) / ln N over all documents, lies in a band: neither so common that all texts have it nor so rare that it
+is noise. Of a text, the distinct terms in the lexicon are kept, in order of their hashes. Several random lexicons are parts
+of this one, in chains from a quarter down to 1/1024 of its terms; each gives one hash of the terms left. A text of many
+terms uses the smaller parts only, those in which about ``ENOUGH`` of its terms or fewer are left, and only the terms
+in these parts are looked up. The fingerprint is these hashes. The likeness of two texts looks, in each chain, at the
+smallest lexicon that has terms of either.
 
 Only Spark expressions are used.
 """
@@ -18,16 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import let, materialise, whole, words
+from tickloom.llm.common import let, materialise, whole, with_value, words
 
-#: 2^18 term classes, as bits of 2^12 words.
-CLASS_BITS = 18
 BAND = (0.1, 0.9)
 #: Random lexicons: chains of ever smaller parts, each a quarter of the one before; a chain's bits of a term's hash
 #: begin STEP bits after those of the chain before.
 CHAINS, LEVELS, STEP = 12, 5, 3
-#: Ids whose neighbours are looked for in one group of rows.
-ID_BLOCK = 1024
+#: Terms of a text, inside and outside the lexicon, that the largest part it uses has at least.
+ENOUGH = 6
+#: Ids whose neighbours are looked for in one group of rows, and blocks whose order is found in one.
+ID_BLOCK, BLOCKS = 1024, 4096
 _PATTERNS = [int(x) for x in np.random.default_rng(3).integers(0, 4**LEVELS, CHAINS)]
 
 
@@ -37,40 +37,39 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words(lower), lambda w: F.xxhash64(w)))
 
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[int]:
-    """2^12 words of 64 bits, a bit for each term class: whether its document frequency over all rows is in the band."""
-    classes = F.transform(_terms(whole("text")), lambda h: F.shiftrightunsigned(h, 64 - CLASS_BITS).cast("int"))
-    counted = docs.select(F.explode(F.array_distinct(classes)).alias("class")).groupBy("class").agg(F.count("*").alias("df"))
-    total = docs.count()
-    idf = F.log(F.lit(float(total)) / F.col("df")) / F.log(F.lit(float(max(total, 2))))
-    bit = F.expr("shiftleft(1L, class % 64)")
-    inside = counted.where(idf.between(*band)).groupBy(F.expr("class div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
-    found = {r["word"]: r["bits"] for r in inside.collect()}
-    return [found.get(k, 0) for k in range(1 << (CLASS_BITS - 6))]
-
-
 def frequencies(docs: DataFrame) -> DataFrame:
     """term (hash) and df, its exact document frequency over all rows."""
     return docs.select(F.explode(_terms(whole("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def hashes(text: Column, bits: list[int]) -> Column:
-    """The fingerprint as an array: a hash for each random lexicon, null where none of the text's terms is in it."""
-    table = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")
+def first_level(terms: Column) -> Column:
+    """The number of the largest parts that a text of these terms uses."""
+    level = F.floor(F.log(F.greatest(F.size(terms), F.lit(1)) / F.lit(float(ENOUGH))) / F.log(F.lit(4.0)))
+    return F.greatest(F.lit(1), F.least(F.lit(LEVELS), level)).cast("int")
+
 
-    def known(h: Column) -> Column:
-        word = F.get(table, F.shiftrightunsigned(h, 64 - CLASS_BITS + 6).cast("int"))
-        return F.getbit(word, F.shiftrightunsigned(h, 64 - CLASS_BITS).cast("int") % 64) == 1
+def used(terms: Column, level: Column) -> Column:
+    """The terms that lie in a part of that level, of any chain."""
+    mask = F.element_at(F.array(*[F.lit(4**k - 1).cast("long") for k in range(1, LEVELS + 1)]), level)
 
-    return lexicon_hashes(F.filter(_terms(text), known))
+    def inside(h: Column) -> Column:
+        differ = lambda j: F.shiftrightunsigned(h, STEP * j).bitwiseXOR(F.lit(_PATTERNS[j]).cast("long")).bitwiseAND(mask)
+        found = differ(0) == 0
+        for j in range(1, CHAINS):
+            found = found | (differ(j) == 0)
+        return found
 
+    return F.filter(terms, inside)
 
-def lexicon_hashes(terms: Column) -> Column:
-    """The fingerprint of the terms of a text that are in the lexicon."""
+
+def lexicon_hashes(terms: Column, first: Column) -> Column:
+    """The fingerprint of the terms of a text that are in the lexicon, from level first on: 32 bits for each part, null where it
+    has none of them or is not used."""
 
     def down(number: int, level: int, terms: Column) -> Column:
         """The hash of the terms left at a level, followed by those of the levels below."""
-        own = F.array(F.when(F.size(terms) > 0, F.xxhash64(terms)))
+        short = F.shiftright(F.xxhash64(terms), 32).cast("int")
+        own = F.array(F.when((F.size(terms) > 0) & (first <= level), short))
         return own if level == LEVELS else F.concat(own, further(number, level + 1, terms))
 
     def further(number: int, level: int, terms: Column) -> Column:
@@ -84,7 +83,7 @@ def lexicon_hashes(terms: Column) -> Column:
 
 def as_text(own: Column) -> Column:
     """A fingerprint as hex digits, eight for each lexicon; dashes where there is no hash."""
-    digits = F.transform(own, lambda h: F.coalesce(F.lower(F.lpad(F.hex(F.shiftrightunsigned(h, 32)), 8, "0")), F.lit("-" * 8)))
+    digits = F.transform(own, lambda h: F.coalesce(F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), F.lit("-" * 8)))
     return F.array_join(digits, "")
 
 
@@ -107,19 +106,24 @@ def followed(docs: DataFrame, tie: Column | None = None) -> DataFrame:
     last row comes the first.
 
     Rows lie in blocks of ids. A copy of the first row of each block ends the block above, so no order goes
-    beyond a block. Ties go by tie, a hash of the text if not given; rows without a doc_id come last.
+    beyond a block. Ties go by tie, a hash of the text if not given; rows without a doc_id come last, in blocks by tie.
     """
     lowest = -(1 << 62)
-    block = F.coalesce(F.floor(F.col("doc_id") / ID_BLOCK), F.lit(lowest))
+    rows = docs.withColumn("__tie", F.xxhash64("text") if tie is None else tie)
+    block = F.coalesce(F.floor(F.col("doc_id") / ID_BLOCK), F.lit(lowest) + F.shiftright("__tie", 50))
     order = [F.desc_nulls_last("doc_id"), F.desc("__tie")]
-    rows = docs.withColumn("__tie", F.xxhash64("text") if tie is None else tie).withColumn("__block", block).withColumn("__copy", F.lit(0))
+    rows = rows.withColumn("__block", block).withColumn("__copy", F.lit(0))
     heads = rows.groupBy("__block").agg(
         F.max(F.struct(F.coalesce("doc_id", F.lit(lowest)), "__tie", F.struct(*docs.columns).alias("row"))).alias("head")
     )
-    above = F.lag("__block").over(W.orderBy(F.desc("__block")))
-    blocks = rows.select("__block").distinct().withColumn("__above", above)
+    # the block above each: in groups of blocks, and over one row per group
+    blocks = rows.select("__block").distinct().withColumn("__group", F.floor(F.col("__block") / BLOCKS))
+    groups = blocks.groupBy("__group").agg(F.min("__block").alias("least"))
+    groups = groups.select("__group", F.lag("least").over(W.orderBy(F.desc("__group"))).alias("__border"))
+    above = F.lag("__block").over(W.partitionBy("__group").orderBy(F.desc("__block")))
     last = rows.agg(F.min("__block").alias("__block")).scalar()
-    blocks = blocks.select("__block", F.coalesce("__above", last).alias("__above"))
+    blocks = blocks.withColumn("__above", above).join(groups, "__group")
+    blocks = blocks.select("__block", F.coalesce("__above", "__border", last).alias("__above"))
     heads = heads.join(blocks, "__block").select("head.row.*", F.col("__above").alias("__block"), F.lit(1).alias("__copy"))
     heads = heads.withColumn("__tie", F.lit(0).cast("long"))
     both = rows.unionByName(heads)
@@ -133,79 +137,72 @@ def _edited() -> Column:
     return F.concat(F.substr("text", F.lit(1), F.char_length("text") - third), F.substr("next.text", F.lit(1), third))
 
 
-def _exactly(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, own, other and next.own by the exact document frequencies of terms.
+def _marked(rows: DataFrame) -> DataFrame:
+    """doc_id, tie, n_chars, edited_sha256, own and other: the fingerprints of each text and of its edited text.
 
-    Each row is a head and its terms; the terms that join those of the lexicon come together again with the head. Rows
-    alike in all of doc_id, text and next are one group, and its heads are counted.
+    Each row is a head and its terms that count, 16 bytes and a mark each; those that join the terms of the lexicon come together
+    again with the head. Rows alike in doc_id, text and next are one group, and its heads are counted.
     """
     counted = materialise(frequencies(rows), "term-counts")
-    total = rows.count()
-    idf = F.log(F.lit(float(total)) / F.col("df")) / F.log(F.lit(float(max(total, 2))))
+    size = rows.count()
+    idf = F.log(F.lit(float(size)) / F.col("df")) / F.log(F.lit(float(max(size, 2))))
     # at most a text's mean number of terms times N^0.1: they need not move to be left out
-    common = [r["term"] for r in counted.where(idf < BAND[0]).select("term").collect()]
+    common = counted.where(idf < BAND[0]).agg(F.collect_list("term").alias("common")).scalar()
     inside = counted.where(idf.between(*BAND)).select("term", F.lit(True).alias("inside"))
 
     pairs = followed(rows).select(
         "doc_id", "text", F.xxhash64("text").alias("tie"),
         F.xxhash64("doc_id", "text", "next.doc_id", "next.text").alias("tag"), _edited().alias("edited"),
     )
-    rare = lambda terms: F.filter(terms, lambda h: ~h.isin(common)) if common else terms
-    both = F.array(F.struct(rare(_terms(F.col("text"))).alias("own"), rare(_terms(F.col("edited"))).alias("other")))
-    # own and other: whether the term is of the text and of the edited text
-    terms = F.transform(
-        both,
-        lambda x: F.concat(
-            F.transform(F.array_intersect(x["own"], x["other"]), lambda h: F.struct(h.alias("term"), F.lit(3).alias("in"))),
-            F.transform(F.array_except(x["own"], x["other"]), lambda h: F.struct(h.alias("term"), F.lit(1).alias("in"))),
-            F.transform(F.array_except(x["other"], x["own"]), lambda h: F.struct(h.alias("term"), F.lit(2).alias("in"))),
-        ),
-    )
-    head = F.struct(F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("sha"))
-    none = F.lit(None).cast("struct<n_chars:bigint,sha:string>")
-    own = F.transform(F.get(terms, F.lit(0)), lambda x: F.struct(x["term"], x["in"], none.alias("head")))
-    heads = F.array(F.struct(F.col("tag").alias("term"), F.lit(0).alias("in"), head.alias("head")))
-    pairs = pairs.select("doc_id", "tie", "tag", F.inline(F.concat(heads, own)))
-    pairs = pairs.join(inside, "term", "left").where("head is not null or inside")
-
-    def of(bit: int) -> Column:
-        return F.collect_set(F.when(F.col("in").bitwiseAND(bit) > 0, F.col("term")))
-
-    marked = pairs.groupBy("doc_id", "tie", "tag").agg(
-        of(1).alias("own"), of(2).alias("other"), F.max("head").alias("head"), F.count("head").alias("rows")
+
+    def counting(text: str) -> Column:
+        """The level of a text and its terms that count."""
+        struct = lambda terms, level: F.struct(level.alias("level"), used(terms, level).alias("terms"))
+        return let(_terms(F.col(text)), lambda terms: let(first_level(terms), lambda level: struct(terms, level)))
+
+    pairs = with_value(with_value(pairs, "own", counting("text")), "other", counting("edited"))
+    pairs = with_value(pairs, "one", F.array_except("own.terms", common))
+    pairs = with_value(pairs, "two", F.array_except("other.terms", common))
+    one, two = F.col("one"), F.col("two")
+    marked = lambda terms, mark: F.transform(terms, lambda h: F.struct(h.alias("term"), F.lit(mark).cast("byte").alias("in"), none.alias("head")))
+    head = F.struct(
+        "doc_id", "tie", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("sha"),
+        F.col("own.level").alias("own_level"), F.col("other.level").alias("other_level"),
     )
-    marked = marked.select(
-        "doc_id", "tie", "head.n_chars", F.col("head.sha").alias("edited_sha256"),
-        lexicon_hashes(F.col("own")).alias("own"), lexicon_hashes(F.col("other")).alias("other"),
+    none = F.lit(None).cast("struct<doc_id:bigint,tie:bigint,n_chars:bigint,sha:string,own_level:int,other_level:int>")
+    heads = F.array(F.struct(F.col("tag").alias("term"), F.lit(0).cast("byte").alias("in"), head.alias("head")))
+    # in: whether a term is of the text (1), of the edited text (2) or of both (3)
+    pairs = pairs.select("tag", F.inline(F.concat(
+        heads, marked(F.array_intersect(one, two), 3), marked(F.array_except(one, two), 1), marked(F.array_except(two, one), 2)
+    )))
+    pairs = pairs.join(inside, "term", "left").where("head is not null or inside").select("tag", "term", "in", "head")
+    of = lambda bit: F.collect_set(F.when(F.col("in").bitwiseAND(F.lit(bit).cast("byte")) > 0, F.col("term")))
+    found = pairs.groupBy("tag").agg(of(1).alias("own"), of(2).alias("other"), F.max("head").alias("head"), F.count("head").alias("rows"))
+    found = found.select(
+        "head.doc_id", "head.tie", "head.n_chars", F.col("head.sha").alias("edited_sha256"),
+        lexicon_hashes(F.col("own"), F.col("head.own_level")).alias("own"),
+        lexicon_hashes(F.col("other"), F.col("head.other_level")).alias("other"),
         F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
     )
-    marked = materialise(marked.drop("copy"), "fingerprints")
-    after = followed(marked.select("doc_id", "tie", "n_chars", "edited_sha256", "own", "other"), F.col("tie"))
-    return after.select("doc_id", "n_chars", "edited_sha256", "own", "other", "next")
+    return materialise(found.drop("copy"), "fingerprints")
 
 
-def fingerprinted(docs: DataFrame, exact: bool = False) -> DataFrame:
+def fingerprinted(docs: DataFrame) -> DataFrame:
     """A row for each of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last third replaced by the beginning of the next document in descending order of doc_id.
-    With exact, terms are counted and looked up one by one, else in hash classes. docs needs doc_id and text; a null
-    text is empty. Texts without terms in the band have a fingerprint of dashes and are alike. Repeated rows are
-    documents of their own. An empty table gives an empty result.
+    docs needs doc_id and text; a null text is empty. Texts without terms in the band have a fingerprint of dashes and
+    are alike. Repeated rows are documents of their own. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"))
-    if exact:
-        rows = _exactly(rows)
-    else:
-        bits = lexicon(rows)
-        rows = followed(rows.withColumn("own", hashes(F.col("text"), bits))).withColumn("edited", _edited())
-        rows = rows.withColumn("other", hashes(F.col("edited"), bits))
-        rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("edited_sha256", F.sha2("edited", 256))
+    marked = _marked(rows)
+    rows = followed(marked.withColumn("near_edited", likeness(F.col("own"), F.col("other"))), F.col("tie"))
     return rows.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        "near_edited",
         likeness(F.col("own"), F.col("next.own")).alias("near_next"),
     )
