@@ -1,5 +1,6 @@
 """What depends on the order of arrival, against plain-Python consumers that read one record after the other."""
 
+import hashlib
 import math
 import random
 
@@ -10,10 +11,14 @@ from tickloom.operators.arrival import completed_in_order
 from tickloom.operators.asof import as_of, running_latest
 from tickloom.operators.latest import price_changes
 from tickloom.operators.sequence import consumed_sequence, numbered
-from tickloom.schemas import LATEST_PRICES
+from tickloom.schemas import DATASETS, LATEST_PRICES
+from tickloom.sinks.heads import write_head
+from tickloom.sinks.offsets import NEXT_OFFSETS, REPORTS, publish_numbered
+from tickloom.sources.topics import read_topics
 from tickloom.streaming.arrival import (
     CHANGES, ArrivalTables, start_as_of, start_completed_in_order, start_first_messages, start_price_changes, stop_when_full,
 )
+from tickloom.streaming.jobs import LateRows, start_publish_numbered
 from tickloom.streaming.tables import KeyedTable, SliceTable
 
 PRICES = "offset bigint, symbol string, price double, timestamp bigint"
@@ -250,3 +255,80 @@ def test_a_running_stream_is_stopped_when_full(spark, folder):
     query = start_first_messages(files.stream(), 4, out, counts, f"{folder}/checkpoint", trigger={"processingTime": "0 seconds"})
     stop_when_full(spark, query, counts, 4)
     assert not query.isActive and out.read(spark).count() == 4
+
+
+# Offsets and reports ----------------------------------------------------------------------------------
+
+
+def sent_rows(seed, n):
+    rng = random.Random(seed)
+    return [
+        (k, rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, 1.0, 2.0, 3.0]), 1000 + k, 1.0) for k in range(n)
+    ]
+
+
+SENT = "offset bigint, symbol string, price double, timestamp bigint, volume double"
+
+
+def report(rows, partitions):
+    """[(partition, offset, key, status)] of a producer that sends one record after the other."""
+    heads, found = {}, []
+    for _, symbol, price, _, _ in sorted(rows):
+        lacking = [n for n, v in (("symbol", symbol), ("price", price)) if v is None]
+        if lacking:
+            found.append((None, None, symbol, lacking))
+        else:
+            part = int(hashlib.md5(symbol.encode()).hexdigest()[:8], 16) % partitions
+            found.append((part, heads.get(part, 0), symbol, None))
+            heads[part] = heads.get(part, 0) + 1
+    return found
+
+
+def as_report(rows):
+    status = lambda r: None if r["status"] == "delivered" else sorted(r["status"].removeprefix("failed: ").split(","))
+    return sorted([(r["partition"], r["offset"], r["key"], status(r)) for r in rows], key=str)
+
+
+def wanted(rows, partitions):
+    return sorted([(p, o, k, None if x is None else sorted(x)) for p, o, k, x in report(rows, partitions)], key=str)
+
+
+def test_reports_of_a_batch(spark, folder):
+    rows = sent_rows(1, 200)
+    random.Random(2).shuffle(rows)
+    found = publish_numbered(spark.createDataFrame(rows, SENT), "trades", f"{folder}/t", DATASETS["trades"], 3)
+    assert as_report(found.collect()) == wanted(rows, 3)
+    topic = read_topics(spark, {"trades": f"{folder}/t"}).collect()
+    assert len(topic) == sum(x is None for *_, x in report(rows, 3)) and all(r["value"] for r in topic)
+
+
+def test_streamed_offsets_go_on_and_stay_the_same_on_replay(spark, folder):
+    rows, files = sent_rows(3, 150), Files(spark, folder, SENT)
+    heads = KeyedTable(f"{folder}/heads", NEXT_OFFSETS, ["topic", "partition"], 2)
+    sent = SliceTable(f"{folder}/reports", REPORTS)
+
+    def start(checkpoint):
+        start_publish_numbered(
+            files.stream(), "trades", f"{folder}/t", DATASETS["trades"], 3, heads, sent, checkpoint
+        ).awaitTermination()
+
+    for part, own in enumerate(runs(rows, [60, 2, 40])):
+        files.add(own, part)
+        if part != 1:
+            start(f"{folder}/checkpoint")
+    assert as_report(sent.read(spark).collect()) == wanted(rows, 3)
+    # the last micro-batch is lost after its records and reports were written, and runs again
+    last = heads.head(spark)
+    spark.range(1).select(F.lit(last - 1).cast("bigint").alias("version")).coalesce(1).write.mode("overwrite").parquet(f"{heads.path}-head/{last % 2}")
+    write_head(spark, heads.path, last - 1)
+    assert heads.head(spark) == last - 1
+    start(f"{folder}/again")
+    assert heads.head(spark) == last
+    assert as_report(sent.read(spark).collect()) == wanted(rows, 3)
+
+
+def test_missing_reports_of_late_rows_are_an_error():
+    listener = LateRows()
+    listener._running.add("a query that has not ended")
+    with pytest.raises(TimeoutError):
+        listener.wait(0.1)

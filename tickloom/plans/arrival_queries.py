@@ -12,13 +12,15 @@ from tickloom.plans.queries import (
     FIRST_MESSAGES, HOUR, ORACLES, PRICE_DIGITS, TOTAL_DIGITS, _MS, _SQL_DATA, _SQL_EMPTY, _as_messages, _as_trades, _publish_all,
     _purchase_price, _registrations, _table, _trades, register,
 )
-from tickloom.schemas import LATEST_PRICES
+from tickloom.schemas import DATASETS, LATEST_PRICES
 from tickloom.session import shared_dir
+from tickloom.sinks.offsets import NEXT_OFFSETS, REPORTS, publish_numbered
 from tickloom.sources.messages import data_messages, parse
 from tickloom.sources.topics import read_topics
 from tickloom.streaming.arrival import (
     CHANGES, ArrivalTables, start_as_of, start_completed_in_order, start_first_messages, start_price_changes,
 )
+from tickloom.streaming.jobs import start_publish_numbered
 from tickloom.streaming.tables import KeyedTable, SliceTable
 
 # Files that the events are dealt to for a stream, in their order, and those of the first start.
@@ -173,3 +175,43 @@ def stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _started_twice(spark, events, "event_id", base, start)
     return out.read(spark)
+
+
+# Delivery with offsets -------------------------------------------------------------------------------
+
+PARTITIONS = 6
+
+_SQL_REPORTS = f"""
+    WITH t AS (SELECT event_id, CAST(user_id AS VARCHAR) AS key, event_type <> 'error' AS good FROM events WHERE event_type <> 'signup'),
+    p AS (SELECT *, CAST(('0x' || md5(key)[1:8])::BIGINT % {PARTITIONS} AS INTEGER) AS part FROM t WHERE good)
+    SELECT 'trades' AS topic, part AS partition, row_number() OVER (PARTITION BY part ORDER BY event_id) - 1 AS "offset", key, 'delivered' AS status FROM p
+    UNION ALL
+    SELECT 'trades', NULL, NULL, key, 'failed: price' FROM t WHERE NOT good"""
+
+
+def _unpriced_errors(events: DataFrame) -> DataFrame:
+    """Trades of users; those of errors come without a price."""
+    price = F.when(F.col("event_type") != "error", F.col("value"))
+    return _as_trades(events.where("event_type <> 'signup'"), "user_id", price).withColumn("volume", F.lit(1.0))
+
+
+@register("delivery_reports", _SQL_REPORTS)
+def delivery_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark, 'topics')}/trades"
+    trades = _unpriced_errors(_table(spark, sf_dir, "events"))
+    return publish_numbered(trades, "trades", path, DATASETS["trades"], PARTITIONS)
+
+
+@register("stream_delivery_reports", _SQL_REPORTS)
+def stream_delivery_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_dir(spark, "stream")
+    heads = KeyedTable(f"{base}/heads", NEXT_OFFSETS, ["topic", "partition"])
+    sent = SliceTable(f"{base}/reports", REPORTS)
+
+    def start(rows: DataFrame):
+        return start_publish_numbered(
+            _unpriced_errors(rows), "trades", f"{base}/trades", DATASETS["trades"], PARTITIONS, heads, sent, f"{base}/checkpoint"
+        )
+
+    _started_twice(spark, _table(spark, sf_dir, "events"), "event_id", base, start)
+    return sent.read(spark)

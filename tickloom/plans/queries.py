@@ -829,7 +829,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             trades = frames.with_event_time(spark.readStream.schema(schema).parquet(f"{base}/in/part=*"))
             stats = window_stats(trades, HOUR, delay=DELAY).drop("window")
             start_final(stats, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-        listener.wait(2)
+        listener.wait(60)
     finally:
         spark.streams.removeListener(listener)
     return spark.range(1).select(F.lit(listener.total).cast("bigint").alias("late"))

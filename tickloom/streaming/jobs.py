@@ -19,6 +19,7 @@ from tickloom.operators.completed import completed_total, last_prices
 from tickloom.operators.latest import latest_prices
 from tickloom.operators.windows import summary, window_stats
 from tickloom.schemas import Dataset
+from tickloom.sinks.offsets import RECORDS, failures, next_offsets, reports, with_offsets
 from tickloom.sinks.publish import records
 from tickloom.streaming.tables import KeyedTable, SliceTable
 
@@ -107,6 +108,38 @@ def start_publish(
     return start_batches(df, work, checkpoint, trigger=trigger)
 
 
+def start_publish_numbered(
+    df: DataFrame,
+    topic: str,
+    path: str,
+    dataset: Dataset,
+    partitions: int,
+    heads: KeyedTable,
+    sent: SliceTable,
+    checkpoint: str,
+    *,
+    order: str = "offset",
+    codec: str = "json",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """SNK-1, SNK-7 on a stream: records with partitions and dense offsets that go on from micro-batch to micro-batch, and a
+    report for each in ``sent``. ``heads`` keeps the next offsets and is written last: a repeated micro-batch starts from the same ones
+    and writes the same folders."""
+
+    def work(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        if batch <= heads.head(spark):
+            return
+        given = records(rows.withColumn("offset", F.col(order)), topic, dataset, codec=codec)
+        folder = f"{path}/batch={batch}"
+        with_offsets(given, partitions, heads=heads.at(spark, batch - 1)).write.mode("overwrite").parquet(folder)
+        published = spark.read.schema(RECORDS).parquet(folder)
+        sent.write(reports(published, failures(rows, topic, dataset)), batch)
+        heads.upsert(next_offsets(published), batch)
+
+    return start_batches(df, work, checkpoint, trigger=trigger)
+
+
 def start_summary_changes(
     prices: DataFrame,
     size_ms: int,
@@ -160,9 +193,11 @@ class LateRows(StreamingQueryListener):
         self._running.discard(str(event.runId))
 
     def wait(self, seconds: float) -> None:
-        """Until all reports of the queries that have ended are in, at most so long."""
+        """Until all reports of the queries that have ended are in; raises ``TimeoutError`` if they do not come in time."""
         end = time.monotonic() + seconds
-        while self._running and time.monotonic() < end:
+        while self._running:
+            if time.monotonic() > end:
+                raise TimeoutError(f"no last report of {len(self._running)} queries after {seconds} seconds")
             time.sleep(0.02)
 
     @property
