@@ -134,6 +134,21 @@ def test_join_of_unusual_tables(spark):
     assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["1", "3", "4", "None", "None"]
 
 
+def test_join_keeps_texts_of_one_id_apart(spark):
+    rng = random.Random(4)
+    first, other = passage(rng, 40), passage(rng, 40)
+    rows = [(1, first), (5, f"{first} more"), (5, other), (5, other), (6, f"{other} x"), (9, "alone"), (9, None), (None, first)]
+    names = "__rows int, __goes string, __bits int, __doc_id string, __word int, __bit int, node string, n int, row int, known int"
+    df = spark.createDataFrame([(*r, 1, "mine", 3, "mine", 90952, 4, "mine", 5, 6, 7) for r in rows], f"{DOCS}, {names}")
+    kept = ngram_join.without_similar(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"] and r["text"]) in (
+        [(1, first), (5, other), (9, "alone")], [(1, first), (6, f"{other} x"), (9, "alone")]
+    )
+    assert len(got) == 5 and {tuple(r)[2:] for r in got} == {(1, "mine", 3, "mine", 90952, 4, "mine", 5, 6, 7)}
+
+
 def test_connected_over_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7), (300, 200)]
     got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(pairs, "a long, b long")).collect()}

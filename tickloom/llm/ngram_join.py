@@ -315,15 +315,34 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), node and text. A node is a text: its doc_id, or for texts of a doc_id that has several a number above
+    2^62, so that they come after all others."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    mark = F.xxhash64("text")
+    several = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+    several = materialise(several.where("low <> high").select("doc_id"), "several")
+    if several.isEmpty():
+        return rows.withColumnRenamed("doc_id", "node")
+    maybe, plain = apart(rows, several, ["doc_id"])
+    number = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 61))
+    maybe = maybe.join(several.withColumn("known", F.lit(True)), "doc_id", "left")
+    maybe = maybe.select("row", F.when(F.col("known"), number).otherwise(F.col("doc_id")).alias("node"), "text")
+    return plain.withColumnRenamed("doc_id", "node").unionByName(maybe)
+
+
 def without_similar(docs: DataFrame) -> DataFrame:
-    """docs, all columns, with one document of each component: that of the smallest doc_id. Of rows that share a doc_id
-    one stays for each different text; rows without a doc_id all stay."""
-    found = similar_components(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("__doc_id"))
-    found = found.agg(F.count("*").alias("__rows"), F.min(F.col("component_id") < F.col("doc_id")).alias("__goes"))
-    special = materialise(found.where("__goes or __rows > 1"), "goes")
-    keyed = docs.withColumn("__doc_id", F.col("doc_id").cast("long"))
-    maybe, stay = apart(keyed, special, ["__doc_id"])
-    maybe = maybe.join(special, "__doc_id", "left")
-    few = maybe.where("__rows is null").select(*docs.columns)
-    several = maybe.where("__rows > 1 and not __goes").dropDuplicates(["__doc_id", "text"]).select(*docs.columns)
-    return stay.select(*docs.columns).unionByName(few).unionByName(several)
+    """docs, all columns, with one document of each component: that of the smallest doc_id, where texts of a doc_id that has several
+    different ones come last. Of rows that share doc_id and text one stays; rows without a doc_id all stay."""
+    rows = _nodes(docs)
+    found = similar_components(rows.select(F.col("node").alias("doc_id"), "text")).where("doc_id is not null")
+    found = found.groupBy(F.col("doc_id").alias("node")).agg(
+        F.count("*").alias("n"), F.min(F.col("component_id") < F.col("doc_id")).alias("goes")
+    )
+    special = materialise(found.where("goes or n > 1"), "goes")
+    maybe, stay = apart(rows, special, ["node"])
+    maybe = maybe.join(special, "node", "left")
+    few = maybe.where("n is null").select("row")
+    several = maybe.where("n > 1 and not goes").dropDuplicates(["node"]).select("row")
+    kept = stay.select("row").unionByName(few).unionByName(several)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
