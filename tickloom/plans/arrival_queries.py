@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.operators.arrival import completed_in_order
+from tickloom.operators.completed import completed_total
 from tickloom.operators.latest import price_changes
+from tickloom.operators.repair import applied, parts_stats, read_totals, repair, settled_totals, window_parts
 from tickloom.operators.sequence import consumed_sequence
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.queries import (
     FIRST_MESSAGES, HOUR, ORACLES, PRICE_DIGITS, TOTAL_DIGITS, _MS, _SQL_DATA, _SQL_EMPTY, _as_messages, _as_trades, _publish_all,
-    _purchase_price, _registrations, _table, _trades, register,
+    _purchase_price, _registrations, _sql_completed, _sql_stats, _sql_summary, _table, _trades, register,
 )
 from tickloom.schemas import DATASETS, LATEST_PRICES
 from tickloom.session import shared_dir
@@ -215,3 +217,40 @@ def stream_delivery_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _started_twice(spark, _table(spark, sf_dir, "events"), "event_id", base, start)
     return sent.read(spark)
+
+
+# Late corrections ------------------------------------------------------------------------------------
+
+
+def _repaired_market(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Window statistics, summary and completed totals per user and hour, where every tenth trade came late."""
+    trades = _trades(spark, sf_dir, "user_id")
+    in_time, late = trades.where("offset % 10 <> 3"), trades.where("offset % 10 = 3")
+    base = shared_dir(spark, "market")
+    window_parts(in_time, HOUR, PRICE_DIGITS).write.parquet(f"{base}/parts")
+    parts = spark.read.parquet(f"{base}/parts")
+    stats = parts_stats(parts, PRICE_DIGITS)
+    settled_totals(stats, completed_total(stats, HOUR, digits=TOTAL_DIGITS), TOTAL_DIGITS).write.parquet(f"{base}/totals")
+    totals = spark.read.parquet(f"{base}/totals")
+    found = repair(parts, totals, late, HOUR, price_digits=PRICE_DIGITS, digits=TOTAL_DIGITS)
+    sums = summary(stats, HOUR, digits=TOTAL_DIGITS)
+    return (
+        parts_stats(applied(parts, found.parts, ["symbol", "timestamp"]), PRICE_DIGITS),
+        applied(sums, found.summary, ["timestamp"]),
+        read_totals(applied(totals, found.totals, ["timestamp"]), TOTAL_DIGITS),
+    )
+
+
+@register("repaired_stats", f"SELECT symbol, count, avg_price, timestamp, last_price FROM ({_sql_stats('user_id', HOUR)})")
+def repaired_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired_market(spark, sf_dir)[0]
+
+
+@register("repaired_summary", _sql_summary("user_id", HOUR))
+def repaired_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired_market(spark, sf_dir)[1].withColumn("symbols", F.array_join("symbols", ","))
+
+
+@register("repaired_totals", f"SELECT timestamp, total, known FROM ({_sql_completed('user_id', HOUR)})")
+def repaired_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired_market(spark, sf_dir)[2]
