@@ -9,6 +9,7 @@ from tickloom.operators import dimension
 from tickloom.operators.asof import as_of
 from tickloom.plans.profiles import refresh_cache
 from tickloom.sinks.heads import CsvCache
+from tickloom.operators.mentions import mentions
 from tickloom.operators.joins import keyed_join, known, unique_per, unknown, with_company_symbols
 
 
@@ -194,3 +195,24 @@ def test_match_names(spark):
         dimension.match_names(profiles, "x", name="title")
     with pytest.raises(KeyError):
         dimension.match_companies(profiles, companies, name="title")
+
+
+def test_mentions_equal_brute_force(spark):
+    rng = random.Random(7)
+    letters = "abcAB .é#"
+    word = lambda most: "".join(rng.choice(letters) for _ in range(rng.randrange(most)))
+    names = [word(7) for _ in range(120)] + [None, "", "a", "AB", "ab", "ab", "not in any text"]
+    texts = [(k, word(30)) for k in range(150)] + [(200, None), (201, ""), (202, "a")]
+    found = mentions(
+        spark.createDataFrame([(k, t, 1) for k, t in texts], "symbol int, name string, low int"),
+        spark.createDataFrame([(n, 5) for n in names], "company string, length int"),
+    ).collect()
+    expected = [(k, n) for k, t in texts for n in set(names) if n and t and n.lower() in t.lower()]
+    assert sorted((r["symbol"], r["company"]) for r in found) == sorted(expected) and len(expected) > 500
+    assert {r["low"] for r in found} == {1}
+
+
+def test_mentions_of_nothing(spark):
+    texts = spark.createDataFrame([(1, "a b")], "symbol int, name string")
+    none = spark.createDataFrame([], "company string")
+    assert mentions(texts, none).count() == 0 and mentions(texts.limit(0), none.unionByName(spark.createDataFrame([("a",)], "company string"))).count() == 0

@@ -17,6 +17,7 @@ from tickloom.operators.asof import as_of
 from tickloom.operators.completed import completed_total, known_since, missing_intervals
 from tickloom.operators.joins import with_company_symbols
 from tickloom.operators.latest import company_symbols, latest_prices
+from tickloom.operators.mentions import mentions
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.market import prices_from_messages
 from tickloom.plans.profiles import refresh_cache
@@ -689,6 +690,25 @@ def big_tech_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.match_companies(profiles, companies, "1")
 
 
+@register(
+    "company_mentions",
+    """WITH n AS (SELECT DISTINCT p_name || ' ' || p_brand AS company FROM part UNION SELECT s_name FROM supplier UNION SELECT 'an'),
+            t AS (SELECT p_partkey AS symbol, 'The ' || upper(p_name) || ' ' || p_brand || ' by Supplier#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS name
+                  FROM part)
+       SELECT symbol, company FROM t, n WHERE contains(lower(name), lower(company))""",
+)
+def company_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that name a product, a maker or both, against all of them."""
+    parts = _table(spark, sf_dir, "part")
+    products = parts.select(F.concat_ws(" ", "p_name", "p_brand").alias("company"))
+    makers = _table(spark, sf_dir, "supplier").select(F.col("s_name").alias("company"))
+    maker = F.concat(F.lit(" by Supplier#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
+    name = F.concat(F.lit("The "), F.upper("p_name"), F.lit(" "), "p_brand", maker)
+    texts = parts.select(F.col("p_partkey").alias("symbol"), name.alias("name"))
+    short = spark.range(1).select(F.lit("an").alias("company"))
+    return mentions(texts, products.unionByName(makers).unionByName(short)).select("symbol", "company")
+
+
 @register(
     "csv_round_trip",
     """SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment
