@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tickloom.layouts import Field, Layout, Layouts, read_versions
 from tickloom.operators.arrival import completed_in_order
 from tickloom.operators.completed import completed_total
 from tickloom.operators.latest import price_changes
@@ -11,7 +12,7 @@ from tickloom.operators.repair import applied, parts_stats, read_totals, repair,
 from tickloom.operators.sequence import consumed_sequence
 from tickloom.operators.windows import summary, window_stats
 from tickloom.plans.queries import (
-    FIRST_MESSAGES, HOUR, ORACLES, PRICE_DIGITS, TOTAL_DIGITS, _MS, _SQL_DATA, _SQL_EMPTY, _as_messages, _as_trades, _publish_all,
+    FIRST_MESSAGES, HOUR, ORACLES, PRICE_DIGITS, TOTAL_DIGITS, _MS, _SQL_DATA, _SQL_EMPTY, _as_messages, _as_trades, _millis, _publish_all,
     _purchase_price, _registrations, _sql_completed, _sql_stats, _sql_summary, _table, _trades, register,
 )
 from tickloom.schemas import DATASETS, LATEST_PRICES
@@ -254,3 +255,44 @@ def repaired_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("repaired_totals", f"SELECT timestamp, total, known FROM ({_sql_completed('user_id', HOUR)})")
 def repaired_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _repaired_market(spark, sf_dir)[2]
+
+
+# Versions of a layout --------------------------------------------------------------------------------
+
+
+def _trade_layouts() -> Layouts:
+    """Trades in whole prices; then with conditions; then without them, with volume and venue."""
+    text, long, double = T.StringType(), T.LongType(), T.DoubleType()
+    layouts = Layouts()
+    layouts.register(Layout((Field("symbol", text), Field("price", T.IntegerType()), Field("timestamp", long))))
+    conditions = Field("conditions", T.ArrayType(text), nullable=True, default=None)
+    layouts.register(Layout((Field("symbol", text), Field("price", double), Field("timestamp", long), conditions)))
+    volume, venue = Field("volume", double, default=1.0), Field("venue", text, nullable=True, default=None)
+    layouts.register(Layout((Field("symbol", text), Field("price", double), Field("timestamp", long), volume, venue)))
+    return layouts
+
+
+@register(
+    "resolved_records",
+    f"""SELECT event_id AS "offset", CAST(event_id % 4 + 1 AS INTEGER) AS version,
+               CASE WHEN good THEN event_type END AS symbol,
+               CASE WHEN good THEN CASE WHEN event_id % 4 = 0 THEN floor(value) ELSE value END END AS price,
+               CASE WHEN good THEN {_MS} END AS timestamp,
+               CASE WHEN good THEN CASE WHEN event_id % 4 = 2 THEN CAST(user_id AS DOUBLE) ELSE 1.0 END END AS volume,
+               CASE WHEN event_id % 4 = 2 AND good THEN 'x' END AS venue,
+               CASE WHEN event_id % 4 = 3 THEN 'version' WHEN NOT good THEN 'price' END AS fault
+        FROM (SELECT *, event_id % 4 < 3 AND event_type <> 'error' AS good FROM events)""",
+)
+def resolved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades written in three versions, and one that nobody knows, read in the newest; errors come without a price."""
+    events = _table(spark, sf_dir, "events")
+    number = (F.col("event_id") % 4).cast("int")
+    price = F.when(F.col("event_type") != "error", F.col("value"))
+    own = [F.col("event_type").alias("symbol"), _millis("ts").alias("timestamp")]
+    one = F.to_json(F.struct(*own, F.floor(price).cast("int").alias("price")))
+    two = F.to_json(F.struct(*own, price.alias("price"), F.array("event_type").alias("conditions")))
+    three = F.to_json(F.struct(*own, price.alias("price"), F.col("user_id").cast("double").alias("volume"), F.lit("x").alias("venue")))
+    value = F.when(number == 0, one).when(number == 1, two).otherwise(three)
+    records = events.select(F.col("event_id").alias("offset"), (number + 1).alias("version"), value.alias("value"))
+    found = read_versions(records, _trade_layouts())
+    return found.select("offset", "version", "row.*", "fault")
