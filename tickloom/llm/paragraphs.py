@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
-from tickloom.llm.components import apart, comparisons, connected, key_links, verified_links
+from tickloom.llm.components import apart, comparisons, connected, key_links
 from tickloom.llm.shingles import WIDTH, chunks, mix, pieces, shingle_rows, words_at
 
 MIN_WORDS = 50
@@ -34,9 +34,11 @@ SIMILARITY = 0.8
 RADIUS = 6
 #: Words between two runs of one passage, at most.
 GAP = 2 * RADIUS + WIDTH
+#: What a small set costs in memory beside its elements, in elements.
+SET_COST = 64
 #: MinHash values in a band, and the wanted chance that a pair at the threshold shares a band.
-BAND_ROWS = 1
-RECALL = 0.99
+BAND_ROWS = 2
+RECALL = 0.95
 _MOST = np.iinfo(np.uint64).max
 _PAIR = np.array([0xD6E8FEB86659FD93, 0xA5A35625D6A1D7A7], np.uint64)
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -55,6 +57,9 @@ def exact_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
     In an order of all elements, rare ones first, two such sets share one of their first fifth; only sets that do are
     compared, and a pair inside one component is not compared again."""
+    if len(sets) == 2:
+        both = len(set(sets[0].tolist()).intersection(sets[1].tolist()))
+        return [(0, 1)] if 9 * both >= 4 * (len(sets[0]) + len(sets[1])) else []
     size = np.array([len(x) for x in sets])
     kinds, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.lexsort((kinds, often))
@@ -147,17 +152,17 @@ class Paragraphs:
             return self.name[k : k + 1]
         return np.unique(self.shingles[self.first[k] : self.first[k] + self.words[k] - WIDTH + 1])
 
-    def around(self, k: int, right: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and code points of the words next to the k-th paragraph of the chunk, nearest first, to the end of the
-        next but one."""
+    def around(self, k: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For paragraphs of the chunk the words next to each, nearest first, to the end of the next but one: how many, and the hashes
+        (32 bits) and code points of all."""
         text = self.text[k]
-        if right:
-            low = self.first[k] + self.words[k]
-            last = min(k + 2, int(self.opening[text + 1]) - 1)
-            high = self.first[last] + self.words[last]
-            return self.hashes[low:high], self.end[low:high]
-        low, high = self.first[max(k - 2, int(self.opening[text]))], self.first[k]
-        return self.hashes[low:high][::-1], self.begin[low:high][::-1]
+        last = np.minimum(k + 2, self.opening[text + 1] - 1)
+        low = np.where(right, self.first[k] + self.words[k], self.first[np.maximum(k - 2, self.opening[text])])
+        high = np.where(right, self.first[last] + self.words[last], self.first[k])
+        count = high - low
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        place = np.where(np.repeat(right, count), np.repeat(low, count) + step, np.repeat(high, count) - 1 - step)
+        return count, (self.hashes[place] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.where(np.repeat(right, count), self.end[place], self.begin[place])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -187,57 +192,87 @@ def _paragraphs(texts: DataFrame) -> DataFrame:
 
 
 def _asked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """mark, text and asked (a list) of the texts that wanted (doc_id, mark and other columns) has rows of; a list has rows
-    of one text only. Equal rows of a text are asked once."""
-    names = [c for c in wanted.columns if c not in ("doc_id", "mark")]
-    wanted = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*names)).alias("asked"))
-    wanted = materialise(wanted, "asked")
-    keys = ["doc_id", "mark"]
-    found = apart(texts, wanted.select(*keys), keys)[0].join(wanted, keys)
-    return found.dropDuplicates(keys).select("doc_id", "mark", "text", "asked")
+    """doc_id, mark, text and, for each other column of wanted (doc_id, mark and others), a list of its values for that text. Equal rows
+    of a text are asked once."""
+    keys, names = ["doc_id", "mark"], [c for c in wanted.columns if c not in ("doc_id", "mark")]
+    rows = wanted.groupBy(*keys).agg(F.collect_list(F.struct(*names)).alias("asked"))
+    rows = materialise(rows.select(*keys, *[F.col(f"asked.{c}").alias(c) for c in names]), "asked")
+    found = apart(texts, rows.select(*keys), keys)[0].join(rows, keys)
+    return found.dropDuplicates(keys).select(*keys, "text", *names)
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Paragraphs, np.ndarray, np.ndarray, list[pa.Array]]]:
+    """For each chunk of the texts of ``_asked``: the batch, its paragraphs, the rows that ask, the paragraphs they ask for (the first
+    list), and the values of the other lists."""
+    for batch in pieces(batches):
+        count = batch.column(3).value_lengths().to_numpy()
+        begin = np.append(0, np.cumsum(count))
+        flat = [batch.column(i).flatten() for i in range(3, batch.num_columns)]
+        number = flat[0].to_numpy()
+        for base, data, offsets in chunks(batch.column(2)):
+            own, texts = Paragraphs(data, offsets), len(offsets) - 1
+            low, high = int(begin[base]), int(begin[base + texts])
+            row = np.repeat(np.arange(texts), count[base : base + texts])
+            yield batch, own, base + row, own.opening[row] + number[low:high], [x.slice(low, high - low) for x in flat[1:]]
 
 
 def _elements(texts: DataFrame, members: DataFrame) -> DataFrame:
     """The members' shingle sets, from the paragraph that stands for each name."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            asked = batch.column(3)
-            for base, data, offsets in chunks(batch.column(2)):
-                own, found = Paragraphs(data, offsets), []
-                for text in range(len(offsets) - 1):
-                    for row in asked[base + text].as_py():
-                        elements = own.set(int(own.opening[text]) + row["paragraph"])
-                        found.append((row["cluster"], row["i"], row["j"], row["node"], elements.tobytes()))
-                if found:
-                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-                    columns = [pa.array(x, kind) for x, kind in zip(zip(*found), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["cluster", "i", "j", "node", "elements"])
+        for _, own, _, wanted, others in _answered(batches):
+            elements = pa.array([own.set(k).tobytes() for k in wanted.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*others, elements], names=["cluster", "i", "j", "node", "elements"])
+
+    asked = members.select("doc_id", "mark", "paragraph", "cluster", "i", "j", "node")
+    return _asked(texts, asked).mapInArrow(sets, "cluster long, i int, j int, node long, elements binary")
 
-    return _asked(texts, members.drop("n")).mapInArrow(sets, "cluster long, i int, j int, node long, elements binary")
+
+def _links(elements: DataFrame) -> DataFrame:
+    """(a, b) links that ``exact_links`` finds inside each task of ``components.comparisons``. The tasks lie one after the other in sorted
+    partitions, so that small clusters cost little."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            keys = np.stack([table.column(k).to_numpy() for k in range(3)])
+            border = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            if len(border):
+                yield linked(table.slice(0, int(border[-1])), np.append(0, border))
+                left = table.slice(int(border[-1]))
+            else:
+                left = table
+        if left is not None and left.num_rows:
+            yield linked(left, np.array([0, left.num_rows]))
+
+    def linked(table: pa.Table, border: np.ndarray) -> pa.RecordBatch:
+        nodes = table.column(3).to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in table.column(4).chunks for x in c]
+        found = [(nodes[a + x], nodes[a + y]) for a, b in zip(border.tolist(), border[1:].tolist()) if b - a > 1 for x, y in exact_links(sets[a:b])]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    keys = ["cluster", "i", "j"]
+    return elements.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(runs, "a long, b long")
 
 
 def _contexts(texts: DataFrame, ends: DataFrame) -> DataFrame:
     """For each of ends (doc_id, mark, paragraph, right) the words around it: hashes and code points, nearest first."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            asked = batch.column(3)
-            for base, data, offsets in chunks(batch.column(2)):
-                own, found = Paragraphs(data, offsets), []
-                for text in range(len(offsets) - 1):
-                    place = base + text
-                    name = (batch.column(0)[place].as_py(), batch.column(1)[place].as_py())
-                    for row in asked[place].as_py():
-                        hashes, points = own.around(int(own.opening[text]) + row["paragraph"], row["right"])
-                        found.append((*name, row["paragraph"], row["right"], hashes.view(np.int64), points.astype(np.int32)))
-                if found:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-                    columns = [pa.array(x, kind) for x, kind in zip(map(list, zip(*found)), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, names="doc_id mark paragraph right hashes points".split())
-
-    return _asked(texts, ends).mapInArrow(
-        words, "doc_id long, mark long, paragraph int, right boolean, hashes array<long>, points array<int>"
+        for batch, own, row, wanted, (right,) in _answered(batches):
+            count, hashes, points = own.around(wanted, right.to_numpy(zero_copy_only=False))
+            upto = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+            row = pa.array(row)
+            lists = [pa.ListArray.from_arrays(upto, pa.array(x)) for x in (hashes, points.astype(np.int32))]
+            number = pa.array(own.number[wanted].astype(np.int32))
+            columns = [batch.column(0).take(row), batch.column(1).take(row), number, right, *lists]
+            yield pa.RecordBatch.from_arrays(columns, names="doc_id mark paragraph right hashes points".split())
+
+    return _asked(texts, ends.select("doc_id", "mark", "paragraph", "right")).mapInArrow(
+        words, "doc_id long, mark long, paragraph int, right boolean, hashes array<int>, points array<int>"
     )
 
 
@@ -249,10 +284,10 @@ def _repeated(texts: DataFrame) -> DataFrame:
     few = apart(rows, clusters.select("name"), ["name"])[0].join(clusters, "name")
     place = F.struct("doc_id", "mark", "paragraph")
     classes = few.groupBy(F.col("name").alias("node")).agg(
-        F.min(place).alias("first"), F.first("words").cast("long").alias("n"), F.first("cluster").alias("cluster")
+        F.min(place).alias("first"), (F.first("words") + SET_COST).cast("long").alias("n"), F.first("cluster").alias("cluster")
     )
     members = materialise(comparisons(classes.select("first.*", "node", "n", "cluster")), "members")
-    roots = connected(verified_links(_elements(texts, members), exact_links)).select(F.col("node").alias("name"), "root")
+    roots = connected(_links(_elements(texts, members))).select(F.col("node").alias("name"), "root")
 
     rows = rows.drop("bands")
     maybe, alone = apart(rows, roots.select("name"), ["name"])
