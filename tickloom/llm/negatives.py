@@ -155,10 +155,10 @@ def hard_negatives(rows: DataFrame, anchors: Column, near: int = NEAR, scale: in
     """anchor_id, positive_id, rank, negative_id, positive_score and negative_score: for each anchor (a row where anchors holds) and each of
     its positives the first negatives.
 
-    rows needs vec_id, label and embedding. Rows with a null in one of them, or in or beyond the finite numbers in a
-    component, take no part. Equal rows (id, label and components) count as one; other rows with an id of their own or not
-    are rows of their own. Vectors of different lengths are compared as if zeros followed. Ties go by smaller vec_id, then
-    by components. A component of 2^27 / scale or more is an error. An empty table gives an empty result.
+    rows needs vec_id, label and embedding; other columns are ignored, but anchors may use them. Rows with a null in one of the three, or with a
+    component that is null or not finite, take no part. Equal rows (id, label and components) count as one; rows that share an id and
+    differ are rows of their own. Vectors of different lengths are compared as if zeros followed. Ties go by smaller
+    vec_id. A component of 2^27 / scale or more is an error. An empty table gives an empty result.
     """
     table = materialise(packed(usable(rows, anchors, scale)), "packed")
     counts = table.agg(F.count("*"), F.count("vector")).first()
