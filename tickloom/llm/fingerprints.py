@@ -4,7 +4,7 @@ Terms are words with A-Z lower-cased, by their 64-bit hash. A term is in the lex
 frequency, ln(N / df) / ln N over all documents, lies in a band: neither so common that all texts have it nor so rare that it
 is noise. Of a text, the distinct terms in the lexicon are kept, in order of their hashes. Several random lexicons are parts
 of this one, in chains from a quarter down to 1/1024 of its terms; each gives one hash of the terms left. A text of many
-terms uses the smaller parts only, those in which about ``ENOUGH`` of its terms or fewer are left, and only the terms
+terms uses the smaller parts only, from the smallest in which at least ``ENOUGH`` of its terms are left, and only the terms
 in these parts are looked up. The fingerprint is these hashes. The likeness of two texts looks, in each chain, at the
 smallest lexicon that has terms of either.
 
@@ -24,8 +24,8 @@ BAND = (0.1, 0.9)
 #: Random lexicons: chains of ever smaller parts, each a quarter of the one before; a chain's bits of a term's hash
 #: begin STEP bits after those of the chain before.
 CHAINS, LEVELS, STEP = 12, 5, 3
-#: Terms of a text, inside and outside the lexicon, that the largest part it uses has at least.
-ENOUGH = 6
+#: Terms of a text, inside and outside the lexicon, that are left in the largest part it uses, at least.
+ENOUGH = 3
 #: Ids whose neighbours are looked for in one group of rows, and blocks whose order is found in one.
 ID_BLOCK, BLOCKS = 1024, 4096
 _PATTERNS = [int(x) for x in np.random.default_rng(3).integers(0, 4**LEVELS, CHAINS)]
@@ -127,8 +127,11 @@ def followed(docs: DataFrame, tie: Column | None = None) -> DataFrame:
     heads = heads.join(blocks, "__block").select("head.row.*", F.col("__above").alias("__block"), F.lit(1).alias("__copy"))
     heads = heads.withColumn("__tie", F.lit(0).cast("long"))
     both = rows.unionByName(heads)
-    after = F.lead(F.struct(*docs.columns)).over(W.partitionBy("__block").orderBy("__copy", *order))
-    return both.withColumn("next", after).where("__copy = 0").select(*docs.columns, "next")
+    # column by column: a struct of them would be made, and moved, before the exchange
+    following = W.partitionBy("__block").orderBy("__copy", *order)
+    both = both.withColumns({f"__next_{c}": F.lead(c).over(following) for c in docs.columns})
+    following = F.struct(*[F.col(f"__next_{c}").alias(c) for c in docs.columns])
+    return both.where("__copy = 0").select(*docs.columns, following.alias("next"))
 
 
 def _edited() -> Column:
