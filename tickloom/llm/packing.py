@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import os
-import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -43,8 +42,8 @@ def _byte_letters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """Text to ids, as the tokenizers library gives them without special tokens added.
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Text to ids (unsigned 32-bit), as the tokenizers library gives them without special tokens added.
 
     Latin-1 texts without the vocabulary's added tokens go through tiktoken with the same vocabulary, which is several
     times faster; all others go through tokenizers itself.
@@ -62,14 +61,14 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(path)
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> np.ndarray:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return slow.encode(text, add_special_tokens=False).ids
+            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
         if any(x in text for x in added):
-            return slow.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
+            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return fast.encode_to_numpy(text, disallowed_special=())
 
     return encode
 
@@ -92,16 +91,27 @@ class Index:
         weight = count * (SATURATION + 1) / (count + norm[owner])
         self.weights = weight[order] * np.repeat(idf, self.df)
         self.size = len(ids)
+        # the weights of a term that a quarter of the documents have are a row for all of them
+        often = np.flatnonzero(4 * self.df >= self.size)
+        self.rows = np.zeros((len(often), self.size))
+        for row, k in zip(self.rows, often.tolist()):
+            postings = slice(self.first[k], self.first[k] + self.df[k])
+            row[self.docs[postings]] = self.weights[postings]
+        self.row = np.full(len(self.kinds), -1, np.int64)
+        self.row[often] = np.arange(len(often))
 
     def scores(self, doc: int) -> np.ndarray:
         """The BM25 score of every document for all terms of one that others have too."""
         place = np.searchsorted(self.kinds, self.terms[doc])
         place = place[self.df[place] > 1]
-        if not len(place):
-            return np.zeros(self.size)
-        begin, length = self.first[place], self.df[place]
-        at = np.repeat(begin - np.append(0, np.cumsum(length)[:-1]), length) + np.arange(length.sum())
-        return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.size)
+        row = self.row[place]
+        score = self.rows[row[row >= 0]].sum(axis=0)
+        place = place[row < 0]
+        if len(place):
+            begin, length = self.first[place], self.df[place]
+            at = np.repeat(begin - np.append(0, np.cumsum(length)[:-1]), length) + np.arange(length.sum())
+            score += np.bincount(self.docs[at], weights=self.weights[at], minlength=self.size)
+        return score
 
 
 def _ranked(score: np.ndarray) -> Iterator[int]:
@@ -151,12 +161,12 @@ def order_of(ids: list[np.ndarray], names: list[int | None], window: int = WINDO
                 upto += len(ids[unseen])
 
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
-    """The pieces of all documents: doc_id, start (the document's ids before it), length, ids_crc32 (of the ids as
-    little-endian 32-bit numbers), doc_tokens, sequence_id, offset (ids before it in the sequence).
+    """The pieces of all documents: doc_id, start (the document's ids before it), length, ids (little-endian 32-bit numbers), ids_crc32 (of
+    these bytes), doc_tokens, sequence_id, offset (ids before it in the sequence).
 
     docs needs doc_id and text. A document is its ids and END_ID; a null or empty text is END_ID alone. Each id lies in
     one piece, and a sequence has at most window ids. Repeated rows are documents of their own, kept apart where
@@ -170,18 +180,22 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW)
     def pack(group: pa.Table) -> pa.Table:
         rows = sorted(zip(group.column("doc_id").to_pylist(), group.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         names, shard = [r[0] for r in rows], group.column("shard")[0].as_py()
-        encode = encoder(path)
-        ids = [np.array([*encode(text), END_ID], np.uint32) for _, text in rows]
+        encode, end = encoder(path), np.array([END_ID], np.uint32)
+        ids = [np.append(encode(text), end) for _, text in rows]
         found, upto = [], 0
         for doc in order_of(ids, names, window):
             own, start = ids[doc], 0
             while start < len(own):
                 length = min(len(own) - start, window - upto % window)
-                crc = zlib.crc32(own[start : start + length].tobytes())
-                found.append((names[doc], start, length, crc, len(own), (shard << 32) + upto // window, upto % window))
+                piece = own[start : start + length].astype("<u4").tobytes()
+                found.append((names[doc], start, length, piece, len(own), (shard << 32) + upto // window, upto % window))
                 start, upto = start + length, upto + length
-        columns = [pa.array(x, pa.int64()) for x in zip(*found)]
-        return pa.table(columns, names=[x.split()[0] for x in _PIECES.split(", ")])
-
-    shard = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(shards)).alias("shard")
-    return docs.select("*", shard).groupBy("shard").applyInArrow(pack, _PIECES)
+        fields = [x.split() for x in _PIECES.split(", ")]
+        columns = [pa.array(x, pa.binary() if kind == "binary" else pa.int64()) for x, (_, kind) in zip(zip(*found), fields)]
+        return pa.table(columns, names=[name for name, _ in fields])
+
+    # rows without a doc_id, of which many may be equal, are dealt by their place
+    name = F.coalesce("doc_id", F.monotonically_increasing_id())
+    shard = F.pmod(F.xxhash64(name, F.crc32(F.col("text").cast("binary"))), F.lit(shards)).alias("shard")
+    pieces = docs.select("*", shard).groupBy("shard").applyInArrow(pack, _PIECES)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")

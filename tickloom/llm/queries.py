@@ -231,7 +231,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    return packing.packed(table(spark, sf_dir, "documents")).drop("ids")
 
 
 @registered()
