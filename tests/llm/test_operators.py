@@ -67,6 +67,24 @@ def test_order_of_rules_does_not_change_verdicts(spark, small):
     assert [r.name for r in rules.ordered(small, [own[0], cheap])] == ["all", "base"]
 
 
+def test_order_is_that_of_net_rates(spark, small):
+    """A slow rule that rejects much, cheap ones that reject some or none; what an earlier rule rejects counts no more."""
+    assert rules.net_order(list("abc"), {"a": 1.0, "b": 0.1, "c": 0.1}, [(frozenset("ab"), 50), (frozenset("c"), 40), (frozenset(), 9)]) == ["b", "c", "a"]
+    # b and c reject the same rows: once c has gone, b rejects none and a, though slow, comes before it
+    assert rules.net_order(list("abc"), {"a": 5.0, "b": 1.0, "c": 0.9}, [(frozenset("bc"), 50), (frozenset("a"), 20)]) == ["c", "a", "b"]
+    slow = lambda own: F.size(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.transform(own, lambda w: F.sha2(F.concat(w, i.cast("string")), 512))))))
+    heavy = rules.Rule("heavy", lambda text, own: slow(own) > 0)
+    light = rules.Rule("light", lambda text, own: F.size(own) > 100)
+    none = rules.Rule("none", lambda text, own: F.size(own) < 0)
+    assert [r.name for r in rules.ordered(small, [heavy, none, light])][0] == "light"
+
+
+def test_rules_keep_columns_of_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a few words " * 9, "mine", "row", 3)], "doc_id long, text string, __words string, row string, words int")
+    for result in (rules.accepted(df, []), rules.cascade(df, []).drop("failed_rule")):
+        assert result.columns == df.columns and tuple(result.first()) == tuple(df.first())
+
+
 def test_rules_of_unusual_tables(tiny, none):
     assert rules.cascade(none).count() == 0 and rules.base_figures(none).count() == 0
     rows = rules.cascade(tiny, [rules.Rule("unknown", lambda text, own: F.lit(None).cast("boolean"))])
@@ -227,6 +245,7 @@ def test_pieces_hold_every_id(spark, tiny, none):
         copies = expected[doc]
         assert sum(r["length"] for r in own) == sum(map(len, copies))
         for r in own:
+            assert bytes(r["ids"]) == copies[0][r["start"] : r["start"] + r["length"]].tobytes()
             assert r["doc_tokens"] == len(copies[0])
             assert r["ids_crc32"] == zlib.crc32(copies[0][r["start"] : r["start"] + r["length"]].tobytes())
         starts = sorted(r["start"] for r in own if r["start"] == 0)
@@ -253,6 +272,51 @@ def test_neighbours_follow_their_seed():
     assert sum(a == b for a, b in zip(kinds, kinds[1:])) >= 36
 
 
+def brute_order(ids, window):
+    """The order by plain BM25: a window's seed, then its best neighbours, then the next unused document as a seed."""
+    own = [x.tolist() for x in ids]
+    mean, n = sum(map(len, own)) / len(own), len(own)
+    df = {t: sum(t in x for x in own) for x in own for t in x}
+
+    def score(seed, doc):
+        total = 0.0
+        for t in set(own[seed]) & set(own[doc]):
+            tf = own[doc].count(t)
+            if df[t] > 1:
+                total += np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(own[doc]) / mean))
+        return total
+
+    order, free, upto = [], list(range(n)), 0
+
+    def take(doc):
+        nonlocal upto
+        free.remove(doc)
+        order.append(doc)
+        upto += len(own[doc])
+
+    while free:
+        if upto % window == 0:
+            take(free[0])
+            if upto % window == 0:
+                continue
+        seed, end = order[-1], -(-upto // window) * window
+        for doc in sorted((d for d in free if score(seed, d) > 0), key=lambda d: (-round(score(seed, d), 9), d)):
+            take(doc)
+            if upto >= end:
+                break
+        else:
+            if free:
+                take(free[0])
+    return order
+
+
+def test_order_equals_brute_force():
+    rng = np.random.default_rng(9)
+    for window in (16, 50):
+        ids = [np.append(rng.integers(1, rng.choice([30, 400]), rng.integers(0, 25)), 0).astype(np.uint32) for _ in range(70)]
+        assert packing.order_of(ids, list(range(70)), window) == brute_order(ids, window)
+
+
 def test_neighbours_fill_the_whole_window():
     # 150 short documents share a term with the first; the others share none and have smaller numbers
     other = [np.array([1000 + k, 2000 + k], np.uint32) for k in range(100)]
@@ -292,7 +356,7 @@ def test_ids_are_those_of_the_tokenizers_library(text):
     if not hasattr(own, "tokenizer"):
         own.tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     text = text.encode("utf-8", "replace").decode()
-    assert packing.encoder(packing.default_tokenizer())(text) == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.encoder(packing.default_tokenizer())(text).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 # Fingerprints
@@ -305,8 +369,8 @@ def brute_terms(text):
 def brute_hashes(text, inside):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     terms = brute_terms(text)
-    # the largest part in which six terms or more are left, as far as a quarter and 1/1024 allow
-    first = max([k for k in range(1, fingerprints.LEVELS + 1) if len(terms) >= 6 * 4**k], default=1)
+    # the smallest part in which enough terms are left, as far as a quarter and 1/1024 allow
+    first = max([k for k in range(1, fingerprints.LEVELS + 1) if len(terms) >= fingerprints.ENOUGH * 4**k], default=1)
     kept = sorted(terms & inside, key=signed)
     found = []
     for j in range(fingerprints.CHAINS):
@@ -342,7 +406,7 @@ def test_fingerprints_equal_brute_force(spark, small):
     inside = {t for t, n in df.items() if 0.1 <= np.log(total / n) / np.log(total) <= 0.9}
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("next", F.lit(1)).withColumn("own", F.lit(2))
     rows = fingerprints.fingerprinted(frame).collect()
-    assert len(rows) == len(docs) and max(len(brute_terms(t)) for _, t in docs) > 6 * 64
+    assert len(rows) == len(docs) and max(len(brute_terms(t)) for _, t in docs) > fingerprints.ENOUGH * 64
     got = {(r["doc_id"], r["n_chars"]): r for r in rows}
     for doc, text in docs:
         assert got[doc, len(text or "")]["fingerprint"] == "".join(brute_hashes(text, inside))

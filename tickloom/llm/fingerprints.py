@@ -25,7 +25,7 @@ BAND = (0.1, 0.9)
 #: begin STEP bits after those of the chain before.
 CHAINS, LEVELS, STEP = 12, 5, 3
 #: Terms of a text, inside and outside the lexicon, that are left in the largest part it uses, at least.
-ENOUGH = 3
+ENOUGH = 2
 #: Ids whose neighbours are looked for in one group of rows, and blocks whose order is found in one.
 ID_BLOCK, BLOCKS = 1024, 4096
 _PATTERNS = [int(x) for x in np.random.default_rng(3).integers(0, 4**LEVELS, CHAINS)]
@@ -169,10 +169,10 @@ def _marked(rows: DataFrame) -> DataFrame:
     one, two = F.col("one"), F.col("two")
     marked = lambda terms, mark: F.transform(terms, lambda h: F.struct(h.alias("term"), F.lit(mark).cast("byte").alias("in"), none.alias("head")))
     head = F.struct(
-        "doc_id", "tie", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("sha"),
+        "doc_id", "tie", F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.col("edited"), 256)).alias("sha"),
         F.col("own.level").alias("own_level"), F.col("other.level").alias("other_level"),
     )
-    none = F.lit(None).cast("struct<doc_id:bigint,tie:bigint,n_chars:bigint,sha:string,own_level:int,other_level:int>")
+    none = F.lit(None).cast("struct<doc_id:bigint,tie:bigint,n_chars:bigint,sha:binary,own_level:int,other_level:int>")
     heads = F.array(F.struct(F.col("tag").alias("term"), F.lit(0).cast("byte").alias("in"), head.alias("head")))
     # in: whether a term is of the text (1), of the edited text (2) or of both (3)
     pairs = pairs.select("tag", F.inline(F.concat(
@@ -203,7 +203,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("other")).alias("edited_fingerprint"),
         "near_edited",
