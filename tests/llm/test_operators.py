@@ -362,6 +362,13 @@ def test_ids_are_those_of_the_tokenizers_library(text):
 # Fingerprints
 
 
+def test_the_plan_of_fingerprints_does_not_grow_with_the_chains(spark):
+    # 60 lexicons, written out one by one, made plans of which the driver keeps many copies ten times as large
+    rows = spark.sql("SELECT array(id) AS terms, 1 AS first, array(1, cast(id AS int)) AS a, array(1, 2) AS b FROM range(1)")
+    found = rows.select(fingerprints.lexicon_hashes(F.col("terms"), F.col("first")), fingerprints.likeness(F.col("a"), F.col("b")))
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
 def brute_terms(text):
     return {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in brute.words(brute.lower(text))}
 

@@ -66,19 +66,27 @@ def lexicon_hashes(terms: Column, first: Column) -> Column:
     """The fingerprint of the terms of a text that are in the lexicon, from level first on: 32 bits for each part, null where it
     has none of them or is not used."""
 
-    def down(number: int, level: int, terms: Column) -> Column:
+    def down(chain: Column, level: int, terms: Column) -> Column:
         """The hash of the terms left at a level, followed by those of the levels below."""
         short = F.shiftright(F.xxhash64(terms), 32).cast("int")
         own = F.array(F.when((F.size(terms) > 0) & (first <= level), short))
-        return own if level == LEVELS else F.concat(own, further(number, level + 1, terms))
+        return own if level == LEVELS else F.concat(own, further(chain, level + 1, terms))
 
-    def further(number: int, level: int, terms: Column) -> Column:
-        wanted = (_PATTERNS[number] >> (2 * level - 2)) & 3
-        shift = STEP * number + 2 * level - 2
-        part = F.filter(terms, lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(3)) == wanted)
-        return let(part, lambda left: down(number, level, left))
+    def further(chain: Column, level: int, terms: Column) -> Column:
+        shift, wanted = chain[f"shift{level}"], chain[f"wanted{level}"]
+        part = F.filter(terms, lambda h: F.call_function("shiftrightunsigned", h, shift).bitwiseAND(F.lit(3)) == wanted)
+        return let(part, lambda left: down(chain, level, left))
 
-    return let(F.sort_array(terms), lambda terms: F.concat(*[further(j, 1, terms) for j in range(CHAINS)]))
+    # one expression for all chains: what the driver plans and keeps does not grow with them
+    chains = F.array(*[_chain(number) for number in range(CHAINS)])
+    return let(F.sort_array(terms), lambda terms: F.flatten(F.transform(chains, lambda chain: further(chain, 1, terms))))
+
+
+def _chain(number: int) -> Column:
+    """For each level of a chain, how far a term's hash is shifted, and the two bits that it must have then."""
+    levels = range(1, LEVELS + 1)
+    shifts = [F.lit(STEP * number + 2 * level - 2).alias(f"shift{level}") for level in levels]
+    return F.struct(*shifts, *[F.lit((_PATTERNS[number] >> (2 * level - 2)) & 3).cast("long").alias(f"wanted{level}") for level in levels])
 
 
 def as_text(own: Column) -> Column:
@@ -91,14 +99,19 @@ def likeness(one: Column, two: Column) -> Column:
     """The share of chains whose smallest lexicon with terms of either text has the same of both; 1 if the texts
     have no terms at all."""
 
-    def pair(k: int) -> Column:
-        a, b = F.get(one, F.lit(k)), F.get(two, F.lit(k))
+    def pair(place: Column) -> Column:
+        a, b = F.get(one, place), F.get(two, place)
         return F.when(a.isNotNull() | b.isNotNull(), F.coalesce((a == b).cast("int"), F.lit(0)))
 
-    chains = [F.coalesce(*[pair(j * LEVELS + k) for k in reversed(range(LEVELS))]) for j in range(CHAINS)]
-    used = sum((c.isNotNull().cast("int") for c in chains), F.lit(0))
-    equal = sum((F.coalesce(c, F.lit(0)) for c in chains), F.lit(0))
-    return F.when(used == 0, 1.0).otherwise(equal / used)
+    # null for a chain without terms of either
+    places = F.array(*[F.lit(j * LEVELS) for j in range(CHAINS)])
+    chains = F.transform(places, lambda at: F.coalesce(*[pair(at + k) for k in reversed(range(LEVELS))]))
+
+    def share(used: Column) -> Column:
+        equal = F.aggregate(used, F.lit(0), lambda upto, chain: upto + chain)
+        return F.when(F.size(used) == 0, 1.0).otherwise(equal / F.size(used))
+
+    return let(F.filter(chains, lambda chain: chain.isNotNull()), share)
 
 
 def followed(docs: DataFrame, tie: Column | None = None) -> DataFrame:
