@@ -359,6 +359,22 @@ def test_ids_are_those_of_the_tokenizers_library(text):
     assert packing.encoder(packing.default_tokenizer())(text).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\t\x85\xa0\x1c'sa1.\xe9\xb2", max_size=40))
+def test_ids_around_white_space_are_those_of_the_tokenizers_library(text):
+    test_ids_are_those_of_the_tokenizers_library.hypothesis.inner_test(text)
+
+
+def test_latin_texts_are_encoded_by_a_pattern_that_does_not_look_ahead(monkeypatch):
+    import tiktoken
+
+    patterns, whole = [], tiktoken.Encoding.__init__
+    monkeypatch.setattr(tiktoken.Encoding, "__init__", lambda self, *a, **b: patterns.append(b["pat_str"]) or whole(self, *a, **b))
+    packing.encoder.cache_clear()
+    packing.encoder(packing.default_tokenizer())
+    assert len(patterns) == 1 and "(?" not in patterns[0]
+
+
 # Fingerprints
 
 

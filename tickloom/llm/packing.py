@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -41,6 +42,14 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+#: In Latin-1 texts, the places inside white space before its last character, if a word follows: there the tokenizer's pattern
+#: (``public_tokenizers.PATTERN``) cuts by looking ahead. With the texts cut there, a pattern that does not look ahead, which
+#: is about twice as fast, cuts the rest in the same places.
+_BLANK = "\t\n\v\f\r \x85\xa0"
+_LAST_BLANK = re.compile(f"(?<=[{_BLANK}])(?=[{_BLANK}][^{_BLANK}])")
+_AHEAD = r"|\s+(?!\S)|\s+"
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids (unsigned 32-bit), as the tokenizers library gives them without special tokens added.
@@ -58,7 +67,8 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     letters = _byte_letters()
     added = [x["content"] for x in described.get("added_tokens", [])]
     ranks = {bytes(letters[c] for c in t): k for t, k in described["model"]["vocab"].items() if t not in added}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pattern = public_tokenizers.PATTERN.removesuffix(_AHEAD) + r"|\s+"
+    fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(path)
 
     def encode(text: str) -> np.ndarray:
@@ -68,7 +78,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
         if any(x in text for x in added):
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return fast.encode_to_numpy(text, disallowed_special=())
+        return np.array([k for part in _LAST_BLANK.split(text) for k in fast.encode_ordinary(part)], np.uint32)
 
     return encode
 
