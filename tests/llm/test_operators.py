@@ -1,5 +1,6 @@
 """The other training-data operators against brute force, round trips and held-out labels."""
 
+import collections
 import hashlib
 import random
 import zlib
@@ -461,6 +462,24 @@ def test_followed_over_many_groups_of_blocks(spark):
         assert found[r["doc_id"], r["text"]] == after["text"]
 
 
+def test_terms_of_fingerprints_move_before_they_are_grouped(spark):
+    # sets begun before the exchange, of one or two terms each, took 24 bytes a term instead of 16
+    head = "if(in = 0, named_struct('doc_id', tag), null) AS head"
+    pairs = spark.range(4000, numPartitions=4).selectExpr("id % 100 AS tag", "xxhash64(id) AS term", "cast(id div 1000 AS byte) AS in")
+    found = fingerprints.gathered(pairs.selectExpr("*", head))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange") :]
+    rows = found.collect()
+    terms = collections.defaultdict(set)
+    for r in pairs.collect():
+        for bit in (1, 2):
+            terms[r["tag"], bit] |= {r["term"]} if r["in"] & bit else set()
+    assert sorted(r["tag"] for r in rows) == list(range(100))
+    for r in rows:
+        assert (set(r["own"]), set(r["other"])) == (terms[r["tag"], 1], terms[r["tag"], 2])
+        assert len(r["own"]) == len(r["other"]) == 20 and (r["head"]["doc_id"], r["rows"]) == (r["tag"], 10)
+
+
 def test_fingerprints_of_unusual_tables(spark, tiny, none):
     assert fingerprints.fingerprinted(none).count() == 0
     rows = fingerprints.fingerprinted(tiny).collect()

@@ -153,6 +153,18 @@ def _edited() -> Column:
     return F.concat(F.substr("text", F.lit(1), F.char_length("text") - third), F.substr("next.text", F.lit(1), third))
 
 
+def gathered(pairs: DataFrame) -> DataFrame:
+    """For each tag, the terms of the text (own) and of the edited text (other), a head and the number of heads.
+
+    Rows move before any are grouped: the terms of a text lie apart until then, and sets begun where they lie hold one or two
+    terms each and take more bytes than the terms themselves.
+    """
+    of = lambda bit: F.collect_set(F.when(F.col("in").bitwiseAND(F.lit(bit).cast("byte")) > 0, F.col("term")))
+    return pairs.repartition("tag").groupBy("tag").agg(
+        of(1).alias("own"), of(2).alias("other"), F.max("head").alias("head"), F.count("head").alias("rows")
+    )
+
+
 def _marked(rows: DataFrame) -> DataFrame:
     """doc_id, tie, n_chars, edited_sha256, own and other: the fingerprints of each text and of its edited text.
 
@@ -192,9 +204,7 @@ def _marked(rows: DataFrame) -> DataFrame:
         heads, marked(F.array_intersect(one, two), 3), marked(F.array_except(one, two), 1), marked(F.array_except(two, one), 2)
     )))
     pairs = pairs.join(inside, "term", "left").where("head is not null or inside").select("tag", "term", "in", "head")
-    of = lambda bit: F.collect_set(F.when(F.col("in").bitwiseAND(F.lit(bit).cast("byte")) > 0, F.col("term")))
-    found = pairs.groupBy("tag").agg(of(1).alias("own"), of(2).alias("other"), F.max("head").alias("head"), F.count("head").alias("rows"))
-    found = found.select(
+    found = gathered(pairs).select(
         "head.doc_id", "head.tie", "head.n_chars", F.col("head.sha").alias("edited_sha256"),
         lexicon_hashes(F.col("own"), F.col("head.own_level")).alias("own"),
         lexicon_hashes(F.col("other"), F.col("head.other_level")).alias("other"),
