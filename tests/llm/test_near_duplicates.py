@@ -101,6 +101,37 @@ def test_tree_search_finds_all_components():
         assert all(root[a] == root[b] for a, b in links)
 
 
+def test_shingles_of_many_documents_come_last_however_full_the_counters_are():
+    """Counters as of a large table: 500 rare shingles in each, and some that 1,200 documents have."""
+    rng = np.random.default_rng(6)
+    heat = rng.poisson(500, 1 << ngram_join.HEAT_BITS)
+    common = rng.integers(0, 2**63, 40, dtype=np.uint64) * np.uint64(2)
+    heat[(common >> np.uint64(64 - ngram_join.HEAT_BITS)).astype(np.int64)] += 1_200
+    levels = np.concatenate([ngram_join.levels_of(x) for x in np.split(heat, ngram_join.HEAT_PIECES)])
+    for _ in range(20):
+        own = np.unique(np.concatenate([common, rng.integers(0, 2**63, 160, dtype=np.uint64) * np.uint64(2)]))
+        first = ngram_join.prefix(own, levels)
+        assert len(first) == 41 and not set(first.tolist()) & set(common.tolist())
+    for heat in (np.zeros(64, np.uint64), np.array([3], np.uint64), np.arange(5)):
+        assert (np.diff(ngram_join.levels_of(heat).astype(int)) >= 0).all()
+
+
+def test_one_document_of_equal_sets_is_compared(spark, monkeypatch):
+    """Copies in different partitions make no lists of documents that share an element."""
+    texts = [" ".join(f"{k}w{i}" for i in range(60)) for k in range(3)]
+    rows = [(40 * k + i, t) for k, t in enumerate(texts) for i in range(40)]
+    tables = {}
+
+    def kept(df, label, materialise=ngram_join.materialise):
+        tables.setdefault(label, materialise(df, label))
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "materialise", kept)
+    got = found(ngram_join.similar_components(spark.createDataFrame(rows, DOCS).repartition(8)))
+    assert got == {i: (56, 40 * (i // 40)) for i, _ in rows}
+    assert tables["crowds"].isEmpty()
+
+
 def test_similar_sets_share_a_prefix_element():
     rng = np.random.default_rng(5)
     for _ in range(300):

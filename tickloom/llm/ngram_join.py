@@ -1,8 +1,8 @@
 """N-gram Jaccard join: a prefix-tree join of documents on their sets of five-word shingles.
 
 1. A document's set is its distinct shingle hashes. Equal sets are one class; only classes are compared.
-2. The global order puts the shingles of many documents last; a table of fixed size counts them by a part of their
-   hash. In that order two similar sets share one of the first fifth of their elements, their prefixes. Classes that
+2. The global order puts the shingles of many documents last, those of most at the very end; a table of fixed size counts
+   them by a part of their hash. In that order two similar sets share one of the first fifth of their elements, their prefixes. Classes that
    share a prefix element are candidates if sizes and counts per hash class, which bound the overlap from above,
    allow the threshold. Connected candidates form a cluster.
 3. Inside a cluster, the sets are stored in a prefix tree. A search walks it with an overlap that all sets below
@@ -29,8 +29,8 @@ from tickloom.llm.shingles import class_counts, pieces, shingle_sets, signature
 _PART, _SIZES = 9, 4
 #: Smaller sets are similar to equal ones only.
 _LEAST = 4
-#: Counters of shingles, and their pieces; a shingle is frequent if its counter is so many times the mean.
-HEAT_BITS, HEAT_PIECES, FREQUENT = 21, 32, 4
+#: Counters of shingles, their pieces, and levels of their order: all counters, the higher half, the highest quarter and so on.
+HEAT_BITS, HEAT_PIECES, LEVELS = 21, 32, 16
 #: A prefix element of more classes than this makes them one cluster without a look at bounds.
 CROWD = 1_000
 _MANY = 255
@@ -68,40 +68,46 @@ def _profiles(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, counts binary, piece int")
 
 
-def _frequent(profiles: DataFrame) -> bytes:
-    """A bit for each counter: whether it is far above the mean. 2^21 bits, whatever the input."""
-    shingles = profiles.agg(F.sum("n_shingles")).first()[0] or 0
-    bound = max(32, FREQUENT * shingles / (1 << HEAT_BITS))
+def levels_of(heat: np.ndarray) -> np.ndarray:
+    """How far up each counter is among all: level k from the 2^-k part of the highest on, equal counters on one level. The place
+    among the others decides, not the count, so that a level has as many counters whatever the size of the input."""
+    bounds = np.sort(heat)[[-max(1, len(heat) >> k) for k in range(1, LEVELS)]]
+    return np.searchsorted(bounds, heat, "right").astype(np.uint8)
+
+
+def _levels(profiles: DataFrame) -> bytes:
+    """A byte for each counter, compressed: its level within its piece. 2 MB at most, whatever the input."""
 
     def total(group: pa.Table) -> pa.Table:
         heat = sum(np.frombuffer(zlib.decompress(x.as_py()), np.uint16).astype(np.uint64) for x in group.column("counts"))
-        return pa.table({"piece": group.column("piece")[:1], "bits": pa.array([np.packbits(heat >= bound).tobytes()], pa.binary())})
+        found = zlib.compress(levels_of(heat).tobytes(), 1)
+        return pa.table({"piece": group.column("piece")[:1], "levels": pa.array([found], pa.binary())})
 
     heat = profiles.where("piece is not null").select("piece", "counts").groupBy("piece")
-    found = {r["piece"]: r["bits"] for r in heat.applyInArrow(total, "piece int, bits binary").collect()}
-    none = bytes((1 << HEAT_BITS) // HEAT_PIECES // 8)
-    return b"".join(bytes(found.get(k, none)) for k in range(HEAT_PIECES))
+    found = {r["piece"]: zlib.decompress(r["levels"]) for r in heat.applyInArrow(total, "piece int, levels binary").collect()}
+    none = bytes((1 << HEAT_BITS) // HEAT_PIECES)
+    return zlib.compress(b"".join(found.get(k, none) for k in range(HEAT_PIECES)), 1)
 
 
-def prefix(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def prefix(own: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The first elements of a set in the global order: any similar set has one of them among its own first."""
-    last = frequent[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)]
-    return np.concatenate([own[~last], own[last]])[: len(own) - (4 * len(own) + 4) // 5 + 1]
+    last = levels[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)]
+    return own[np.argsort(last, kind="stable")][: len(own) - (4 * len(own) + 4) // 5 + 1]
 
 
-def _crowds(docs: DataFrame, frequent: bytes) -> DataFrame:
+def _crowds(docs: DataFrame, levels: bytes) -> DataFrame:
     """The documents that share a prefix element: nodes (array) and crowded, one row for each different list. Of
     equal sets in a piece of a batch one is enough. A list beyond ``CROWD`` comes as pairs with its first node."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
+        order = np.frombuffer(zlib.decompress(levels), np.uint8)
         for batch in pieces(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             seen, keys, nodes = set(), [], []
             for i, own in shingle_sets(batch.column(1)):
                 if len(own) >= _LEAST and (name := signature(own)) not in seen:
                     seen.add(name)
-                    keys.append(prefix(own, flags))
+                    keys.append(prefix(own, order))
                     nodes.append(np.full(len(keys[-1]), ids[i], np.int64))
             if keys:
                 columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
@@ -283,7 +289,9 @@ def similar_components(docs: DataFrame) -> DataFrame:
     rows = profiles.where("piece is null").select("doc_id", "n_shingles", "one", "two")
     linkable = rows.where("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("one", "two").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"))
-    crowds = materialise(_crowds(named, _frequent(profiles)), "crowds")
+    # of equal sets only the class's node has to share elements with others; some rows of other nodes pass, and change nothing
+    nodes = apart(named, classes.select(F.col("node").alias("doc_id")), ["doc_id"])[0]
+    crowds = materialise(_crowds(nodes, _levels(profiles)), "crowds")
     clusters = connected(_candidates(crowds, profiles))
     clusters = rows.join(clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id")
     clusters = clusters.groupBy("one", "two").agg(F.min("cluster").alias("cluster"))
