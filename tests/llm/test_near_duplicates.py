@@ -328,6 +328,48 @@ def test_links_of_sets_connect_all_similar_pairs():
         assert root == brute.components(plain)
 
 
+def test_links_of_many_sets_find_all_components():
+    """Sets of several components that share elements, compared at once and block by block."""
+    rng = np.random.default_rng(9)
+    hot = rng.integers(0, 2**63, 30, dtype=np.uint64)
+    sets = []
+    for _ in range(60):
+        base = np.append(rng.integers(0, 2**63, rng.integers(1, 9), dtype=np.uint64), rng.choice(hot, 4, False))
+        for _ in range(rng.integers(1, 6)):
+            sets.append(np.unique(np.append(base, rng.integers(0, 2**63, rng.integers(0, 3), dtype=np.uint64))))
+    plain = {i: set(x.tolist()) for i, x in enumerate(sets)}
+    nodes = np.arange(len(sets))
+    for most in (1_000, 40, 7):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(paragraphs, "MOST_SETS", most, raising=False)
+            links = paragraphs.task_links(nodes, lambda a, b: sets[a:b])
+        assert all(brute.similar(plain[a], plain[b]) for a, b in links)
+        root = {i: i for i in plain}
+        for _ in sets:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        assert root == brute.components(plain)
+
+
+def test_a_large_cluster_is_cut_by_first_shingles_and_not_sent_out_in_pairs_of_blocks(spark, corpus, monkeypatch):
+    tables = {}
+
+    def kept(df, label, materialise=paragraphs.materialise):
+        tables[label] = materialise(df, label)
+        return tables[label]
+
+    def result():
+        return sorted((tuple(r) for r in paragraphs.duplicate_paragraphs(spark.createDataFrame(corpus, DOCS)).collect()), key=str)
+
+    whole = result()
+    assert whole
+    monkeypatch.setattr(paragraphs, "materialise", kept)
+    monkeypatch.setattr(components, "TASK_TOKENS", 300)
+    monkeypatch.setattr(paragraphs, "LARGE", 1, raising=False)
+    assert result() == whole
+    assert tables["members"].count() == tables["members"].select("node").distinct().count() > 0
+
+
 def test_bands_are_tuned_for_the_recall():
     for rows in (1, 2, 4):
         n = paragraphs.bands_for(0.99, 0.8, rows)

@@ -6,7 +6,8 @@ every 13 words. Line breaks are white space like any other.
 
 1. Each paragraph has MinHash values of its five-word shingles, in bands tuned for a wanted recall at the threshold.
 2. Paragraphs that share a band are joined, the exact Jaccard similarity decides, and components of like paragraphs
-   are found. Of each component the first (by doc_id, then place) stays.
+   are found. Of each component the first (by doc_id, then place) stays. Chance joins more and more paragraphs as the table
+   grows; in a large cluster only those are compared that have one of their first shingles in common, as similar ones do.
 3. Others that follow each other as their first ones do are a run. At both ends it is compared word by word with what
    stands around the paragraphs that stay, so that it grows to the whole shared passage.
 4. Runs that few words separate, here and there, are one passage if it is at least ``SIMILARITY`` alike by its
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import materialise
-from tickloom.llm.components import apart, comparisons, connected, key_links
+from tickloom.llm.components import apart, connected, key_links
 from tickloom.llm.shingles import WIDTH, chunks, mix, pieces, shingle_rows, words_at
 
 MIN_WORDS = 50
@@ -34,12 +35,13 @@ SIMILARITY = 0.8
 RADIUS = 6
 #: Words between two runs of one passage, at most.
 GAP = 2 * RADIUS + WIDTH
-#: What a small set costs in memory beside its elements, in elements.
-SET_COST = 64
+#: Sets that lie in memory as they are compared, at most, and those of a cluster beyond which it is cut by prefix elements.
+MOST_SETS, LARGE = 50_000, 4_000
 #: MinHash values in a band, and the wanted chance that a pair at the threshold shares a band.
 BAND_ROWS = 2
 RECALL = 0.95
 _MOST = np.iinfo(np.uint64).max
+_WHOLE = np.zeros(1, np.int64)
 _PAIR = np.array([0xD6E8FEB86659FD93, 0xA5A35625D6A1D7A7], np.uint64)
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -66,25 +68,44 @@ def exact_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     rank = np.empty(len(kinds), np.int64)
     rank[order] = np.arange(len(kinds))
     ranks = np.split(rank[place], np.cumsum(size)[:-1])
-    seen: dict[int, list[int]] = defaultdict(list)
+    # elements by a part of their hash: what two sets have in common there, and what one has lost, bound their overlap from above
+    bits = [sum({1 << (x & 255) for x in own.tolist()}) for own in sets]
+    lost = [len(own) - x.bit_count() for own, x in zip(sets, bits)]
+    # for each element the sets that have it among their first, in lists of one component; merged when they are next read
+    seen: dict[int, list[list[int]]] = defaultdict(list)
     component = list(range(len(sets)))
     members = {i: [i] for i in component}
     found = []
     for i in np.argsort(size, kind="stable").tolist():
         own = np.sort(ranks[i])
         first = own[: len(own) - (4 * len(own) + 4) // 5 + 1].tolist()
-        for j in dict.fromkeys(j for x in first for j in seen[x]):
-            if component[j] == component[i] or 5 * size[j] < 4 * size[i]:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 9 * both >= 4 * (size[i] + size[j]):
-                found.append((i, j))
-                few, many = sorted((component[i], component[j]), key=lambda c: len(members[c]))
-                for k in members[few]:
-                    component[k] = many
-                members[many] += members.pop(few)
+        tried = set()
         for x in first:
-            seen[x].append(i)
+            lists: dict[int, list[int]] = {}
+            for few in seen[x]:
+                many = lists.setdefault(component[few[0]], few)
+                if many is not few:
+                    many, few = (many, few) if len(many) >= len(few) else (few, many)
+                    many += few
+                    lists[component[many[0]]] = many
+            for c, others in lists.items():
+                if c == component[i]:
+                    continue
+                for j in reversed(others):
+                    if j in tried or 5 * size[j] < 4 * size[i]:
+                        continue
+                    tried.add(j)
+                    wanted = 4 * (size[i] + size[j])
+                    if 9 * ((bits[i] & bits[j]).bit_count() + min(lost[i], lost[j])) < wanted:
+                        continue
+                    if 9 * len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= wanted:
+                        found.append((i, j))
+                        few, many = sorted((component[i], component[j]), key=lambda k: len(members[k]))
+                        for k in members[few]:
+                            component[k] = many
+                        members[many] += members.pop(few)
+                        break
+            seen[x] = [*lists.values(), [i]]
     return found
 
 
@@ -217,27 +238,51 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 def _elements(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """The members' shingle sets, from the paragraph that stands for each name."""
+    """The members' shingle sets, from the paragraph that stands for each name, with the cluster and a key in which they are compared. In a
+    large cluster a set is there once for each of its first elements, as similar sets have one of these in common; its key is 0 elsewhere."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own, _, wanted, others in _answered(batches):
-            elements = pa.array([own.set(k).tobytes() for k in wanted.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*others, elements], names=["cluster", "i", "j", "node", "elements"])
-
-    asked = members.select("doc_id", "mark", "paragraph", "cluster", "i", "j", "node")
-    return _asked(texts, asked).mapInArrow(sets, "cluster long, i int, j int, node long, elements binary")
+        for _, own, _, wanted, (cluster, node, large) in _answered(batches):
+            row, keys, elements = [], [], []
+            for k, cut_ in enumerate(large.to_pylist()):
+                found = own.set(int(wanted[k]))
+                first = found[: len(found) - (4 * len(found) + 4) // 5 + 1].view(np.int64) if cut_ else _WHOLE
+                row += [k] * len(first)
+                keys.append(first)
+                elements += [found.tobytes()] * len(first)
+            at = pa.array(row, pa.int64())
+            columns = [cluster.take(at), pa.array(np.concatenate([_WHOLE[:0], *keys])), node.take(at), pa.array(elements, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["cluster", "key", "node", "elements"])
+
+    asked = members.select("doc_id", "mark", "paragraph", "cluster", "node", "large")
+    return _asked(texts, asked).mapInArrow(sets, "cluster long, key long, node long, elements binary")
+
+
+def task_links(nodes: np.ndarray, sets: Callable[[int, int], list[np.ndarray]]) -> list[tuple[int, int]]:
+    """The links between nodes that are compared with each other; sets(a, b) gives the sets of some. Beyond ``MOST_SETS`` they are compared
+    block by block, each with all others."""
+    n = len(nodes)
+    if n <= MOST_SETS:
+        return [(nodes[x], nodes[y]) for x, y in exact_links(sets(0, n))] if n > 1 else []
+    blocks = [(a, min(a + MOST_SETS // 2, n)) for a in range(0, n, MOST_SETS // 2)]
+    found = []
+    for k, (a, b) in enumerate(blocks):
+        for c, d in blocks[k + 1 :]:
+            both = np.append(nodes[a:b], nodes[c:d])
+            found += [(both[x], both[y]) for x, y in exact_links(sets(a, b) + sets(c, d))]
+    return found
 
 
 def _links(elements: DataFrame) -> DataFrame:
-    """(a, b) links that ``exact_links`` finds inside each task of ``components.comparisons``. The tasks lie one after the other in sorted
-    partitions, so that small clusters cost little."""
+    """(a, b) links that ``exact_links`` finds among the sets of each cluster and key. These lie one after the other in sorted partitions, so
+    that small clusters cost little."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if left is None else pa.concat_tables([left, table])
-            keys = np.stack([table.column(k).to_numpy() for k in range(3)])
+            keys = np.stack([table.column(k).to_numpy() for k in range(2)])
             border = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             if len(border):
                 yield linked(table.slice(0, int(border[-1])), np.append(0, border))
@@ -248,13 +293,20 @@ def _links(elements: DataFrame) -> DataFrame:
             yield linked(left, np.array([0, left.num_rows]))
 
     def linked(table: pa.Table, border: np.ndarray) -> pa.RecordBatch:
-        nodes = table.column(3).to_numpy()
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in table.column(4).chunks for x in c]
-        found = [(nodes[a + x], nodes[a + y]) for a, b in zip(border.tolist(), border[1:].tolist()) if b - a > 1 for x, y in exact_links(sets[a:b])]
+        nodes = table.column(2).to_numpy()
+        read = lambda a, b: [np.frombuffer(x.as_buffer(), np.uint64) for c in table.column(3).slice(a, b - a).chunks for x in c]
+        found, spans = [], list(zip(border.tolist(), border[1:].tolist()))
+        if table.num_rows <= MOST_SETS:
+            every = read(0, table.num_rows)
+            for a, b in spans:
+                found += task_links(nodes[a:b], lambda c, d: every[a + c : a + d])
+        else:
+            for a, b in spans:
+                found += task_links(nodes[a:b], lambda c, d: read(a + c, a + d))
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    keys = ["cluster", "i", "j"]
+    keys = ["cluster", "key"]
     return elements.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(runs, "a long, b long")
 
 
@@ -283,10 +335,11 @@ def _repeated(texts: DataFrame) -> DataFrame:
     clusters = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster"))
     few = apart(rows, clusters.select("name"), ["name"])[0].join(clusters, "name")
     place = F.struct("doc_id", "mark", "paragraph")
-    classes = few.groupBy(F.col("name").alias("node")).agg(
-        F.min(place).alias("first"), (F.first("words") + SET_COST).cast("long").alias("n"), F.first("cluster").alias("cluster")
-    )
-    members = materialise(comparisons(classes.select("first.*", "node", "n", "cluster")), "members")
+    classes = few.groupBy(F.col("name").alias("node")).agg(F.min(place).alias("first"), F.first("cluster").alias("cluster"))
+    classes = classes.select("first.*", "node", "cluster")
+    sizes = classes.groupBy("cluster").agg(F.count("*").alias("sets")).where("sets > 1")
+    sizes = sizes.select("cluster", (F.col("sets") > LARGE).alias("large"))
+    members = materialise(classes.join(sizes, "cluster"), "members")
     roots = connected(_links(_elements(texts, members))).select(F.col("node").alias("name"), "root")
 
     rows = rows.drop("bands")
