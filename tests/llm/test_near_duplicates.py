@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm import brute
 from tickloom.llm import components, ngram_join, paragraphs
 from tickloom.llm.shingles import chunks, shingle_sets
@@ -132,6 +133,23 @@ def test_one_document_of_equal_sets_is_compared(spark, monkeypatch):
     assert tables["crowds"].isEmpty()
 
 
+def test_the_pipelines_stage_keeps_one_of_equal_sets_and_makes_no_lists_of_them(spark, monkeypatch):
+    """Texts that differ in white space and case only, in different partitions."""
+    texts = [" ".join(f"{k}w{i}" for i in range(60)) for k in range(3)]
+    rows = [(40 * k + i, t.upper() if i % 3 else t.replace(" ", "\n")) for k, t in enumerate(texts) for i in range(40)]
+    tables = {}
+
+    def kept(df, label, materialise=ngram_join.materialise):
+        tables.setdefault(label, materialise(df, label))
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "materialise", kept)
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    left = stage(spark, spark.createDataFrame(rows, DOCS).repartition(8), "").collect()
+    assert sorted(map(tuple, left)) == [rows[0], rows[40], rows[80]]
+    assert tables["crowds"].isEmpty()
+
+
 def test_similar_sets_share_a_prefix_element():
     rng = np.random.default_rng(5)
     for _ in range(300):
